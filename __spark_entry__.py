@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oracle_sql import ORACLE
 from platewright.functions import names, text, wells
 from platewright.functions.paths import file_name, folder, parse_image_paths
 from platewright.operators import images as im
@@ -195,12 +196,7 @@ def image_flatten(spark, sf_dir):
 def image_flatten_15key(spark, sf_dir):
     index = screen.index_view(spark, sf_dir)
     files = parse_image_paths(screen.files_view(spark, sf_dir))
-    numbers = keys.image_keys(index)
-    images = numbers.select("plate", "Row", "Column", "Field", "ImageNumber")
-    # one row per index row, so the paths and the numbers join without fan-out
-    paths = im.attach_paths(index.dropna(subset=["Field"]), files)
-    numbered = wells.with_wells(paths.join(images, ["plate", "Row", "Column", "Field"]))
-    return im.flatten_15(numbered, screen.LINKS)
+    return im.flatten_15(index, files, screen.LINKS, keys.image_keys(index))
 
 
 def first_per_key(spark, sf_dir):
@@ -332,14 +328,14 @@ def ingest_roundtrip(spark, sf_dir):
 def _write_object_exports(spark, sf_dir, root):
     for population in screen.LINKS:
         rows = screen.population_view(spark, sf_dir, population)
-        headings = [
-            "Row", "Column", "Field", "Object No", "X", "Y", "Bounding Box", "",
-            f"{population} - Area [µm²]", f"{population} - Intensity Mean",
-        ]
-        columns = ["plate", "Row", "Column", "Field", "ObjectNo", "X", "Y", "BoundingBox"]
-        cells = rows.select(*columns, F.lit(None).cast("string").alias("blank"),
-                            *screen.measure_names(population))
-        synthetic.write_exports(cells, root, population, headings, parts=2)
+        area, intensity = screen.measure_names(population)
+        headings = {
+            "Row": "Row", "Column": "Column", "Field": "Field", "ObjectNo": "Object No", "X": "X",
+            "Y": "Y", "BoundingBox": "Bounding Box", "blank": " ",
+            area: f"{population} - Area [µm²]", intensity: f"{population} - Intensity Mean",
+        }
+        cells = rows.withColumn("blank", F.lit(None).cast("string"))
+        synthetic.write_exports(cells, root, population, headings)
 
 
 def table_rewrite(spark, sf_dir):
@@ -360,7 +356,7 @@ def convert_plates(spark, sf_dir):
     root, out = new_folder(spark, "exports"), new_folder(spark, "converted")
     _write_object_exports(spark, sf_dir, root)
     index = screen.index_view(spark, sf_dir)
-    headings = [c for c in index.columns if c not in ("plate", "seq")]
+    headings = {c: c for c in index.columns if c not in ("plate", "seq")}
     synthetic.write_exports(index, root, "Index", headings, order="seq")
     files = exports.ExportFiles(root, r"plate=([^/]+)/", r"table=([^/]+)/")
     done = convert.convert(
@@ -370,9 +366,8 @@ def convert_plates(spark, sf_dir):
     return done["images"]
 
 
-def oracle_sql():
-    from oracle import ORACLE
-    return ORACLE
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE)
 
 
 def queries() -> dict[str, Query]:

@@ -23,7 +23,8 @@ def starts_with_word(text: Column, word: str = "Row") -> Column:
 def pair_parts(line: Column) -> Column:
     """``[key, value]`` of a line with exactly one tab, trimmed; else NULL."""
     parts = F.split(line, "\t")
-    return F.when(F.size(parts) == 2, F.transform(parts, F.trim))
+    trimmed = F.transform(parts, lambda part: F.regexp_replace(part, r"^\s+|\s+$", ""))
+    return F.when(F.size(parts) == 2, trimmed)
 
 
 def metadata_pairs(lines: DataFrame, max_lines: int = 7) -> DataFrame:

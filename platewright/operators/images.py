@@ -100,6 +100,20 @@ def with_file_names(images: DataFrame, populations: Sequence[str]) -> DataFrame:
     )
 
 
+def _channel_rows(index: DataFrame, files: DataFrame, grain: Sequence[str], kept: Mapping[str, Column]) -> DataFrame:
+    """The index reduced to ``grain`` and channel, with the channel's file.
+
+    Reduced before the join, and joined to files reduced to the same keys, so
+    that no key has many rows on either side.
+    """
+    channels = (
+        index.dropna(subset=IMAGE_KEYS)
+        .groupBy(*grain, "ChannelID", "ChannelName")
+        .agg(*[c.alias(n) for n, c in kept.items()])
+    )
+    return channels.join(latest_files(files), FILE_KEYS, "left")
+
+
 def flatten_images(
     index: DataFrame,
     files: DataFrame,
@@ -109,39 +123,42 @@ def flatten_images(
 ) -> DataFrame:
     """One row per plate, image, plane and timepoint, with paths by population.
 
-    The index is reduced to one row per image and channel before it meets the
-    files (reduced to the same keys), so no key has many rows on either side.
     All populations come out of one aggregation. Image numbers are taken from
     ``images``, or made from the reduced index.
     """
     grain = [*IMAGE_KEYS, "Plane", "Timepoint"]
-    attributes = [F.max(c).alias(c) for c in IMAGE_ATTRIBUTES]
-    channels = (
-        index.dropna(subset=IMAGE_KEYS)
-        .groupBy(*grain, "ChannelID", "ChannelName")
-        .agg(F.min(SEQ).alias("_first"), *attributes)
-    )
-    flat = (
-        channels.join(latest_files(files), FILE_KEYS, "left")
-        .groupBy(*grain)
-        .agg(F.min("_first").alias("_first"), *attributes, *_path_columns(links))
+    kept = {c: F.max(c) for c in IMAGE_ATTRIBUTES}
+    rows = _channel_rows(index, files, grain, {"_first": F.min(SEQ), **kept})
+    flat = rows.groupBy(*grain).agg(
+        F.min("_first").alias("_first"), *[c.alias(n) for n, c in kept.items()], *_path_columns(links)
     )
     if images is None:
         firsts = flat.groupBy(*IMAGE_KEYS).agg(F.min("_first").alias("_first"))
         images = dense_number(firsts, [PLATE], "_first", "ImageNumber", ties=IMAGE_KEYS)
-    numbers = images.select(*IMAGE_KEYS, "ImageNumber")
-    joined = with_wells(flat.join(numbers, IMAGE_KEYS), plate_type)
+    numbered = flat.join(images.select(*IMAGE_KEYS, "ImageNumber"), IMAGE_KEYS)
     urls = [c for p in links for c in (f"Image_Path_{p}", f"Image__URL_{p}")]
-    return with_file_names(joined.select(PLATE, *FLATTEN_KEYS, *urls), list(links))
+    table = with_wells(numbered, plate_type).select(PLATE, *FLATTEN_KEYS, *urls)
+    return with_file_names(table, list(links))
 
 
-def flatten_15(index: DataFrame, links: Mapping[str, str]) -> DataFrame:
+def flatten_15(
+    index: DataFrame,
+    files: DataFrame,
+    links: Mapping[str, str],
+    images: DataFrame,
+    plate_type: int = 96,
+) -> DataFrame:
     """The literal grouping by all 15 index columns (and the plate).
 
-    Takes an index with ImageNumber, well and path columns. Channels of
-    different type come out as separate rows of one image.
+    Channels of different type come out as separate rows of one image.
     """
-    return index.groupBy(PLATE, *FLATTEN_KEYS).agg(*_path_columns(links))
+    derived = {"ImageNumber", "Well", "WellRow", "WellColumn"}
+    grain = [PLATE, *[k for k in FLATTEN_KEYS if k not in derived]]
+    rows = _channel_rows(index, files, grain, {"_n": F.count("*")})
+    flat = rows.groupBy(*grain).agg(*_path_columns(links))
+    numbered = flat.join(images.select(*IMAGE_KEYS, "ImageNumber"), IMAGE_KEYS)
+    urls = [c for p in links for c in (f"Image_Path_{p}", f"Image__URL_{p}")]
+    return with_wells(numbered, plate_type).select(PLATE, *FLATTEN_KEYS, *urls)
 
 
 def first_values(reference: DataFrame, keys: Sequence[str], value: str, seq: str = SEQ) -> DataFrame:

@@ -69,14 +69,12 @@ def split_left_join(
     return left.join(right, [*keys, "_part"], "left").select(*facts.columns, *added)
 
 
-def left_join_unique(facts: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Broadcast ``dim`` if it is counted to be small, else the split join.
+def is_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether a table may be broadcast, by counting its rows.
 
-    For a ``dim`` that is a written table, where counting is cheap.
+    For written tables, where counting is cheap.
     """
-    if dim.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
-        return facts.join(F.broadcast(dim), list(keys), "left")
-    return split_left_join(facts, dim, keys)
+    return dim.limit(max_rows + 1).count() <= max_rows
 
 
 def _any_null(keys: Sequence[str]) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.wells import with_wells
 from ..schema import IMAGE_KEYS, SEQ
-from .joins import left_join_unique, split_left_join
+from .joins import split_left_join
 from .ranking import dense_number
 
 
@@ -40,17 +40,22 @@ def number_index(index: DataFrame, images: DataFrame | None = None) -> DataFrame
 
 
 def attach_keys(
-    objects: DataFrame, images: DataFrame, plate_type: int = 96, images_written: bool = False
+    objects: DataFrame, images: DataFrame, plate_type: int = 96, small: bool = False
 ) -> DataFrame:
     """Objects with ImageNumber and the well columns; one row per object.
 
     The wells come from the object's own Row and Column, so an object without
-    an image keeps them. ``images_written`` says that ``images`` is a written
-    table, which may be counted and broadcast if small.
+    an image keeps them. ``small`` says that ``images`` has been found small
+    enough to broadcast (``joins.is_small``); the objects then stay where they
+    are. Otherwise both sides are shuffled, hot images in parts.
     """
     numbers = images.select(*IMAGE_KEYS, "ImageNumber")
-    join = left_join_unique if images_written else split_left_join
-    return with_wells(join(objects, numbers, IMAGE_KEYS), plate_type)
+    if small:
+        joined = objects.join(F.broadcast(numbers), IMAGE_KEYS, "left")
+        joined = joined.select(*objects.columns, "ImageNumber")
+    else:
+        joined = split_left_join(objects, numbers, IMAGE_KEYS)
+    return with_wells(joined, plate_type)
 
 
 def fanout_counts(objects: DataFrame, index: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -116,7 +116,7 @@ def grouped_median(values: DataFrame, group: Sequence[str], value: str = "value"
     low = F.max(F.when(F.col("_low").isNotNull(), v))
     high = F.max(F.when(F.col("_high").isNotNull(), v))
     return at_value.groupBy(*keys).agg(
-        F.max("n").alias("n"), (low + (high - low) * 0.5).alias("median")
+        F.max("n").alias("n"), (low * 0.5 + high * 0.5).alias("median")
     )
 
 
