@@ -305,7 +305,7 @@ def synthetic_plates(spark, sf_dir):
     lines = screen.table(spark, sf_dir, "lineitem")
     images = (
         lines.groupBy(F.expr("l_orderkey div 4").alias("image_id")).agg(F.count("*").alias("n"))
-        .withColumns(screen.position("(image_id * 4)"))
+        .selectExpr("*", *screen.position("(image_id * 4)"))
     )
     return synthetic.random_objects(images, "Hoechst", F.col("n"))
 
@@ -345,7 +345,7 @@ def table_rewrite(spark, sf_dir):
     counts = count_per_image(spark, sf_dir)
     tables.write_table(counts.withColumn("run", F.lit(1)), path)
     again = screen.table(spark, sf_dir, "lineitem").filter("l_discount >= 0.1 and l_quantity >= 50")
-    plates = again.select(screen.position("l_orderkey")["plate"].alias("plate")).distinct()
+    plates = again.selectExpr(*screen.position("l_orderkey")).select("plate").distinct()
     return tables.write_table(
         counts.join(plates, "plate", "left_semi").withColumn("run", F.lit(2)), path
     )

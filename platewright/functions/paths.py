@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # r<row>c<column>f<field>p<position>-ch<channel>sk<cycle>...tiff (fixed pattern)
 IMAGE_NAME = r"^.*[\\/]r([0-9]+)c([0-9]+)f([0-9]+)p([0-9]+)-ch([0-9]+)sk([0-9]+).*[.]tiff$"
+MARK = "\u0001"
 IMAGE_FIELDS = ["Row", "Column", "Field", "Position", "ChannelID", "Cycle"]
 
 # A file belongs to the plate folder above it; evaluation and image
@@ -35,12 +36,13 @@ def decoded(path: Column) -> Column:
 def parse_image_paths(files: DataFrame, path: str = "path") -> DataFrame:
     """Add the six numbers of the image name; other files are dropped.
 
-    The pattern is run once for the filter and once for all six groups.
+    The pattern runs once per path. The numbers come out of a generator, so
+    that no later filter on them is moved below and repeats the pattern.
     """
-    groups = F.split(F.regexp_replace(F.col(path), IMAGE_NAME, "$1 $2 $3 $4 $5 $6"), " ")
-    return (
-        files.filter(F.col(path).rlike(IMAGE_NAME))
-        .withColumn("_groups", groups)
-        .withColumns({f: F.col("_groups")[i].try_cast("bigint") for i, f in enumerate(IMAGE_FIELDS)})
-        .drop("_groups")
-    )
+    marked = F.regexp_replace(path, IMAGE_NAME, "".join(f"{MARK}${i}" for i in range(1, 7)))
+    parts = F.filter(F.array(F.split(marked, MARK)), lambda p: F.size(p) == 7)
+
+    def numbers(p: Column) -> Column:
+        return F.struct(*[p[i].try_cast("bigint").alias(f) for i, f in enumerate(IMAGE_FIELDS, 1)])
+
+    return files.select("*", F.inline(F.transform(parts, numbers)))

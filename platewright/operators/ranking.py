@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 FINE_BITS = 21
 COARSE_BITS = 42
+MAX_WINDOW = 1 << FINE_BITS
 
 
 def _buckets(key: Column) -> dict[str, Column]:
@@ -59,68 +60,77 @@ def dense_number(
     )
 
 
-def sortable_long(x: Column) -> Column:
-    """A whole number that sorts like the double ``x``; equal only for equal x.
+def with_sortable_long(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Add a whole number that sorts like the double; equal only for equal values.
 
     Exponent and mantissa are taken apart with exact arithmetic (scaling by
-    powers of two), so every step stays in generated code.
+    powers of two), step by step in generated code.
     """
-    size = F.abs(x)
+    x, size, guess, exponent = (F.col(c) for c in (value, "_size", "_guess", "_exponent"))
+    two, steps = F.lit(2.0), F.lit(2 ** 52)
     smallest = F.lit(2.2250738585072014e-308)  # 2 ** -1022
-    guess = F.floor(F.log2(size))
-    exponent = (
-        guess
-        + F.when(size >= F.pow(F.lit(2.0), guess + 1), 1)
-        .when(size < F.pow(F.lit(2.0), guess), -1)
-        .otherwise(0)
-    )
-    steps = F.lit(2 ** 52)
-    mantissa = ((size / F.pow(F.lit(2.0), exponent) - 1) * steps).cast("bigint")
+    correction = F.when(size >= F.pow(two, guess + 1), 1).when(size < F.pow(two, guess), -1).otherwise(0)
+    mantissa = ((size / F.pow(two, exponent) - 1) * steps).cast("bigint")
     bits = (
         F.when(size == 0, F.lit(0).cast("bigint"))
         .when(size == float("inf"), F.lit(2047 * 2 ** 52))
         .when(size < smallest, (size / smallest * steps).cast("bigint"))
         .otherwise((exponent + 1023) * steps + mantissa)
     )
-    return F.when(x < 0, -bits).otherwise(bits)
+    return (
+        df.withColumn("_size", F.abs(x))
+        .withColumn("_guess", F.floor(F.log2(size)))
+        .withColumn("_exponent", guess + correction)
+        .withColumn("_bits", bits)
+        .withColumn(name, F.when(x < 0, -F.col("_bits")).otherwise(F.col("_bits")))
+        .drop("_size", "_guess", "_exponent", "_bits")
+    )
 
 
 def grouped_median(values: DataFrame, group: Sequence[str], value: str = "value") -> DataFrame:
     """Exact interpolated median and count per group: ``(*group, n, median)``.
 
     Equal values are counted before the shuffle. The bucket that holds the
-    middle is found from counts, first coarse, then fine, then by value.
+    middle is found from counts; its values are then ranked. A bucket with too
+    many distinct values for one window is cut once more.
     """
     keys = list(group)
     v = F.col(value)
-    distinct = (
-        values.filter(v.isNotNull() & ~F.isnan(v))
-        .groupBy(*keys, value)
-        .agg(F.count("*").alias("_n"))
-        .withColumns(_buckets(sortable_long(v)))
+    counted = (
+        values.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     )
-    fine = distinct.groupBy(*keys, "_coarse", "_fine").agg(F.sum("_n").alias("_n"))
-    coarse = fine.groupBy(*keys, "_coarse").agg(F.sum("_n").alias("_n"))
+    distinct = with_sortable_long(counted, value, "_key").withColumns(_buckets(F.col("_key"))).drop("_key")
 
-    total = F.sum("_n").over(Window.partitionBy(*keys))
+    coarse = distinct.groupBy(*keys, "_coarse").agg(F.sum("_n").alias("_n"), F.count("*").alias("_values"))
     coarse = (
-        coarse.withColumn("n", total)
+        coarse.withColumn("n", F.sum("_n").over(Window.partitionBy(*keys)))
         .withColumn("_low", F.floor((F.col("n") - 1) / 2))
         .withColumn("_high", F.floor(F.col("n") / 2))
     )
-    in_coarse = _holding_middle(coarse, keys, "_coarse")
-    in_fine = _holding_middle(fine.join(in_coarse, [*keys, "_coarse"]), [*keys, "_coarse"], "_fine")
-    at_value = _holding_middle(
+    middle = _holding_middle(coarse, keys, "_coarse", ["_values"])
+    few = F.col("_values") <= MAX_WINDOW
+    small = distinct.join(middle.filter(few), [*keys, "_coarse"])
+    large = distinct.join(middle.filter(~few), [*keys, "_coarse"])
+
+    at_value = _holding_middle(small, [*keys, "_coarse"], value)
+    fine = large.groupBy(*keys, "_coarse", "_fine").agg(
+        F.sum("_n").alias("_n"), *[F.first(c).alias(c) for c in ("n", "_low", "_high")]
+    )
+    in_fine = _holding_middle(fine, [*keys, "_coarse"], "_fine")
+    at_large = _holding_middle(
         distinct.join(in_fine, [*keys, "_coarse", "_fine"]), [*keys, "_coarse", "_fine"], value
     )
+    found = at_value.unionByName(at_large.drop("_fine"))
     low = F.max(F.when(F.col("_low").isNotNull(), v))
     high = F.max(F.when(F.col("_high").isNotNull(), v))
-    return at_value.groupBy(*keys).agg(
+    return found.groupBy(*keys).agg(
         F.max("n").alias("n"), (low * 0.5 + high * 0.5).alias("median")
     )
 
 
-def _holding_middle(df: DataFrame, partition: Sequence[str], order: str) -> DataFrame:
+def _holding_middle(
+    df: DataFrame, partition: Sequence[str], order: str, kept: Sequence[str] = ()
+) -> DataFrame:
     """Rows that hold the position ``_low`` or ``_high`` of their partition.
 
     The positions are made relative to the row; the one it lacks becomes NULL.
@@ -134,5 +144,5 @@ def _holding_middle(df: DataFrame, partition: Sequence[str], order: str) -> Data
     return (
         with_before.withColumns({"_low": inside("_low"), "_high": inside("_high")})
         .filter(F.col("_low").isNotNull() | F.col("_high").isNotNull())
-        .select(*partition, order, "n", "_low", "_high")
+        .select(*partition, order, "n", "_low", "_high", *kept)
     )

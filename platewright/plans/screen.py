@@ -8,7 +8,7 @@ rows of both tables are used, so plates grow in number with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHANNELS = ["HOECHST 33342", "Alexa 647", "Alexa 488narrow", "Brightfield"]
@@ -21,73 +21,68 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def position(order_key: str) -> dict[str, Column]:
-    """Plate, well and field of the image that an order key falls in."""
-    return {
-        "plate": F.expr(f"concat('P', lpad(cast({order_key} div 1536 as string), 6, '0'))"),
-        "Row": F.expr(f"({order_key} div 16) % 96 div 12 + 1"),
-        "Column": F.expr(f"({order_key} div 16) % 12 + 1"),
-        "Field": F.expr(f"({order_key} div 4) % 4 + 1"),
-    }
+def position(order_key: str) -> list[str]:
+    """Plate, well and field of the image that an order key falls in, in SQL."""
+    return [
+        f"concat('P', lpad(cast({order_key} div 1536 as string), 6, '0')) AS plate",
+        f"({order_key} div 16) % 96 div 12 + 1 AS `Row`",
+        f"({order_key} div 16) % 12 + 1 AS `Column`",
+        f"({order_key} div 4) % 4 + 1 AS Field",
+    ]
+
+
+def _choice(value: str, options: list[str] | dict[str, str]) -> str:
+    """SQL for the option by number (from 0) or by key."""
+    items = options.items() if isinstance(options, dict) else enumerate(options)
+    cases = " ".join(f"WHEN {key!r} THEN '{option}'" for key, option in items)
+    return f"CASE {value} {cases} END"
 
 
 def index_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index rows; seen in order of date, with no Field for low priorities."""
-    channel = F.expr("o_orderkey % 4 + 1")
-    bright = channel == 4
-    size = F.when(bright, 2160).otherwise(1080).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    place = position("o_orderkey")
-    days = F.datediff("o_orderdate", F.lit("1992-01-01").cast("date")).cast("bigint")
-    return table(spark, sf_dir, "orders").select(
-        (days * 10_000_000_000 + F.col("o_orderkey")).alias("seq"),
-        place["plate"].alias("plate"), place["Row"].alias("Row"),
-        place["Column"].alias("Column"), one.alias("Plane"), one.alias("Timepoint"),
-        one.alias("Sequence"),
-        F.when(F.col("o_orderpriority") != "5-LOW", place["Field"]).alias("Field"),
-        channel.alias("ChannelID"),
-        F.element_at(F.array(*[F.lit(c) for c in CHANNELS]), channel.cast("int")).alias("ChannelName"),
-        F.when(bright, "Brightfield").otherwise("Fluorescence").alias("ChannelType"),
-        size.alias("ImageSizeX"), size.alias("ImageSizeY"),
-        (place["Field"] * 0.25).cast("double").alias("PositionXm"),
-        (place["Field"] * -0.5).cast("double").alias("PositionYm"),
+    channel = "o_orderkey % 4"
+    size = f"cast(if({channel} = 3, 2160, 1080) as bigint)"
+    return (
+        table(spark, sf_dir, "orders")
+        .selectExpr("*", *position("o_orderkey"))
+        .selectExpr(
+            "cast(datediff(o_orderdate, date'1992-01-01') as bigint) * 10000000000 + o_orderkey AS seq",
+            "plate", "`Row`", "`Column`", "1L AS Plane", "1L AS Timepoint", "1L AS Sequence",
+            "if(o_orderpriority <> '5-LOW', Field, null) AS Field",
+            f"{channel} + 1 AS ChannelID", f"{_choice(channel, CHANNELS)} AS ChannelName",
+            f"if({channel} = 3, 'Brightfield', 'Fluorescence') AS ChannelType",
+            f"{size} AS ImageSizeX", f"{size} AS ImageSizeY",
+            "Field * 0.25D AS PositionXm", "Field * -0.5D AS PositionYm",
+        )
     )
 
 
 def files_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image files: two for finished orders, a name that is no image for pending ones."""
-    place = position("o_orderkey")
-    shots = F.when(F.col("o_orderstatus") == "F", 2).otherwise(1)
-    name = F.format_string(
-        "r%02dc%02df%02dp%02d-ch%d%s.tiff", place["Row"], place["Column"], place["Field"],
-        F.col("shot"), F.expr("o_orderkey % 4 + 1"),
-        F.when(F.col("o_orderstatus") == "P", "").otherwise("sk1fk1fl1"),
+
+    def two(number: str) -> str:
+        return f"lpad(cast({number} as string), 2, '0')"
+
+    name = (
+        f"concat('r', {two('`Row`')}, 'c', {two('`Column`')}, 'f', {two('Field')}, 'p', {two('shot')},"
+        " '-ch', o_orderkey % 4 + 1, if(o_orderstatus = 'P', '', 'sk1fk1fl1'), '.tiff')"
     )
     return (
         table(spark, sf_dir, "orders")
-        .withColumn("shot", F.explode(F.sequence(F.lit(1), shots)))
-        .select(
-            place["plate"].alias("plate"), F.col("o_orderkey").alias("seq"),
-            F.concat(F.lit("C:\\img\\"), place["plate"], F.lit("\\"), name).alias("path"),
-        )
+        .selectExpr("*", "explode(sequence(1, if(o_orderstatus = 'F', 2, 1))) AS shot")
+        .selectExpr("*", *position("o_orderkey"))
+        .selectExpr("plate", "o_orderkey AS seq", f"concat_ws(chr(92), 'C:', 'img', plate, {name}) AS path")
     )
 
 
 def objects_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects of all populations, with two measures."""
-    named = F.create_map(*[F.lit(x) for pair in POPULATIONS.items() for x in pair])
-    box = F.format_string(
-        "[%d,%d,%d,%d]", F.col("l_linenumber").cast("bigint"), F.expr("l_suppkey % 50"),
-        F.col("l_quantity").cast("bigint"), F.expr("l_partkey % 100"),
-    )
-    return table(spark, sf_dir, "lineitem").select(
-        *[c.alias(n) for n, c in position("l_orderkey").items()],
-        named[F.col("l_returnflag")].alias("population"),
-        F.col("l_linenumber").cast("bigint").alias("ObjectNo"),
-        F.col("l_quantity").alias("X"), F.col("l_discount").alias("Y"),
-        box.alias("BoundingBox"),
-        F.col("l_extendedprice").alias("Area"),
-        F.nullif(F.col("l_tax"), F.lit(0.0)).alias("Intensity"),
+    box = "concat('[', l_linenumber, ',', l_suppkey % 50, ',', cast(l_quantity as bigint), ',', l_partkey % 100, ']')"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *position("l_orderkey"),
+        f"{_choice('l_returnflag', POPULATIONS)} AS population",
+        "cast(l_linenumber as bigint) AS ObjectNo", "l_quantity AS X", "l_discount AS Y",
+        f"{box} AS BoundingBox", "l_extendedprice AS Area", "nullif(l_tax, 0.0D) AS Intensity",
     )
 
 

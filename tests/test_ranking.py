@@ -3,9 +3,9 @@ import random
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
 
-from platewright.operators.ranking import dense_number, grouped_median, sortable_long
+from platewright.operators import ranking
+from platewright.operators.ranking import dense_number, grouped_median, with_sortable_long
 
 
 def _numbers(rows):
@@ -40,17 +40,19 @@ def test_sortable_long_keeps_order(spark):
     values |= {rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(2000)}
     ordered = sorted(values)
     df = spark.createDataFrame([(v,) for v in ordered], "v double")
-    keys = {r["v"]: r["k"] for r in df.select("v", sortable_long(F.col("v")).alias("k")).collect()}
+    keys = {r["v"]: r["k"] for r in with_sortable_long(df, "v", "k").collect()}
     numbers = [keys[v] for v in ordered]
     assert all(a < b for a, b in zip(numbers, numbers[1:]))
 
 
 def test_sortable_long_of_negative_zero(spark):
-    got = spark.createDataFrame([(-0.0,), (0.0,)], "v double").select(sortable_long(F.col("v")).alias("k"))
+    got = with_sortable_long(spark.createDataFrame([(-0.0,), (0.0,)], "v double"), "v", "k")
     assert {r["k"] for r in got.collect()} == {0}
 
 
-def test_grouped_median(spark):
+@pytest.mark.parametrize("largest", [ranking.MAX_WINDOW, 5])
+def test_grouped_median(spark, monkeypatch, largest):
+    monkeypatch.setattr(ranking, "MAX_WINDOW", largest)
     rng = random.Random(3)
     groups = {
         "odd": [rng.uniform(-100, 100) for _ in range(101)],
