@@ -128,20 +128,23 @@ def well_median_std(spark, sf_dir):
 
 
 def image_table(spark, sf_dir):
-    flat = im.flatten_images(
-        screen.index_view(spark, sf_dir), parse_image_paths(screen.files_view(spark, sf_dir)),
+    index = screen.index_view(spark, sf_dir)
+    return profiles.image_table(
+        index,
+        parse_image_paths(screen.files_view(spark, sf_dir)),
         screen.LINKS,
+        keys.image_keys(index),
+        {p: _population(spark, sf_dir, p) for p in screen.LINKS},
+        {p: screen.measure_names(p) for p in screen.LINKS},
+        decimals=screen.DECIMALS,
     )
-    objects = {p: _population(spark, sf_dir, p) for p in screen.LINKS}
-    measures = {p: screen.measure_names(p) for p in screen.LINKS}
-    return profiles.image_table(flat, objects, measures, decimals=screen.DECIMALS)
 
 
 def image_table_zero(spark, sf_dir):
     images = keys.image_keys(screen.index_view(spark, sf_dir))
     objects = {p: _population(spark, sf_dir, p) for p in screen.LINKS}
-    flat = images.select("plate", "ImageNumber", "Well", "Field")
-    return profiles.image_table(flat, objects, {p: [] for p in objects}, zero_fill=True)
+    counted = profiles.with_profiles(images, objects, {p: [] for p in objects}, zero_fill=True)
+    return counted.drop("Row", "Column", "WellRow", "WellColumn", "first_seq", "index_rows")
 
 
 # -- channels, files, images -----------------------------------------------
@@ -189,8 +192,9 @@ def attach_paths(spark, sf_dir):
 
 
 def image_flatten(spark, sf_dir):
+    index = screen.index_view(spark, sf_dir)
     files = parse_image_paths(screen.files_view(spark, sf_dir))
-    return im.flatten_images(screen.index_view(spark, sf_dir), files, screen.LINKS)
+    return im.flatten_images(index, files, screen.LINKS, keys.image_keys(index))
 
 
 def image_flatten_15key(spark, sf_dir):

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import file_name, folder
-from ..functions.wells import with_wells
 from ..schema import FLATTEN_KEYS, IMAGE_KEYS, PLATE, SEQ
+from ..session import shared_folder
 from .joins import split_left_join
 from .ranking import dense_number
 
@@ -56,12 +56,18 @@ def require_links(populations: Sequence[str], links: Mapping[str, str]) -> None:
 
 
 def number_folders(files: DataFrame, seq: str = SEQ) -> DataFrame:
-    """``(folder, n_images, FolderNumber)``, numbered in first-seen order."""
-    folders = (
-        files.withColumn("folder", folder(F.col("path")))
-        .groupBy("folder")
-        .agg(F.count("*").alias("n_images"), F.min(seq).alias("_first"))
-    )
+    """``(folder, n_images, FolderNumber)``, numbered in first-seen order.
+
+    Files without ``seq`` are numbered by folder name.
+    """
+    listed = files.withColumn("folder", folder(F.col("path"))).groupBy("folder")
+    if seq in files.columns:
+        folders = listed.agg(F.count("*").alias("n_images"), F.min(seq).alias("_first"))
+    else:
+        ordered = listed.agg(F.count("*").alias("n_images")).orderBy("folder")
+        shared_folder(files.sparkSession)
+        # the places in the sorted order must not change between two readings
+        folders = ordered.withColumn("_first", F.monotonically_increasing_id()).checkpoint()
     return dense_number(folders, [], "_first", "FolderNumber", ties=["folder"]).drop("_first")
 
 
@@ -94,12 +100,6 @@ def _path_columns(links: Mapping[str, str]) -> list[Column]:
     return columns
 
 
-def with_file_names(images: DataFrame, populations: Sequence[str]) -> DataFrame:
-    return images.withColumns(
-        {f"Image_FileName_{p}": file_name(F.col(f"Image__URL_{p}")) for p in populations}
-    )
-
-
 def _channel_rows(index: DataFrame, files: DataFrame, grain: Sequence[str], kept: Mapping[str, Column]) -> DataFrame:
     """The index reduced to ``grain`` and channel, with the channel's file.
 
@@ -115,50 +115,38 @@ def _channel_rows(index: DataFrame, files: DataFrame, grain: Sequence[str], kept
 
 
 def flatten_images(
-    index: DataFrame,
-    files: DataFrame,
-    links: Mapping[str, str],
-    images: DataFrame | None = None,
-    plate_type: int = 96,
+    index: DataFrame, files: DataFrame, links: Mapping[str, str], images: DataFrame
 ) -> DataFrame:
     """One row per plate, image, plane and timepoint, with paths by population.
 
-    All populations come out of one aggregation. Image numbers are taken from
-    ``images``, or made from the reduced index.
+    All populations come out of one aggregation. ``images`` has one row per
+    image (``keys.image_keys``); columns added to it come along.
     """
     grain = [*IMAGE_KEYS, "Plane", "Timepoint"]
     kept = {c: F.max(c) for c in IMAGE_ATTRIBUTES}
-    rows = _channel_rows(index, files, grain, {"_first": F.min(SEQ), **kept})
-    flat = rows.groupBy(*grain).agg(
-        F.min("_first").alias("_first"), *[c.alias(n) for n, c in kept.items()], *_path_columns(links)
-    )
-    if images is None:
-        firsts = flat.groupBy(*IMAGE_KEYS).agg(F.min("_first").alias("_first"))
-        images = dense_number(firsts, [PLATE], "_first", "ImageNumber", ties=IMAGE_KEYS)
-    numbered = flat.join(images.select(*IMAGE_KEYS, "ImageNumber"), IMAGE_KEYS)
+    rows = _channel_rows(index, files, grain, kept)
+    flat = rows.groupBy(*grain).agg(*[c.alias(n) for n, c in kept.items()], *_path_columns(links))
+    numbered = flat.join(images.drop("first_seq", "index_rows"), IMAGE_KEYS)
     urls = [c for p in links for c in (f"Image_Path_{p}", f"Image__URL_{p}")]
-    table = with_wells(numbered, plate_type).select(PLATE, *FLATTEN_KEYS, *urls)
-    return with_file_names(table, list(links))
+    names = {f"Image_FileName_{p}": file_name(F.col(f"Image__URL_{p}")) for p in links}
+    added = [c for c in numbered.columns if c not in {PLATE, *FLATTEN_KEYS, *urls}]
+    return numbered.withColumns(names).select(PLATE, *FLATTEN_KEYS, *urls, *names, *added)
 
 
 def flatten_15(
-    index: DataFrame,
-    files: DataFrame,
-    links: Mapping[str, str],
-    images: DataFrame,
-    plate_type: int = 96,
+    index: DataFrame, files: DataFrame, links: Mapping[str, str], images: DataFrame
 ) -> DataFrame:
     """The literal grouping by all 15 index columns (and the plate).
 
     Channels of different type come out as separate rows of one image.
     """
-    derived = {"ImageNumber", "Well", "WellRow", "WellColumn"}
+    derived = ["ImageNumber", "Well", "WellRow", "WellColumn"]
     grain = [PLATE, *[k for k in FLATTEN_KEYS if k not in derived]]
     rows = _channel_rows(index, files, grain, {"_n": F.count("*")})
     flat = rows.groupBy(*grain).agg(*_path_columns(links))
-    numbered = flat.join(images.select(*IMAGE_KEYS, "ImageNumber"), IMAGE_KEYS)
+    numbered = flat.join(images.select(*IMAGE_KEYS, *derived), IMAGE_KEYS)
     urls = [c for p in links for c in (f"Image_Path_{p}", f"Image__URL_{p}")]
-    return with_wells(numbered, plate_type).select(PLATE, *FLATTEN_KEYS, *urls)
+    return numbered.select(PLATE, *FLATTEN_KEYS, *urls)
 
 
 def first_values(reference: DataFrame, keys: Sequence[str], value: str, seq: str = SEQ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import prefixed_names
 from ..schema import PLATE, PROFILE_KEYS
+from .images import flatten_images
 from .ranking import grouped_median
 
 
@@ -53,20 +54,38 @@ def add_profile(
 
 
 def image_table(
-    flat: DataFrame,
+    index: DataFrame,
+    files: DataFrame,
+    links: Mapping[str, str],
+    images: DataFrame,
     objects: Mapping[str, DataFrame],
     measures: Mapping[str, Sequence[str]],
     decimals: int | None = None,
     zero_fill: bool = False,
 ) -> DataFrame:
-    """The per-image table: counts and means of every population."""
+    """The per-image table: paths, counts and means of every population.
+
+    Counts and means join the image keys, one row on either side, and come
+    along when the keys join the planes and timepoints of the images.
+    """
+    images = with_profiles(images, objects, measures, decimals, zero_fill)
+    return flatten_images(index, files, links, images)
+
+
+def with_profiles(
+    images: DataFrame,
+    objects: Mapping[str, DataFrame],
+    measures: Mapping[str, Sequence[str]],
+    decimals: int | None = None,
+    zero_fill: bool = False,
+) -> DataFrame:
+    """Image keys with counts and means of every population."""
     prefixed_names([m for p in objects for m in measures[p]])
-    table = flat
     for population, rows in objects.items():
         count_name = f"Image_Count_{population}"
         profile = field_profile(rows, measures[population], count_name, decimals=decimals)
-        table = add_profile(table, profile, [count_name] if zero_fill else [])
-    return table
+        images = add_profile(images, profile, [count_name] if zero_fill else [])
+    return images
 
 
 def well_profile(

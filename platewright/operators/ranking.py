@@ -8,6 +8,7 @@ than 2**22 rows, whatever the size of the group, and the result is exact.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -68,7 +69,7 @@ def with_sortable_long(df: DataFrame, value: str, name: str) -> DataFrame:
     """
     x, size, guess, exponent = (F.col(c) for c in (value, "_size", "_guess", "_exponent"))
     two, steps = F.lit(2.0), F.lit(2 ** 52)
-    smallest = F.lit(2.2250738585072014e-308)  # 2 ** -1022
+    smallest = F.lit(sys.float_info.min)  # 2 ** -1022
     correction = F.when(size >= F.pow(two, guess + 1), 1).when(size < F.pow(two, guess), -1).otherwise(0)
     mantissa = ((size / F.pow(two, exponent) - 1) * steps).cast("bigint")
     bits = (
@@ -79,7 +80,7 @@ def with_sortable_long(df: DataFrame, value: str, name: str) -> DataFrame:
     )
     return (
         df.withColumn("_size", F.abs(x))
-        .withColumn("_guess", F.floor(F.log2(size)))
+        .withColumn("_guess", F.floor(F.log2(F.least(size, F.lit(sys.float_info.max)))))
         .withColumn("_exponent", guess + correction)
         .withColumn("_bits", bits)
         .withColumn(name, F.when(x < 0, -F.col("_bits")).otherwise(F.col("_bits")))
