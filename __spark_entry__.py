@@ -134,7 +134,7 @@ def image_table(spark, sf_dir):
         parse_image_paths(screen.files_view(spark, sf_dir)),
         screen.LINKS,
         keys.image_keys(index),
-        {p: _population(spark, sf_dir, p) for p in screen.LINKS},
+        {p: screen.population_view(spark, sf_dir, p) for p in screen.LINKS},
         {p: screen.measure_names(p) for p in screen.LINKS},
         decimals=screen.DECIMALS,
     )
@@ -142,7 +142,7 @@ def image_table(spark, sf_dir):
 
 def image_table_zero(spark, sf_dir):
     images = keys.image_keys(screen.index_view(spark, sf_dir))
-    objects = {p: _population(spark, sf_dir, p) for p in screen.LINKS}
+    objects = {p: screen.population_view(spark, sf_dir, p) for p in screen.LINKS}
     counted = profiles.with_profiles(images, objects, {p: [] for p in objects}, zero_fill=True)
     return counted.drop("Row", "Column", "WellRow", "WellColumn", "first_seq", "index_rows")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import prefixed_names
-from ..schema import PLATE, PROFILE_KEYS
+from ..schema import IMAGE_KEYS, PLATE, PROFILE_KEYS
 from .images import flatten_images
 from .ranking import grouped_median
 
@@ -40,16 +40,19 @@ def field_profile(
 
 
 def add_profile(
-    images: DataFrame, profile: DataFrame, zero_fill: Sequence[str] = ()
+    images: DataFrame,
+    profile: DataFrame,
+    zero_fill: Sequence[str] = (),
+    by: Sequence[str] = PROFILE_KEYS,
 ) -> DataFrame:
-    """Per-image values onto every image row of their plate, well and field.
+    """Per-image values onto every image row with the same keys.
 
     Images without objects keep NULL; counts in ``zero_fill`` become 0.
     """
-    joined = images.join(profile, PROFILE_KEYS, "left")
+    joined = images.join(profile, list(by), "left")
     if zero_fill:
         joined = joined.fillna(0, subset=list(zero_fill))
-    added = [c for c in profile.columns if c not in PROFILE_KEYS]
+    added = [c for c in profile.columns if c not in by]
     return joined.select(*images.columns, *added)
 
 
@@ -79,12 +82,16 @@ def with_profiles(
     decimals: int | None = None,
     zero_fill: bool = False,
 ) -> DataFrame:
-    """Image keys with counts and means of every population."""
+    """Image keys with counts and means of every population.
+
+    Grouped by row and column rather than by the well they stand for, so that
+    no label is made per object, and all joins share one partitioning.
+    """
     prefixed_names([m for p in objects for m in measures[p]])
     for population, rows in objects.items():
         count_name = f"Image_Count_{population}"
-        profile = field_profile(rows, measures[population], count_name, decimals=decimals)
-        images = add_profile(images, profile, [count_name] if zero_fill else [])
+        profile = field_profile(rows, measures[population], count_name, IMAGE_KEYS, decimals)
+        images = add_profile(images, profile, [count_name] if zero_fill else [], IMAGE_KEYS)
     return images
 
 
