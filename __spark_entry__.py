@@ -326,7 +326,7 @@ def ingest_roundtrip(spark, sf_dir):
         .withColumnsRenamed(dict(zip(screen.measure_names(p), MEASURES)))
         for p in exports.populations_of(heads)
     ]
-    return exports._union(frames)
+    return exports.union_tables(frames)
 
 
 def _write_object_exports(spark, sf_dir, root):
