@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 FINE_BITS = 21
 COARSE_BITS = 42
-MAX_WINDOW = 1 << FINE_BITS
 
 
 def _buckets(key: Column) -> dict[str, Column]:
@@ -92,46 +91,37 @@ def grouped_median(values: DataFrame, group: Sequence[str], value: str = "value"
     """Exact interpolated median and count per group: ``(*group, n, median)``.
 
     Equal values are counted before the shuffle. The bucket that holds the
-    middle is found from counts; its values are then ranked. A bucket with too
-    many distinct values for one window is cut once more.
+    middle is found from counts, first coarse, then fine; only its values, at
+    most 2**21, are ranked. Counts and values share one partitioning by fine
+    bucket.
     """
     keys = list(group)
     v = F.col(value)
+    coarse_keys, fine_keys = [*keys, "_coarse"], [*keys, "_coarse", "_fine"]
     counted = (
         values.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     )
-    distinct = with_sortable_long(counted, value, "_key").withColumns(_buckets(F.col("_key"))).drop("_key")
+    bucketed = with_sortable_long(counted, value, "_key").withColumns(_buckets(F.col("_key"))).drop("_key")
+    distinct = bucketed.repartition(*fine_keys)
+    fine = distinct.groupBy(*fine_keys).agg(F.sum("_n").alias("_n"))
+    coarse = fine.groupBy(*coarse_keys).agg(F.sum("_n").alias("_n"))
 
-    coarse = distinct.groupBy(*keys, "_coarse").agg(F.sum("_n").alias("_n"), F.count("*").alias("_values"))
     coarse = (
         coarse.withColumn("n", F.sum("_n").over(Window.partitionBy(*keys)))
         .withColumn("_low", F.floor((F.col("n") - 1) / 2))
         .withColumn("_high", F.floor(F.col("n") / 2))
     )
-    middle = _holding_middle(coarse, keys, "_coarse", ["_values"])
-    few = F.col("_values") <= MAX_WINDOW
-    small = distinct.join(middle.filter(few), [*keys, "_coarse"])
-    large = distinct.join(middle.filter(~few), [*keys, "_coarse"])
-
-    at_value = _holding_middle(small, [*keys, "_coarse"], value)
-    fine = large.groupBy(*keys, "_coarse", "_fine").agg(
-        F.sum("_n").alias("_n"), *[F.first(c).alias(c) for c in ("n", "_low", "_high")]
-    )
-    in_fine = _holding_middle(fine, [*keys, "_coarse"], "_fine")
-    at_large = _holding_middle(
-        distinct.join(in_fine, [*keys, "_coarse", "_fine"]), [*keys, "_coarse", "_fine"], value
-    )
-    found = at_value.unionByName(at_large.drop("_fine"))
+    in_coarse = _holding_middle(coarse, keys, "_coarse")
+    in_fine = _holding_middle(fine.join(in_coarse, coarse_keys), coarse_keys, "_fine")
+    at_value = _holding_middle(distinct.join(in_fine, fine_keys), fine_keys, value)
     low = F.max(F.when(F.col("_low").isNotNull(), v))
     high = F.max(F.when(F.col("_high").isNotNull(), v))
-    return found.groupBy(*keys).agg(
+    return at_value.groupBy(*keys).agg(
         F.max("n").alias("n"), (low * 0.5 + high * 0.5).alias("median")
     )
 
 
-def _holding_middle(
-    df: DataFrame, partition: Sequence[str], order: str, kept: Sequence[str] = ()
-) -> DataFrame:
+def _holding_middle(df: DataFrame, partition: Sequence[str], order: str) -> DataFrame:
     """Rows that hold the position ``_low`` or ``_high`` of their partition.
 
     The positions are made relative to the row; the one it lacks becomes NULL.
@@ -145,5 +135,5 @@ def _holding_middle(
     return (
         with_before.withColumns({"_low": inside("_low"), "_high": inside("_high")})
         .filter(F.col("_low").isNotNull() | F.col("_high").isNotNull())
-        .select(*partition, order, "n", "_low", "_high", *kept)
+        .select(*partition, order, "n", "_low", "_high")
     )
