@@ -90,8 +90,12 @@ def rename_measures(spark, sf_dir):
 # -- counts and means ------------------------------------------------------
 
 
-def _with_wells(spark, sf_dir):
-    return wells.with_wells(screen.objects_view(spark, sf_dir))
+WELL = ["plate", "population", "Row", "Column"]
+
+
+def _labelled(grouped: DataFrame) -> DataFrame:
+    """Row and Column as Well, once per group instead of once per object."""
+    return wells.with_wells(grouped).drop("Row", "Column", "WellRow", "WellColumn")
 
 
 def _population(spark, sf_dir, population):
@@ -100,31 +104,26 @@ def _population(spark, sf_dir, population):
 
 def field_profile(spark, sf_dir):
     images = keys.image_keys(screen.index_view(spark, sf_dir))
-    profile = profiles.field_profile(
-        _population(spark, sf_dir, "Hoechst"), screen.measure_names("Hoechst"),
-        "Image_Count_Hoechst", decimals=screen.DECIMALS,
-    )
-    return profiles.add_profile(images.select("plate", "ImageNumber", "Well", "Field"), profile)
-
-
-BY_IMAGE = ["plate", "population", "Well", "Field"]
+    objects = {"Hoechst": screen.population_view(spark, sf_dir, "Hoechst")}
+    measures = {"Hoechst": screen.measure_names("Hoechst")}
+    table = profiles.with_profiles(images, objects, measures, screen.DECIMALS)
+    return table.drop("Row", "Column", "WellRow", "WellColumn", "first_seq", "index_rows")
 
 
 def count_per_image(spark, sf_dir):
-    return profiles.field_profile(_with_wells(spark, sf_dir), [], "Image_Count", by=BY_IMAGE)
+    objects = screen.objects_view(spark, sf_dir)
+    return _labelled(profiles.field_profile(objects, [], "Image_Count", [*WELL, "Field"]))
 
 
 def mean_per_image(spark, sf_dir):
-    profile = profiles.field_profile(
-        _with_wells(spark, sf_dir), MEASURES, "n", by=BY_IMAGE, decimals=screen.DECIMALS
-    )
-    return profile.drop("n")
+    objects = screen.objects_view(spark, sf_dir)
+    profile = profiles.field_profile(objects, MEASURES, "n", [*WELL, "Field"], screen.DECIMALS)
+    return _labelled(profile.drop("n"))
 
 
 def well_median_std(spark, sf_dir):
-    by = ["plate", "population", "Well"]
-    profile = profiles.well_profile(_with_wells(spark, sf_dir), MEASURES, by)
-    return profile.withColumns({f"Std_{m}": F.round(f"Std_{m}", 4) for m in MEASURES})
+    profile = profiles.well_profile(screen.objects_view(spark, sf_dir), MEASURES, WELL)
+    return _labelled(profile).withColumns({f"Std_{m}": F.round(f"Std_{m}", 4) for m in MEASURES})
 
 
 def image_table(spark, sf_dir):

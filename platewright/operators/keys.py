@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.wells import with_wells
 from ..schema import IMAGE_KEYS, SEQ
 from .joins import split_left_join
-from .ranking import dense_number
+from .ranking import dense_number, present
 
 
 def image_keys(index: DataFrame, plate_type: int = 96) -> DataFrame:
@@ -24,7 +24,7 @@ def image_keys(index: DataFrame, plate_type: int = 96) -> DataFrame:
         by_position = F.shiftleft("Row", 42) + F.shiftleft("Column", 21) + F.col("Field")
         index = index.withColumn(SEQ, by_position)
     images = (
-        index.dropna(subset=IMAGE_KEYS)
+        present(index, IMAGE_KEYS)
         .groupBy(*IMAGE_KEYS)
         .agg(F.min(SEQ).alias("first_seq"), F.count("*").alias("index_rows"))
     )

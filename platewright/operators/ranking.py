@@ -19,7 +19,23 @@ COARSE_BITS = 42
 
 
 def _buckets(key: Column) -> dict[str, Column]:
-    return {"_coarse": F.shiftright(key, COARSE_BITS), "_fine": F.shiftright(key, FINE_BITS)}
+    """Bucket numbers of a key that is never NULL.
+
+    Declared so, the joins on them add no filters, and the branches of a plan
+    that count buckets and that rank rows share what is below them.
+    """
+    none = F.lit(0).cast("bigint")
+    return {
+        "_coarse": F.coalesce(F.shiftright(key, COARSE_BITS), none),
+        "_fine": F.coalesce(F.shiftright(key, FINE_BITS), none),
+    }
+
+
+def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows without NULL in the columns, said column by column for the optimizer."""
+    for column in columns:
+        df = df.filter(F.col(column).isNotNull())
+    return df
 
 
 def _rows_before(n: str, partition: Sequence[str], order: str) -> Column:
@@ -92,11 +108,12 @@ def grouped_median(values: DataFrame, group: Sequence[str], value: str = "value"
 
     Equal values are counted before the shuffle. The bucket that holds the
     middle is found from counts, first coarse, then fine; only its values, at
-    most 2**21, are ranked. Counts and values share one partitioning by fine
-    bucket.
+    most 2**21, are ranked. The group is one struct, which is never NULL itself,
+    so groups with a NULL in them are kept by the joins.
     """
-    keys = list(group)
+    keys = ["_group"]
     v = F.col(value)
+    values = values.select(F.struct(*group).alias("_group"), value)
     coarse_keys, fine_keys = [*keys, "_coarse"], [*keys, "_coarse", "_fine"]
     counted = (
         values.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count("*").alias("_n"))
@@ -116,9 +133,10 @@ def grouped_median(values: DataFrame, group: Sequence[str], value: str = "value"
     at_value = _holding_middle(distinct.join(in_fine, fine_keys), fine_keys, value)
     low = F.max(F.when(F.col("_low").isNotNull(), v))
     high = F.max(F.when(F.col("_high").isNotNull(), v))
-    return at_value.groupBy(*keys).agg(
+    medians = at_value.groupBy(*keys).agg(
         F.max("n").alias("n"), (low * 0.5 + high * 0.5).alias("median")
     )
+    return medians.select("_group.*", "n", "median")
 
 
 def _holding_middle(df: DataFrame, partition: Sequence[str], order: str) -> DataFrame:

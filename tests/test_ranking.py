@@ -68,3 +68,9 @@ def test_grouped_median(spark):
     for g, vs in groups.items():
         assert got[g][0] == len(vs)
         assert got[g][1] == pytest.approx(statistics.median(vs), rel=1e-12)
+
+
+def test_grouped_median_keeps_groups_with_null(spark):
+    df = spark.createDataFrame([("a", None, 1.0), ("a", None, 3.0), (None, 1, 5.0)], "g string, h int, value double")
+    got = {(r["g"], r["h"]): r["median"] for r in grouped_median(df, ["g", "h"]).collect()}
+    assert got == {("a", None): 2.0, (None, 1): 5.0}
