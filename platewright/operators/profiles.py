@@ -104,13 +104,15 @@ def well_profile(
     fit into one task.
     """
     keys = list(by)
-    deviations = objects.groupBy(*keys).agg(
+    group = F.struct(*keys).alias("_group")  # never NULL, so every group joins
+    deviations = objects.groupBy(group).agg(
         *[F.stddev_samp(m).alias(n) for m, n in zip(measures, prefixed_names(measures, "Std"))]
     )
     long = objects.select(*keys, *measures).unpivot(keys, list(measures), "measure", "value")
-    medians = grouped_median(long, [*keys, "measure"])
-    wide = medians.groupBy(*keys).agg(*[
+    medians = grouped_median(long, [*keys, "measure"]).groupBy(group).agg(*[
         F.max(F.when(F.col("measure") == m, F.col("median"))).alias(n)
         for m, n in zip(measures, prefixed_names(measures, "Median"))
     ])
-    return deviations.join(wide, keys, "left")
+    return deviations.join(medians, "_group", "left").select("_group.*", *[
+        c for c in [*deviations.columns, *medians.columns] if c != "_group"
+    ])

@@ -154,12 +154,13 @@ def test_image_table_keeps_empty_images(index, files, objects):
 
 
 def test_well_profile(spark):
-    rows = [("P", "A01", v) for v in (1.0, 2.0, 10.0, None)] + [("P", "A02", 4.0), ("P", "A03", None)]
+    rows = [("P", "A01", v) for v in (1.0, 2.0, 10.0, None)] + [("P", "A02", 4.0), ("P", "A03", None), ("P", None, 8.0)]
     df = spark.createDataFrame(rows, "plate string, Well string, Area double")
     got = {r["Well"]: (r["Median_Area"], r["Std_Area"]) for r in profiles.well_profile(df, ["Area"]).collect()}
     assert got["A01"] == (2.0, pytest.approx(4.932882862))
     assert got["A02"] == (4.0, None)
     assert got["A03"] == (None, None)
+    assert got[None] == (8.0, None)
 
 
 def test_object_columns_renamed_to_the_end(objects):
