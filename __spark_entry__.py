@@ -7,6 +7,7 @@ SQL. All queries run over the whole tables.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -27,6 +28,20 @@ from platewright.sources import exports, synthetic, tables
 from platewright.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _present(name: str):
+    """A module of the training-data part, or None where that part is left out."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name and name.startswith(error.name):
+            return None
+        raise
+
+
+llm = _present("platewright.llm.queries")
+corpus_pipeline = _present("corpus_pipeline")
 MEASURES = ["Area", "Intensity"]
 
 
@@ -370,7 +385,10 @@ def convert_plates(spark, sf_dir):
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    found = {**ORACLE, **(llm.ORACLE if llm else {})}
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def queries() -> dict[str, Query]:
@@ -413,4 +431,6 @@ def queries() -> dict[str, Query]:
         "ingest_roundtrip": ingest_roundtrip,
         "table_rewrite": table_rewrite,
         "convert_plates": convert_plates,
+        **(llm.queries() if llm else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
