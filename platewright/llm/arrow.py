@@ -10,6 +10,16 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+#: Bytes of a batch that a function gets at once, whole rows each time.
+PART_BYTES = 4 << 20
+
+
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def with_arrow_columns(
     df: DataFrame, added: T.StructType, make: Callable[[], Callable[[pa.RecordBatch], list]]
 ) -> DataFrame:
@@ -26,7 +36,7 @@ def with_arrow_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole)):
             new = [pa.array(v, t) if not isinstance(v, pa.Array) else v.cast(t)
                    for v, t in zip(function(batch), types)]
             columns = [batch.column(name) for name in keep]

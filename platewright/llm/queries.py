@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewright.llm import bpe, simhash
+from platewright.llm import bpe, decontaminate, linedup, quality, simhash
+from platewright.session import shared_folder
 
 #: Shingle length in words and largest number of differing bits.
 SIMHASH = {"shingle": 3, "distance": 3}
@@ -22,6 +23,30 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
         return file.read()
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines lost and what is left of each document that loses some; texts whole."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    deleted = linedup.deleted_lines(docs).checkpoint()
+    left = linedup.without_lines(
+        docs.join(deleted.select("doc_id"), "doc_id", "left_semi"), deleted, drop_emptied=False)
+    return left.join(deleted, "doc_id").select(
+        "doc_id", F.size("deleted").cast("long").alias("n_deleted"), "deleted", F.sha2("text", 256).alias("left_sha256")
+    )
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_folder(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.with_quality(quality.with_measures(docs).drop("text").checkpoint())
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), **SIMHASH)
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
@@ -45,6 +70,9 @@ ORACLE: dict[str, str] = {}
 
 def queries() -> dict:
     return {
+        "op2_line_dedup": op2_line_dedup,
+        "op3_decontamination": op3_decontamination,
+        "op4_quality": op4_quality,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_bpe_round_trip": op10_bpe_round_trip,
     }
