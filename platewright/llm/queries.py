@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewright.llm import bpe, decontaminate, linedup, quality, simhash
-from platewright.session import shared_folder
+from platewright.llm import bpe, decontaminate, linedup, lm, passages, pii, quality, shards, simhash, warc
+from platewright.session import new_folder, shared_folder
 
+SHARDS = 16
 #: Shingle length in words and largest number of differing bits.
 SIMHASH = {"shingle": 3, "distance": 3}
 
@@ -23,6 +24,10 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
         return file.read()
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines lost and what is left of each document that loses some; texts whole."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,6 +52,44 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        "lang", "source", "n_chars",
+    )
+    dims = {"n_chars": shards.number(F.col("n_chars")), "source": shards.prefix(F.col("source")),
+            "lang": shards.prefix(F.col("lang")), "doc_id": shards.number(F.col("doc_id"))}
+    placed = shards.with_slots(shards.with_shards(rows, dims, F.col("size"), leaves=SHARDS), ["doc_id", "size", "text_crc32"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = F.expr(f"filter(spans, s -> s.rank < {len(pii.KINDS)})")
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint) AS n_{k}") for k in pii.KINDS]
+    return found.withColumn("base", base).select(
+        "doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans")
+    )
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives written into the shared folder and read back."""
+    folder = new_folder(spark, "warc")
+    warc.write_archives(warc.resolved(warc.with_headers(table(spark, sf_dir, "pages"))), folder)
+    return warc.with_original_sizes(warc.read_archives(spark, folder)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), **SIMHASH)
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
@@ -70,9 +113,14 @@ ORACLE: dict[str, str] = {}
 
 def queries() -> dict:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_line_dedup": op2_line_dedup,
         "op3_decontamination": op3_decontamination,
         "op4_quality": op4_quality,
+        "op5_lm_scoring": op5_lm_scoring,
+        "op6_sharding": op6_sharding,
+        "op7_pii": op7_pii,
+        "op8_warc": op8_warc,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_bpe_round_trip": op10_bpe_round_trip,
     }
