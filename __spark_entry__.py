@@ -24,7 +24,7 @@ from platewright.operators import images as im
 from platewright.operators import keys, profiles
 from platewright.operators.joins import fill_if_null
 from platewright.plans import convert, manifest, screen
-from platewright.sources import exports, synthetic, tables
+from platewright.sources import exports, listing, synthetic, tables
 from platewright.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,12 +94,16 @@ def unmatched_objects(spark, sf_dir):
 
 
 def rename_measures(spark, sf_dir):
-    objects = screen.population_view(spark, sf_dir, "Hoechst")
-    measures = names.measurement_columns(objects, "Hoechst")
-    added = keys.add_columns(objects, {"ImageNumber": "bigint", "X": "double"})
-    renamed = keys.rename_object_columns(added.drop("BoundingBox", "NotThere"), "Hoechst")
-    prefixed = dict(zip(measures, names.prefixed_names(measures)))
-    return renamed.withColumnsRenamed(prefixed)
+    """The tables of all populations, one below the other; columns by population."""
+    frames = []
+    for p in screen.LINKS:
+        objects = screen.population_view(spark, sf_dir, p)
+        measures = names.measurement_columns(objects, p)
+        added = keys.add_columns(objects, {"ImageNumber": "bigint", "X": "double"})
+        renamed = keys.rename_object_columns(added.drop("BoundingBox", "NotThere"), p)
+        prefixed = dict(zip(measures, names.prefixed_names(measures)))
+        frames.append(renamed.withColumnsRenamed(prefixed))
+    return exports.union_tables(frames)
 
 
 # -- counts and means ------------------------------------------------------
@@ -119,8 +123,8 @@ def _population(spark, sf_dir, population):
 
 def field_profile(spark, sf_dir):
     images = keys.image_keys(screen.index_view(spark, sf_dir))
-    objects = {"Hoechst": screen.population_view(spark, sf_dir, "Hoechst")}
-    measures = {"Hoechst": screen.measure_names("Hoechst")}
+    objects = {p: screen.population_view(spark, sf_dir, p) for p in screen.LINKS}
+    measures = {p: screen.measure_names(p) for p in screen.LINKS}
     table = profiles.with_profiles(images, objects, measures, screen.DECIMALS)
     return table.drop("Row", "Column", "WellRow", "WellColumn", "first_seq", "index_rows")
 
@@ -154,6 +158,17 @@ def image_table(spark, sf_dir):
     )
 
 
+def image_table_planes(spark, sf_dir):
+    """Two planes of every image, each with the file whose position is the plane."""
+    index = screen.index_view(spark, sf_dir)
+    planes = index.withColumn("Plane", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))))
+    return profiles.image_table(
+        planes, parse_image_paths(screen.files_view(spark, sf_dir)), screen.LINKS, keys.image_keys(index),
+        {p: screen.population_view(spark, sf_dir, p) for p in screen.LINKS},
+        {p: screen.measure_names(p) for p in screen.LINKS}, decimals=screen.DECIMALS, plane=True,
+    )
+
+
 def image_table_zero(spark, sf_dir):
     images = keys.image_keys(screen.index_view(spark, sf_dir))
     objects = {p: screen.population_view(spark, sf_dir, p) for p in screen.LINKS}
@@ -191,6 +206,28 @@ def manifest_long(spark, sf_dir):
     )
 
 
+def manifest_text(spark, sf_dir):
+    """The lines of the settings' texts, written and read back."""
+    path, rows = new_folder(spark, "manifest"), manifest_long(spark, sf_dir)
+    tables.write_manifest(rows, path, [])
+    return spark.read.text(path).select("plate", "population", F.col("value").alias("line"))
+
+
+def list_images(spark, sf_dir):
+    """An image file for every customer, written, found again and read off by name."""
+    root = new_folder(spark, "pictures")
+    name = F.format_string(
+        "r%02dc%02df%02dp01-ch%dsk1.tiff", F.expr("c_custkey div 16 % 8 + 1"), F.expr("c_custkey div 128 % 12 + 1"),
+        F.expr("c_custkey div 1536 + 1"), F.expr("c_custkey % 16 + 1"),
+    )
+    place = F.concat(F.lit(f"{listing.qualified(spark, root)}/"), "c_mktsegment", F.lit("/Images/"), name)
+    written = screen.table(spark, sf_dir, "customer").select(place.alias("path")).mapInPandas(
+        listing.write_empty, "path string")
+    written.agg(F.count("*")).collect()
+    found = parse_image_paths(exports.list_images(spark, root))
+    return found.select("plate", "Row", "Column", "Field", "ChannelID", "length", file_name(F.col("path")).alias("file"))
+
+
 def parse_image_path(spark, sf_dir):
     files = parse_image_paths(screen.files_view(spark, sf_dir))
     return files.withColumns(
@@ -294,7 +331,9 @@ def fill_nulls(spark, sf_dir):
 
 
 def fill_null_rows(spark, sf_dir):
-    return text.fill_nulls(screen.index_view(spark, sf_dir), {"Field": 0, "PositionXm": 0.0}).select(
+    placed = F.when(F.col("Field").isNotNull(), F.col("PositionXm"))
+    index = screen.index_view(spark, sf_dir).withColumn("PositionXm", placed)
+    return text.fill_nulls(index, {"Field": 0, "PositionXm": 0.0}).select(
         "seq", "Field", "PositionXm"
     )
 
@@ -304,10 +343,12 @@ def fill_image_values(spark, sf_dir):
     images = images.select("plate", "ImageNumber", "Well", "Field")
     counts = {
         p: profiles.field_profile(_population(spark, sf_dir, p), [], "n_objects")
-        for p in ("Hoechst", "O4Final")
+        for p in screen.LINKS
     }
-    first = profiles.add_profile(images, counts["Hoechst"])
-    return fill_if_null(first, counts["O4Final"], ["plate", "Well", "Field"], "n_objects", "n_objects")
+    first = profiles.add_profile(images, counts.pop("Hoechst"))
+    for count in counts.values():
+        first = fill_if_null(first, count, ["plate", "Well", "Field"], "n_objects", "n_objects")
+    return first
 
 
 def bounding_box(spark, sf_dir):
@@ -343,10 +384,12 @@ def ingest_roundtrip(spark, sf_dir):
     return exports.union_tables(frames)
 
 
-def _write_object_exports(spark, sf_dir, root):
-    for population in screen.LINKS:
+def _write_object_exports(spark, sf_dir, root, populations=tuple(screen.LINKS), chosen=None, area_value=None):
+    for population in populations:
         rows = screen.population_view(spark, sf_dir, population)
         area, intensity = screen.measure_names(population)
+        if chosen is not None:
+            rows = chosen(rows.withColumnRenamed(area, "Area")).withColumn("Area", area_value).withColumnRenamed("Area", area)
         headings = {
             "Row": "Row", "Column": "Column", "Field": "Field", "ObjectNo": "Object No", "X": "X",
             "Y": "Y", "BoundingBox": "Bounding Box", "blank": " ",
@@ -356,6 +399,78 @@ def _write_object_exports(spark, sf_dir, root):
         synthetic.write_exports(cells, root, population, headings)
 
 
+#: By the last digits of a line's keys: a line of one cell, a line without a column, a
+#: row that ends early and a row with a cell too many. All others are whole rows.
+ODD_LINES = "(l_orderkey + l_partkey) % 20"
+
+
+def ingest_rejects(spark, sf_dir):
+    """What becomes of every line of exports with preambles, two headers and odd lines."""
+    root = new_folder(spark, "exports")
+    cells = "concat_ws('\t', Row, Column, Field, l_linenumber, l_quantity)"
+    more = "if(v = 0, '', concat('\t', l_discount))"
+    lines = (
+        screen.table(spark, sf_dir, "lineitem").selectExpr("*", *screen.position("l_orderkey"), "l_orderkey % 2 AS v")
+        .withColumn("line", F.expr(
+            f"CASE {ODD_LINES} WHEN 0 THEN '7' WHEN 1 THEN concat(Row, '\tx') WHEN 2 THEN concat(Row, '\t', Column)"
+            f" WHEN 3 THEN concat({cells}, {more}, '\tmore') ELSE concat({cells}, {more}) END"))
+        .selectExpr("plate", f"{screen.choice('l_returnflag', screen.POPULATIONS)} AS table", "v", "2 AS rank", "line")
+    )
+    header = F.concat(F.lit("Row\tColumn\tField\tObject No\tX"), F.when(F.col("v") == 0, "").otherwise("\tY"))
+    first = F.array(F.struct(F.lit(0).alias("rank"), F.lit("Database Name\tscreen").alias("line")),
+                    F.struct(F.lit(0).alias("rank"), F.lit("[Data]").alias("line")),
+                    F.struct(F.lit(1).alias("rank"), header.alias("line")))
+    heads = lines.select("plate", "table", "v").distinct().select("*", F.inline(first))
+    every = lines.unionByName(heads).repartition("plate", "table", "v")
+    every.sortWithinPartitions("plate", "table", "v", "rank").drop("rank").write.partitionBy("plate", "table", "v").text(root)
+    files = exports.ExportFiles(root, r"plate=([^/]+)/", r"table=([^/]+)/")
+    heads = exports.export_heads(exports.list_exports(spark, files)).checkpoint()
+    frames = []
+    for p in exports.populations_of(heads):
+        raws, mine = exports.read_raw(spark, files, heads, p), heads.filter(F.col("table") == p)
+        bad = exports.union_tables([exports.rejected(raw, mine) for raw in raws])
+        listed = bad.groupBy("plate").agg(F.count("*").alias("n_rejected"), F.count_if(F.col("line") == "7").alias("n_short"))
+        frames.append(exports.line_counts(raws, mine).join(listed, "plate", "left").withColumn("population", F.lit(p)))
+    return exports.union_tables(frames)
+
+
+def index_two_files(spark, sf_dir):
+    """Images numbered over an index in two files per plate: first by file, then by line."""
+    root, index = new_folder(spark, "index"), screen.index_view(spark, sf_dir)
+    headings = {c: c for c in index.columns if c not in ("plate", "seq")}
+    for part in (0, 1):
+        rows = index.filter(F.col("seq") % 2 == 1 - part)
+        synthetic.write_exports(rows, f"{root}/part={part}", "Index", headings, order="seq")
+    files = exports.ExportFiles(root, r"plate=([^/]+)/", r"table=([^/]+)/")
+    heads = exports.export_heads(exports.list_exports(spark, files)).checkpoint()
+    images = keys.image_keys(exports.read_index(spark, files, heads))
+    return images.select("plate", "Row", "Column", "Field", "ImageNumber", "index_rows")
+
+
+def convert_again(spark, sf_dir):
+    """Every third plate converted again from another folder, changed and with one population
+    less, after the first folder's text was changed too."""
+    first, second, out = (new_folder(spark, n) for n in ("exports", "exports", "converted"))
+    some = F.substring("plate", 2, 6).cast("long") % 3 == 0
+    _write_object_exports(spark, sf_dir, first)
+    index = screen.index_view(spark, sf_dir)
+    headings = {c: c for c in index.columns if c not in ("plate", "seq")}
+    synthetic.write_exports(index, first, "Index", headings, order="seq")
+    links, images = screen.LINKS, screen.files_view(spark, sf_dir).drop("seq")
+
+    def run(root):
+        files = exports.ExportFiles(root, r"plate=([^/]+)/", r"table=([^/]+)/")
+        return convert.convert(spark, files, images, links, out, overwrite=True, decimals=screen.DECIMALS)
+
+    columns = run(first)["images"].schema
+    _write_object_exports(spark, sf_dir, first)
+    synthetic.write_exports(index.filter(some), second, "Index", headings, order="seq")
+    changed = F.col("Area") + 1
+    _write_object_exports(spark, sf_dir, second, ["Hoechst", "O4Final"], lambda rows: rows.filter(some), changed)
+    run(second)
+    return spark.read.schema(columns).parquet(f"{out}/images")
+
+
 def table_rewrite(spark, sf_dir):
     """Counts per image written by plate, then rewritten for the plates that
     have an object with a full discount, with a higher run number."""
@@ -407,11 +522,14 @@ def queries() -> dict[str, Query]:
         "well_median_std": well_median_std,
         "image_table": image_table,
         "image_table_zero": image_table_zero,
+        "image_table_planes": image_table_planes,
         "channel_names": channel_names,
         "distinct_channels": distinct_channels,
         "image_sizes": image_sizes,
         "population_sizes": population_sizes,
         "manifest_long": manifest_long,
+        "manifest_text": manifest_text,
+        "list_images": list_images,
         "parse_image_path": parse_image_path,
         "attach_paths": attach_paths,
         "image_flatten": image_flatten,
@@ -430,7 +548,10 @@ def queries() -> dict[str, Query]:
         "synthetic_plates": synthetic_plates,
         "ingest_roundtrip": ingest_roundtrip,
         "table_rewrite": table_rewrite,
+        "ingest_rejects": ingest_rejects,
+        "index_two_files": index_two_files,
         "convert_plates": convert_plates,
+        "convert_again": convert_again,
         **(llm.queries() if llm else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }

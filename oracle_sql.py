@@ -119,6 +119,28 @@ ALL_JOINS = " ".join(f'LEFT JOIN p_{p} USING (plate, "Well", "Field")' for p in
 IMAGE_TABLE = f"WITH {INDEX}, {IMAGES}, {FILES}, {FLAT}, {OBJECTS}, {PROFILES} SELECT * FROM flat {ALL_JOINS}"
 
 
+def _renamed() -> str:
+    """The objects of each population, with the columns of the others as NULL."""
+
+    def column(owner: str, population: str, value: str, name: str) -> str:
+        return f'{value if owner == population else "NULL"} AS "{name}"'
+
+    def select(population: str) -> str:
+        columns = [
+            column(p, population, value, name)
+            for p in LINKS
+            for value, name in (
+                ('"Area"', f"Per_Field_{p}Aream"), ('"Intensity"', f"Per_Field_{p}IntensityMean"),
+                ('"ObjectNo"', f"{p}_Number_Object_Number"), ('"X"', f"{p}_Location_Center_X"),
+                ('"Y"', f"{p}_Location_Center_Y"),
+            )
+        ]
+        return f"""SELECT plate, "Row", "Column", "Field", CAST(NULL AS BIGINT) AS "ImageNumber", {', '.join(columns)}
+          FROM obj WHERE population = '{population}'"""
+
+    return " UNION ALL ".join(map(select, LINKS))
+
+
 def _grid(rows: int) -> str:
     letters = "CASE WHEN r > 26 THEN 'A' || chr(CAST(64 + r - 26 AS INT)) ELSE chr(CAST(64 + r AS INT)) END"
     return f"""SELECT c_custkey, r AS "Row", c AS "Column",
@@ -234,13 +256,18 @@ COUNTS = """counts AS (
 
 CLEAN = "regexp_replace(p_name || ' - ' || p_type || ' - ' || p_brand || ' [µm²]', '[^a-zA-Z0-9_]', '', 'g')"
 FROM_THE = "CASE WHEN instr(text, 'the') > 0 THEN substr(text, instr(text, 'the')) ELSE text END"
+THIRD = "CAST(substr(plate, 2, 6) AS BIGINT) % 3 = 0"
+GONE = ", ".join(
+    f'CASE WHEN NOT ({THIRD}) THEN "{c}_PDGFSelected" END AS "{c}_PDGFSelected"'
+    for c in ("Image_Path", "Image__URL", "Image_FileName")
+)
 FIRST_WORD = r"nullif(regexp_extract(text, '^\s*(\S+)', 1), '')"
 
 ORACLE: dict[str, str] = {
-    "field_profile": f"""WITH {INDEX}, {IMAGES}, {OBJECTS}, {_profile('Hoechst')}
-        SELECT plate, "ImageNumber", "Well", "Field", "Image_Count_Hoechst",
-          "Per_Field_HoechstAream", "Per_Field_HoechstIntensityMean"
-        FROM images LEFT JOIN p_Hoechst USING (plate, "Well", "Field")""",
+    "field_profile": f"""WITH {INDEX}, {IMAGES}, {OBJECTS}, {PROFILES}
+        SELECT plate, "ImageNumber", "Well", "Field",
+          {', '.join(f'"Image_Count_{p}", "Per_Field_{p}Aream", "Per_Field_{p}IntensityMean"' for p in LINKS)}
+        FROM images {ALL_JOINS}""",
     "image_number": f"""WITH {INDEX}, {IMAGES}
         SELECT seq, plate, idx."Row", idx."Column", idx."Field", "ImageNumber"
         FROM idx LEFT JOIN images USING (plate, "Row", "Column", "Field")""",
@@ -261,12 +288,7 @@ ORACLE: dict[str, str] = {
     "unmatched_objects": f"""WITH {INDEX}, {IMAGES}, {OBJECTS}
         SELECT population, count(*) AS n_unmatched
         FROM obj ANTI JOIN images USING (plate, "Row", "Column", "Field") GROUP BY 1""",
-    "rename_measures": f"""WITH {OBJECTS}
-        SELECT plate, "Row", "Column", "Field", "Area" AS "Per_Field_HoechstAream",
-          "Intensity" AS "Per_Field_HoechstIntensityMean", CAST(NULL AS BIGINT) AS "ImageNumber",
-          "ObjectNo" AS "Hoechst_Number_Object_Number", "X" AS "Hoechst_Location_Center_X",
-          "Y" AS "Hoechst_Location_Center_Y"
-        FROM obj WHERE population = 'Hoechst'""",
+    "rename_measures": f"WITH {OBJECTS} {_renamed()}",
     "count_per_image": f"WITH {OBJECTS}, {COUNTS} SELECT * FROM counts",
     "mean_per_image": f"""WITH {OBJECTS}
         SELECT plate, population, "Well", "Field", {_mean('Area')} AS "Per_Field_Area",
@@ -317,12 +339,14 @@ ORACLE: dict[str, str] = {
         SELECT plate, n_filled, n, n_fields_filled
         FROM (SELECT plate, count(*) FILTER ("Intensity" IS NULL) AS n_filled, count(*) AS n FROM obj GROUP BY 1) a
         LEFT JOIN (SELECT plate, count(*) FILTER ("Field" IS NULL) AS n_fields_filled FROM idx GROUP BY 1) b USING (plate)""",
-    "fill_null_rows": f'WITH {INDEX} SELECT seq, coalesce("Field", 0) AS "Field", "PositionXm" FROM idx',
+    "fill_null_rows": f"""WITH {INDEX} SELECT seq, coalesce("Field", 0) AS "Field",
+        CASE WHEN "Field" IS NULL THEN 0.0 ELSE "PositionXm" END AS "PositionXm" FROM idx""",
     "fill_if_null": f"""WITH {INDEX}, {IMAGES}, {OBJECTS}, {COUNTS}
-        SELECT images.plate, "ImageNumber", images."Well", images."Field", coalesce(a."Image_Count", b."Image_Count") AS n_objects
+        SELECT images.plate, "ImageNumber", images."Well", images."Field", coalesce(a."Image_Count", b."Image_Count", c."Image_Count") AS n_objects
         FROM images
         LEFT JOIN counts a ON a.population = 'Hoechst' AND a.plate = images.plate AND a."Well" = images."Well" AND a."Field" = images."Field"
-        LEFT JOIN counts b ON b.population = 'O4Final' AND b.plate = images.plate AND b."Well" = images."Well" AND b."Field" = images."Field\"""",
+        LEFT JOIN counts b ON b.population = 'O4Final' AND b.plate = images.plate AND b."Well" = images."Well" AND b."Field" = images."Field"
+        LEFT JOIN counts c ON c.population = 'PDGFSelected' AND c.plate = images.plate AND c."Well" = images."Well" AND c."Field" = images."Field\"""",
     "bounding_box": f"""WITH {OBJECTS},
         boxes AS (SELECT plate, "ObjectNo", "BoundingBox", CAST("BoundingBox" AS DOUBLE[]) AS b FROM obj),
         good AS (SELECT *, b[3] >= b[1] AND b[4] >= b[2] AS ok FROM boxes)
@@ -338,4 +362,36 @@ ORACLE: dict[str, str] = {
         SELECT counts.*, CASE WHEN again.plate IS NULL THEN 1 ELSE 2 END AS run
         FROM counts LEFT JOIN again USING (plate)""",
     "convert_plates": IMAGE_TABLE,
+    "convert_again": f"""WITH {INDEX}, {IMAGES}, {FILES}, {FLAT}, {OBJECTS.replace('wobj AS', 'all_objects AS')},
+        wobj AS (SELECT * REPLACE (CASE WHEN {THIRD} THEN "Area" + 1 ELSE "Area" END AS "Area") FROM all_objects
+                 WHERE NOT ({THIRD} AND population = 'PDGFSelected')),
+        {PROFILES} SELECT * REPLACE ({GONE}) FROM flat {ALL_JOINS}""",
+    "image_table_planes": f"""WITH {INDEX}, {IMAGES}, {FILES},
+        file_of AS (SELECT plate, "Row", "Column", "Field", "ChannelID", "Position" AS "Plane", arg_max(path, "Cycle") AS url
+                    FROM parsed GROUP BY ALL),
+        planes AS (SELECT * REPLACE (unnest([CAST(1 AS BIGINT), CAST(2 AS BIGINT)]) AS "Plane") FROM idx),
+        own_path AS (SELECT planes.*, url AS path, CASE WHEN url IS NOT NULL THEN {FOLDER.replace('path', 'url')} END AS dir
+                     FROM planes LEFT JOIN file_of USING (plate, "Row", "Column", "Field", "ChannelID", "Plane")),
+        {FLAT.replace('FROM withpath', 'FROM own_path')}, {OBJECTS}, {PROFILES} SELECT * FROM flat {ALL_JOINS}""",
+    "manifest_text": f"""SELECT plate, population,
+          CASE WHEN key IN ('series_id', 'group_id', 'timepoint_id', 'process_3D') OR key = 'cell_z_loc' AND value = ''
+            THEN '# ' ELSE '' END || key || ' = ' || value AS line
+        FROM ({_manifest()}) t WHERE section NOT IN ('Dynamic Groups', 'Image Filters')""",
+    "list_images": """SELECT c_mktsegment AS plate, c_custkey // 16 % 8 + 1 AS "Row", c_custkey // 128 % 12 + 1 AS "Column",
+          c_custkey // 1536 + 1 AS "Field", c_custkey % 16 + 1 AS "ChannelID", CAST(0 AS BIGINT) AS length,
+          'r' || lpad(CAST(c_custkey // 16 % 8 + 1 AS VARCHAR), 2, '0') || 'c' || lpad(CAST(c_custkey // 128 % 12 + 1 AS VARCHAR), 2, '0')
+          || 'f' || lpad(CAST(c_custkey // 1536 + 1 AS VARCHAR), 2, '0') || 'p01-ch' || (c_custkey % 16 + 1) || 'sk1.tiff' AS file
+        FROM customer""",
+    "ingest_rejects": f"""WITH t AS (SELECT {_place('l_orderkey')}, (l_orderkey + l_partkey) % 20 AS kind,
+          CASE l_returnflag WHEN 'A' THEN 'Hoechst' WHEN 'N' THEN 'O4Final' WHEN 'R' THEN 'PDGFSelected' END AS population
+          FROM lineitem)
+        SELECT plate, population, count(*) FILTER (kind NOT IN (0, 1, 3)) AS rows, count(*) FILTER (kind = 2) AS short_rows,
+          count(*) FILTER (kind IN (0, 1, 3)) AS bad_rows, nullif(count(*) FILTER (kind IN (0, 1, 3)), 0) AS n_rejected,
+          CASE WHEN count(*) FILTER (kind IN (0, 1, 3)) > 0 THEN count(*) FILTER (kind = 0) END AS n_short
+        FROM t GROUP BY plate, population""",
+    "index_two_files": f"""WITH {INDEX}
+        SELECT plate, "Row", "Column", "Field", n AS index_rows,
+          CAST(row_number() OVER (PARTITION BY plate ORDER BY f) AS BIGINT) AS "ImageNumber"
+        FROM (SELECT plate, "Row", "Column", "Field", count(*) AS n, min((1 - seq % 2, seq)) AS f
+              FROM idx WHERE "Field" IS NOT NULL GROUP BY plate, "Row", "Column", "Field") t""",
 }

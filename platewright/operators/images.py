@@ -100,7 +100,15 @@ def _path_columns(links: Mapping[str, str]) -> list[Column]:
     return columns
 
 
-def _channel_rows(index: DataFrame, files: DataFrame, grain: Sequence[str], kept: Mapping[str, Column]) -> DataFrame:
+def has_planes(index: DataFrame) -> bool:
+    """Whether any image of the index has a plane beside another."""
+    ends = index.agg(F.min("Plane").alias("low"), F.max("Plane").alias("high")).first()
+    return ends["low"] != ends["high"]
+
+
+def _channel_rows(
+    index: DataFrame, files: DataFrame, grain: Sequence[str], kept: Mapping[str, Column], plane: bool
+) -> DataFrame:
     """The index reduced to ``grain`` and channel, with the channel's file.
 
     Reduced before the join, and joined to files reduced to the same keys, so
@@ -111,20 +119,24 @@ def _channel_rows(index: DataFrame, files: DataFrame, grain: Sequence[str], kept
         .groupBy(*grain, "ChannelID", "ChannelName")
         .agg(*[c.alias(n) for n, c in kept.items()])
     )
-    return channels.join(latest_files(files), FILE_KEYS, "left")
+    keys = [*FILE_KEYS, "Plane"] if plane else FILE_KEYS
+    return channels.join(latest_files(files, plane), keys, "left")
 
 
 def flatten_images(
-    index: DataFrame, files: DataFrame, links: Mapping[str, str], images: DataFrame
+    index: DataFrame, files: DataFrame, links: Mapping[str, str], images: DataFrame, plane: bool = False
 ) -> DataFrame:
     """One row per plate, image, plane and timepoint, with paths by population.
 
+    With ``plane`` the position in a file's name is its plane, and each plane
+    gets its own file.
+
     All populations come out of one aggregation. ``images`` has one row per
     image (``keys.image_keys``); columns added to it come along.
     """
     grain = [*IMAGE_KEYS, "Plane", "Timepoint"]
     kept = {c: F.max(c) for c in IMAGE_ATTRIBUTES}
-    rows = _channel_rows(index, files, grain, kept)
+    rows = _channel_rows(index, files, grain, kept, plane)
     flat = rows.groupBy(*grain).agg(*[c.alias(n) for n, c in kept.items()], *_path_columns(links))
     numbered = flat.join(images.drop("first_seq", "index_rows"), IMAGE_KEYS)
     urls = [c for p in links for c in (f"Image_Path_{p}", f"Image__URL_{p}")]
@@ -134,7 +146,7 @@ def flatten_images(
 
 
 def flatten_15(
-    index: DataFrame, files: DataFrame, links: Mapping[str, str], images: DataFrame
+    index: DataFrame, files: DataFrame, links: Mapping[str, str], images: DataFrame, plane: bool = False
 ) -> DataFrame:
     """The literal grouping by all 15 index columns (and the plate).
 
@@ -142,7 +154,7 @@ def flatten_15(
     """
     derived = ["ImageNumber", "Well", "WellRow", "WellColumn"]
     grain = [PLATE, *[k for k in FLATTEN_KEYS if k not in derived]]
-    rows = _channel_rows(index, files, grain, {"_n": F.count("*")})
+    rows = _channel_rows(index, files, grain, {"_n": F.count("*")}, plane)
     flat = rows.groupBy(*grain).agg(*_path_columns(links))
     numbered = flat.join(images.select(*IMAGE_KEYS, *derived), IMAGE_KEYS)
     urls = [c for p in links for c in (f"Image_Path_{p}", f"Image__URL_{p}")]

@@ -7,25 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is spread over several tasks.
+# A key with more rows than this, and with more than this part of all rows, is
+# spread over several tasks. The part bounds the number of such keys.
 SPLIT_ROWS = 1_000_000
-# At most this many keys are spread. Any key beyond them has fewer rows than
-# each of these, so it holds less than 1/10,000 of the table.
-MAX_SPLIT_KEYS = 10_000
-# Largest row count of a table that is broadcast (a few hundred bytes a row).
-MAX_BROADCAST_ROWS = 1_000_000
+SPLIT_PART = 1 / 10_000
+# Largest table that is broadcast, in bytes of its values.
+MAX_BROADCAST_BYTES = 128 << 20
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """The largest keys and the number of parts to cut each into.
+    """All keys with too many rows, and the number of parts to cut each into.
 
-    ``counts`` has one row per key with its row count in ``n``.
+    ``counts`` has one row per key with its row count in ``n``. There are fewer
+    than 1 / ``SPLIT_PART`` such keys, whatever the size of the table.
     """
+    total = counts.select(F.sum("n")).scalar()
+    many = F.greatest(F.lit(split_rows), F.ceil(total * SPLIT_PART))
     return (
-        counts.filter(F.col("n") > split_rows)
-        .orderBy(F.desc("n"))
-        .limit(MAX_SPLIT_KEYS)
-        .select(*keys, F.ceil(F.col("n") / split_rows).alias("_parts"))
+        counts.withColumn("_many", many)
+        .filter(F.col("n") > F.col("_many"))
+        .select(*keys, F.ceil(F.col("n") / F.col("_many")).alias("_parts"))
     )
 
 
@@ -40,7 +41,7 @@ def split_left_join(
 
     Hot keys are cut into parts: their fact rows get a part number, their dim
     row one copy per part. Only the list of hot keys is broadcast, and it is
-    bounded (``MAX_SPLIT_KEYS``). Rows with a NULL key match nothing and are
+    bounded (``SPLIT_PART``). Rows with a NULL key match nothing and are
     spread out. ``facts`` must come straight from files or a written table:
     the part comes from the row's place in its input split, which then is the
     same when a task runs again (a hash of the row would not split copies).
@@ -69,12 +70,14 @@ def split_left_join(
     return left.join(right, [*keys, "_part"], "left").select(*facts.columns, *added)
 
 
-def is_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a table may be broadcast, by counting its rows.
+def is_small(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a table may be broadcast, by the bytes of its values.
 
-    For written tables, where counting is cheap.
+    For written tables, where one more reading is cheap.
     """
-    return dim.limit(max_rows + 1).count() <= max_rows
+    wide = [c for c, kind in dim.dtypes if kind in ("string", "binary")]
+    row = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in wide), F.lit(16 * len(dim.columns)))
+    return (dim.agg(F.sum(row)).first()[0] or 0) <= max_bytes
 
 
 def _any_null(keys: Sequence[str]) -> Column:

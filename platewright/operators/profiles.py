@@ -65,6 +65,7 @@ def image_table(
     measures: Mapping[str, Sequence[str]],
     decimals: int | None = None,
     zero_fill: bool = False,
+    plane: bool = False,
 ) -> DataFrame:
     """The per-image table: paths, counts and means of every population.
 
@@ -72,7 +73,7 @@ def image_table(
     along when the keys join the planes and timepoints of the images.
     """
     images = with_profiles(images, objects, measures, decimals, zero_fill)
-    return flatten_images(index, files, links, images)
+    return flatten_images(index, files, links, images, plane)
 
 
 def with_profiles(

@@ -31,7 +31,7 @@ def position(order_key: str) -> list[str]:
     ]
 
 
-def _choice(value: str, options: list[str] | dict[str, str]) -> str:
+def choice(value: str, options: list[str] | dict[str, str]) -> str:
     """SQL for the option by number (from 0) or by key."""
     items = options.items() if isinstance(options, dict) else enumerate(options)
     cases = " ".join(f"WHEN {key!r} THEN '{option}'" for key, option in items)
@@ -49,7 +49,7 @@ def index_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             "cast(datediff(o_orderdate, date'1992-01-01') as bigint) * 10000000000 + o_orderkey AS seq",
             "plate", "`Row`", "`Column`", "1L AS Plane", "1L AS Timepoint", "1L AS Sequence",
             "if(o_orderpriority <> '5-LOW', Field, null) AS Field",
-            f"{channel} + 1 AS ChannelID", f"{_choice(channel, CHANNELS)} AS ChannelName",
+            f"{channel} + 1 AS ChannelID", f"{choice(channel, CHANNELS)} AS ChannelName",
             f"if({channel} = 3, 'Brightfield', 'Fluorescence') AS ChannelType",
             f"{size} AS ImageSizeX", f"{size} AS ImageSizeY",
             "Field * 0.25D AS PositionXm", "Field * -0.5D AS PositionYm",
@@ -80,7 +80,7 @@ def objects_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = "concat('[', l_linenumber, ',', l_suppkey % 50, ',', cast(l_quantity as bigint), ',', l_partkey % 100, ']')"
     return table(spark, sf_dir, "lineitem").selectExpr(
         *position("l_orderkey"),
-        f"{_choice('l_returnflag', POPULATIONS)} AS population",
+        f"{choice('l_returnflag', POPULATIONS)} AS population",
         "cast(l_linenumber as bigint) AS ObjectNo", "l_quantity AS X", "l_discount AS Y",
         f"{box} AS BoundingBox", "l_extendedprice AS Area", "nullif(l_tax, 0.0D) AS Intensity",
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -26,12 +29,16 @@ def get_session(app: str = "platewright", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, from ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local runs) a temporary one is set.
+    Only where a local run names none a temporary one is set, which goes when
+    the run ends. On a cluster that is an error: executors do not share it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = named or spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="platewright-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(current)
     return current
 

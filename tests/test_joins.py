@@ -42,8 +42,10 @@ def test_hot_rows_are_spread(tables):
 
 
 def test_is_small(spark):
-    assert joins.is_small(spark.range(10), 10)
-    assert not joins.is_small(spark.range(11), 10)
+    assert joins.is_small(spark.range(10), 160)
+    assert not joins.is_small(spark.range(11), 160)
+    assert joins.is_small(spark.range(0), 0)
+    assert not joins.is_small(spark.sql("SELECT repeat('x', 1000) AS s"), 1000)
 
 
 def test_fill_if_null(spark):

@@ -92,3 +92,14 @@ def test_bounding_box(spark):
     df = spark.createDataFrame([(b,) for b in boxes], "BoundingBox string")
     got = [r["BoundingBox_area"] for r in text.with_bounding_box(df).collect()]
     assert got == [18.0, None, None, None, None, 1.0]
+
+
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from platewright.session import shared_folder
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(cluster)
