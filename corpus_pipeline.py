@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from platewright.llm import decontaminate, linedup, quality, simhash
 from platewright.llm.queries import SIMHASH, bpe_digests, table, tokenizer_json
@@ -21,8 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
-    packed = docs.select(F.struct("*").alias("row"), "text")
-    return quality.with_quality(quality.with_measures(packed).drop("text")).where("kept").select("row.*")
+    return quality.keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -145,8 +145,9 @@ def with_quality(measured: DataFrame, threshold: float = 0.5) -> DataFrame:
     """
     voted = with_votes(measured).withColumn("base_failed", F.expr(
         f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"))
-    counts = voted.where("NOT base_failed").groupBy("votes").agg(F.count("*").alias("n")).collect()
-    odds, adds = estimate(sorted((list(r["votes"]), r["n"]) for r in counts), len(RULES))
+    # No filter before the aggregation, see ``keep_good``.
+    counts = voted.groupBy("base_failed", "votes").agg(F.count("*").alias("n")).collect()
+    odds, adds = estimate(sorted((list(r["votes"]), r["n"]) for r in counts if not r["base_failed"]), len(RULES))
     terms = F.lit(odds)
     for j, add in enumerate(adds):
         vote = F.col("votes")[j]
@@ -155,3 +156,13 @@ def with_quality(measured: DataFrame, threshold: float = 0.5) -> DataFrame:
         voted.withColumn("quality", 1 / (1 + F.exp(-terms)))
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
     )
+
+
+def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns as they are."""
+    packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    measured = with_measures(packed).drop("text")
+    # A column that depends on the place of the row keeps the filter above the measures: moved
+    # below them it would repeat their expressions for every rule that uses them.
+    measured = measured.withColumn("_place", F.monotonically_increasing_id())
+    return with_quality(measured, threshold).where("kept AND _place >= 0").select("row.*")
