@@ -77,6 +77,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, most: int = HEAD) -> list:
+    """All words from some count on, as low a one as leaves ``most`` words at most.
+
+    Counts are taken in steps of a sixteenth of an octave, so the driver sees a thousand
+    rows and then the words, no candidates of each task.
+    """
+    step = F.floor(F.log2("n") * 16)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
+    lowest, total = None, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        total += row["words"]
+        if total > most:
+            break
+        lowest = row["step"]
+    return [] if lowest is None else counts.where(step >= lowest).collect()
+
+
 class Head:
     """Frequent words and their counts; the first of them are the model's vocabulary."""
 
@@ -317,7 +334,7 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text"))
     counts = word_counts(rows.where("NOT held_out").select("text")).checkpoint()
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD).collect()
+    top = sorted(frequent(counts), key=lambda r: (-r["n"], r["word"]))
     words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     n = np.array([r["n"] for r in top], np.int64)
     own = n[: VOCABULARY - 1]
