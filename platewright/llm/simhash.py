@@ -148,9 +148,10 @@ def _forest(prints: np.ndarray, home: np.ndarray, distance: int) -> np.ndarray:
 def links(prints: DataFrame, distance: int, chunk: int = CHUNK) -> DataFrame:
     """``a`` and ``b``: enough links of distinct fingerprints within ``distance``
     to join all that are reachable from each other."""
-    members = _tiles(anchors(prints, distance), chunk)
-    order = ["anchor", "i", "j", "print"]
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Each row becomes some thirty, so small partitions are not put together before.
+    members = _tiles(anchors(prints.repartition(n, prints.columns[0]), distance), chunk)
+    order = ["anchor", "i", "j", "print"]
     dealt = members.repartition(n, "anchor", "i", "j").sortWithinPartitions(*order)
 
     def compare(batches):
