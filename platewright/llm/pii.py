@@ -2,10 +2,10 @@ r"""Personal data and the terms that give it away.
 
 Four kinds are found by patterns: e-mail addresses, IP addresses, card numbers (with
 their check digit) and phone numbers. They are the protected entities. How strongly a
-term reveals an entity is estimated from the corpus: over distinct lines, the pointwise
+term reveals an entity is estimated from the corpus: over lines, the pointwise
 mutual information of term and entity as a part of the entity's information content,
 1 for a term that is only ever found with the entity. Terms over the disclosure threshold,
-seen with the entity in enough distinct lines, are spans of kind ``term`` in the documents
+seen with the entity in enough different lines, are spans of kind ``term`` in the documents
 that have the entity. Sanitising generalises spans to their kind and removes terms.
 
 All of it is built-in functions. Spans are counted in code points, end exclusive.
@@ -32,7 +32,8 @@ PATTERNS = {
     "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])", "true"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "contains({}, '+')"),
 }
-#: Distinct lines that a term and an entity need together; the part of an entity's
+#: Distinct lines that a term and an entity need together (lines that
+#: differ in few words count as one); the part of an entity's
 #: information that a term may give; letters of a term.
 MIN_LINES, DISCLOSURE, TERM_LETTERS = 3, 0.8, 3
 WORD = r"[\p{L}\p{N}]+(?:['-][\p{L}\p{N}]+)*"
@@ -109,25 +110,28 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_lines: int = MIN_LIN
     in enough distinct lines.
     """
     lines = found.where("size(spans) > 0").select(F.explode(F.split("text", "\n")).alias("line"))
-    lines = with_spans(lines.distinct(), "line").where("size(spans) > 0")
-    pairs = lines.select(F.xxhash64("line").alias("h"), "line", F.explode("spans").alias("s")).select(
-        "h", "line", F.lower("s.value").alias("entity")).dropDuplicates(["h", "entity"])
+    lines = with_spans(lines.groupBy("line").agg(F.count("*").alias("copies")), "line").where("size(spans) > 0")
+    lines = lines.selectExpr("copies", "spans", f"array_distinct({_words('line')}) AS words")
+    # Lines that differ in few words have the same least hash of a word nearly always.
+    pairs = lines.selectExpr("copies", "words", "array_min(transform(words, w -> xxhash64(w))) AS kind",
+                             "explode(array_distinct(transform(spans, s -> lower(s.value)))) AS entity")
     pairs = pairs.checkpoint()
-    entities = pairs.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= min_lines)
+    entities = pairs.groupBy("entity").agg(
+        F.sum("copies").alias("n_entity"), F.countDistinct("kind").alias("kinds")
+    ).where(F.col("kinds") >= min_lines)
     together = pairs.join(entities, "entity").select(
-        "entity", "n_entity", F.expr(f"explode(array_distinct({_words('line')}))").alias("term")
+        "entity", "n_entity", "copies", "kind", F.explode("words").alias("term")
     ).where(f"length(term) >= {TERM_LETTERS} AND term rlike '\\\\p{{L}}'")
-    together = together.groupBy("entity", "term").agg(F.first("n_entity").alias("n_entity"), F.count("*").alias("n_both"))
+    together = together.groupBy("entity", "term").agg(
+        F.first("n_entity").alias("n_entity"), F.sum("copies").alias("n_both"), F.countDistinct("kind").alias("kinds"))
     # A term within the entity's own text says nothing beside it.
-    together = together.where((F.col("n_both") >= min_lines) & ~F.contains("entity", "term")).checkpoint()
+    together = together.where((F.col("kinds") >= min_lines) & ~F.contains("entity", "term")).checkpoint()
     if together.isEmpty():
         return None
-    terms = together.select("term").distinct()
     every = docs.select(F.explode(F.split("text", "\n")).alias("line"))
-    with_term = every.select(
-        F.xxhash64("line").alias("h"), F.expr(f"explode(array_distinct({_words('line')}))").alias("term")
-    ).join(terms, "term", "left_semi").distinct()
-    counts = with_term.groupBy("term").agg(F.count("*").alias("n_term"))
+    # Counted for all words: combined in the tasks, that is less to send than the lines of the terms.
+    counts = every.select(F.expr(f"explode(array_distinct({_words('line')}))").alias("term"))
+    counts = counts.groupBy("term").agg(F.count("*").alias("n_term"))
     total = docs.select(F.sum(F.size(F.split("text", "\n")))).first()[0]
     known = together.join(counts, "term").withColumn(
         "part", F.expr(f"1 - ln(n_term / n_both) / ln({float(total)}D / n_entity)")
