@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from platewright.llm.words import LAST, PUNCTUATION, SPACES, grams, hashed, separator
 
-NGRAM, MIN_SCORE = 3, 0.5
+NGRAM, LEAST_SEEDS, MIN_SCORE = 3, 8, 0.5
 #: Characters of the items in a block (one item at least).
 BLOCK_CHARS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -52,13 +52,13 @@ class Items:
         self.grams, self.gram = np.unique(found[at], return_inverse=True)
 
     def keep_rare(self, counts: np.ndarray) -> None:
-        """Keeps the rarer half of each item's n-grams, one at least."""
+        """Keeps the rarer half of each item's n-grams, ``LEAST_SEEDS`` at least if it has as many."""
         weight = (counts * np.bincount(self.gram, minlength=len(self.grams)))[self.gram]
         order = np.lexsort((self.offset, weight, self.item))
         item = self.item[order]
         first = np.searchsorted(item, item)
         size = np.searchsorted(item, item, "right") - first
-        kept = order[np.arange(len(order)) - first < (size + 1) // 2]
+        kept = order[np.arange(len(order)) - first < np.maximum((size + 1) // 2, LEAST_SEEDS)]
         kept = kept[np.argsort(self.gram[kept], kind="stable")]
         self.grams, gram = np.unique(self.grams[self.gram[kept]], return_inverse=True)
         self.item, self.offset = self.item[kept], self.offset[kept]
