@@ -37,7 +37,7 @@ from platewright.session import shared_folder
 
 #: Words the model tells apart, the one for all others included; words counted in tasks.
 VOCABULARY, HEAD = 1024, 1 << 16
-WIDTH, NOISE, BATCH, RATE, ROUNDS = 16, 64, 4096, 0.1, 2
+WIDTH, NOISE, BATCH, RATE, ROUNDS = 16, 64, 1024, 0.3, 2
 END = np.uint64(1)
 SEPARATOR = separator(SPACES)
 MERGE = 1 << 21
