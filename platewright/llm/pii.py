@@ -103,11 +103,11 @@ def _words(line: str) -> str:
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, min_lines: int = MIN_LINES,
-                     disclosure: float = DISCLOSURE) -> DataFrame | None:
+                     disclosure: float = DISCLOSURE) -> DataFrame:
     """``entity``, ``term`` and ``part`` (of the entity's information that the term gives).
 
-    ``docs`` has ``text``, ``found`` also the ``spans``. None where no entity stands
-    in enough distinct lines.
+    ``docs`` has ``text``; ``found`` also ``spans`` and ``n_lines``, its texts are needed
+    where there are spans.
     """
     lines = found.where("size(spans) > 0").select(F.explode(F.split("text", "\n")).alias("line"))
     lines = with_spans(lines.groupBy("line").agg(F.count("*").alias("copies")), "line").where("size(spans) > 0")
@@ -125,16 +125,16 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_lines: int = MIN_LIN
     together = together.groupBy("entity", "term").agg(
         F.first("n_entity").alias("n_entity"), F.sum("copies").alias("n_both"), F.countDistinct("kind").alias("kinds"))
     # A term within the entity's own text says nothing beside it.
-    together = together.where((F.col("kinds") >= min_lines) & ~F.contains("entity", "term")).checkpoint()
-    if together.isEmpty():
-        return None
+    together = together.where((F.col("kinds") >= min_lines) & ~F.contains("entity", "term"))
     every = docs.select(F.explode(F.split("text", "\n")).alias("line"))
     # Counted for all words: combined in the tasks, that is less to send than the lines of the terms.
+    # Written, so that it is done alike whether there are terms or not.
     counts = every.select(F.expr(f"explode(array_distinct({_words('line')}))").alias("term"))
-    counts = counts.groupBy("term").agg(F.count("*").alias("n_term"))
-    total = docs.select(F.sum(F.size(F.split("text", "\n")))).first()[0]
+    counts = counts.where(f"length(term) >= {TERM_LETTERS}").groupBy("term").agg(F.count("*").alias("n_term")).checkpoint()
+    total = found.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).first()[0]
     known = together.join(counts, "term").withColumn(
-        "part", F.expr(f"1 - ln(n_term / n_both) / ln({float(total)}D / n_entity)")
+        # An entity of every line gives no information.
+        "part", F.expr(f"1 - ln(n_term / n_both) / nullif(ln({float(total)}D / n_entity), 0)")
     )
     return known.where(F.col("part") >= disclosure).select("entity", "term", "part")
 
@@ -142,12 +142,10 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_lines: int = MIN_LIN
 def with_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
     """``found`` with the spans of the terms that reveal an entity of the document added."""
     key = ["doc_id", "_h"]
-    rows = found.withColumn("_h", F.xxhash64("text"))
-    listed = rows.where("size(spans) > 0").select(*key, F.explode("spans").alias("s")).select(
-        *key, F.lower("s.value").alias("entity"))
+    rows = found.withColumn("_h", F.xxhash64("text")).where("size(spans) > 0")
+    listed = rows.select(*key, F.explode("spans").alias("s")).select(*key, F.lower("s.value").alias("entity"))
     listed = listed.join(terms, "entity").groupBy(*key).agg(F.collect_set("term").alias("terms"))
-    listed = listed.withColumnsRenamed({"doc_id": "_id"})
-    listed = listed.withColumnRenamed("_h", "_key")
+    listed = listed.withColumnsRenamed({"doc_id": "_id", "_h": "_key"})
     both = rows.join(listed, rows["_h"].eqNullSafe(listed["_key"]) & rows["doc_id"].eqNullSafe(listed["_id"]), "left")
     pieces = both.selectExpr(
         "doc_id", "text", "spans", "terms",
@@ -155,19 +153,26 @@ def with_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
         f"CASE WHEN terms IS NOT NULL THEN split(text, {_literal(WORD)}, -1) END AS _p",
     )
     more = _placed("_p", "_m", "array_contains(terms, lower(x.m))", len(KINDS), "term")
-    return pieces.selectExpr(
+    more = pieces.selectExpr(
         "doc_id", "text",
         f"CASE WHEN size(_m) > 0 THEN sort_array(concat(spans, {more})) ELSE spans END AS spans",
     )
+    return more.unionByName(found.where("size(spans) = 0").select("doc_id", "text", "spans"))
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``text`` and all ``spans``: base ones and disclosing terms."""
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", texts: bool = True) -> DataFrame:
+    """``doc_id``, ``text`` and all ``spans``: base ones and disclosing terms.
+
+    Without ``texts`` only documents with spans have theirs, and only those texts are
+    written and shuffled.
+    """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     shared_folder(docs.sparkSession)
-    found = with_spans(own, "text")
-    terms = disclosing_terms(own, found)
-    return found if terms is None else with_terms(found, terms)
+    found = with_spans(own, "text").withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)))
+    if not texts:
+        found = found.withColumn("text", F.when(F.size("spans") > 0, F.col("text")))
+    found = found.checkpoint()
+    return with_terms(found, disclosing_terms(own, found))
 
 
 def sanitised(found: DataFrame) -> DataFrame:

@@ -57,7 +57,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    return sharded(table(spark, sf_dir, "documents"))
+
+
+def sharded(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
@@ -73,7 +76,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find(table(spark, sf_dir, "documents"))
+    found = pii.find(table(spark, sf_dir, "documents"), texts=False)
     base = F.expr(f"filter(spans, s -> s.rank < {len(pii.KINDS)})")
     counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint) AS n_{k}") for k in pii.KINDS]
     return found.withColumn("base", base).select(
