@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 FINE_BITS = 21
 COARSE_BITS = 42
 
@@ -106,7 +108,7 @@ def with_sortable_long(df: DataFrame, value: str, name: str) -> DataFrame:
 def grouped_median(values: DataFrame, group: Sequence[str], value: str = "value") -> DataFrame:
     """Exact interpolated median and count per group: ``(*group, n, median)``.
 
-    Equal values are counted before the shuffle. The bucket that holds the
+    Equal values are counted before the shuffle, and the counts are written. The bucket that holds the
     middle is found from counts, first coarse, then fine; only its values, at
     most 2**21, are ranked. The group is one struct, which is never NULL itself,
     so groups with a NULL in them are kept by the joins.
@@ -119,7 +121,9 @@ def grouped_median(values: DataFrame, group: Sequence[str], value: str = "value"
         values.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     )
     bucketed = with_sortable_long(counted, value, "_key").withColumns(_buckets(F.col("_key"))).drop("_key")
-    distinct = bucketed.repartition(*fine_keys)
+    # Counted and ranked from one reading: written, since both read it whole.
+    shared_folder(values.sparkSession)
+    distinct = bucketed.repartition(*fine_keys).checkpoint()
     fine = distinct.groupBy(*fine_keys).agg(F.sum("_n").alias("_n"))
     coarse = fine.groupBy(*coarse_keys).agg(F.sum("_n").alias("_n"))
 
