@@ -173,7 +173,8 @@ def shared_units(lines: DataFrame) -> DataFrame:
     more than once, with how often and the smallest id."""
     every = lines.select("doc_id", F.expr("inline(units)"))
     counts = every.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1")
-    return every.join(counts, "h")
+    # Written, so that the join shuffles both sides anew and can split a unit that very many have.
+    return every.join(counts.checkpoint(), "h")
 
 
 def line_pairs(shared: DataFrame, rare: int = RARE) -> DataFrame:
