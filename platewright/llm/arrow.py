@@ -10,8 +10,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
-#: Bytes of a batch that a function gets at once, whole rows each time.
-PART_BYTES = 4 << 20
+#: Bytes of a batch that is sent to Python, and that a function gets at once; whole rows each time.
+BATCH_BYTES, PART_BYTES = 8 << 20, 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session sends batches of ``BATCH_BYTES`` to Python from now on: what a
+    Python worker holds then does not depend on how long the texts are but for the longest."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
 
 
 def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -42,4 +49,4 @@ def with_arrow_columns(
             columns = [batch.column(name) for name in keep]
             yield pa.RecordBatch.from_arrays([*columns, *new], names=[*keep, *added.names])
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from platewright.llm.arrow import with_arrow_columns
 
 #: Fragments of so many bytes at most are remembered, and so many of them at once.
-MEMO_BYTES, MEMO_FRAGMENTS = 64, 300_000
+MEMO_BYTES, MEMO_FRAGMENTS = 64, 150_000
 APOSTROPHE = ord("'")
 
 
@@ -136,16 +136,44 @@ def encode(docs: DataFrame, tokenizer_json: str, text: str = "text", ids: str =
     return with_arrow_columns(docs, added, make)
 
 
+def decoder(tokens: list[bytes]):
+    """The text of ids given as little-endian 32-bit numbers."""
+    token = tokens.__getitem__
+
+    def text(ids: bytes | None) -> str:
+        return b"".join(map(token, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
+
+    return text
+
+
+def round_trip(docs: DataFrame, tokenizer_json: str, text: str = "text") -> DataFrame:
+    """Adds ``ids``, ``n_tokens`` and the text ``decoded`` from the ids, by one Python worker a task."""
+    spec = docs.sparkSession.sparkContext.broadcast((tokenizer_json, cut_table(tokenizer_json)))
+
+    def make():
+        encoder, to_text = Encoder(*spec.value), decoder(token_bytes(spec.value[0]))
+
+        def both(batch: pa.RecordBatch) -> list:
+            found = [encoder.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
+            return [found, [len(x) // 4 for x in found], [to_text(x) for x in found]]
+
+        return both
+
+    return with_arrow_columns(docs, T.StructType([
+        T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()),
+        T.StructField("decoded", T.StringType()),
+    ]), make)
+
+
 def decode(docs: DataFrame, tokenizer_json: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Adds the ``decoded`` text of ``ids``; bytes that are no UTF-8 are replaced."""
     tokens = docs.sparkSession.sparkContext.broadcast(token_bytes(tokenizer_json))
 
     def make():
-        token = tokens.value.__getitem__
+        to_text = decoder(tokens.value)
 
         def decode_batch(batch: pa.RecordBatch) -> list:
-            numbers = (np.frombuffer(x or b"", "<u4").tolist() for x in batch.column(ids).to_pylist())
-            return [[b"".join(map(token, n)).decode("utf-8", "replace") for n in numbers]]
+            return [[to_text(x) for x in batch.column(ids).to_pylist()]]
 
         return decode_batch
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from platewright.llm.arrow import small_batches
 from platewright.llm.words import LAST, PUNCTUATION, SPACES, grams, hashed, separator
 
 NGRAM, LEAST_SEEDS, MIN_SCORE = 3, 8, 0.5
@@ -172,7 +173,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = NGRAM, min_score: f
     passage that scores ``min_score`` or more. The place is that of the alignment's last
     word, and the item's length before it."""
     spark = docs.sparkSession
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own = small_batches(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     schema = T.StructType([
         T.StructField("doc_id", own.schema["doc_id"].dataType), T.StructField("item", T.LongType()),
         T.StructField("score", T.DoubleType()), T.StructField("first_word", T.LongType()),

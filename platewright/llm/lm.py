@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platewright.llm.arrow import parts_of
+from platewright.llm.arrow import parts_of, small_batches
 from platewright.llm.words import SPACES, hashed, separator
 from platewright.session import shared_folder
 
@@ -331,7 +331,7 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out
     shared_folder(spark)
     if held_out is None:
         held_out = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 1
-    rows = docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text"))
+    rows = small_batches(docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text")))
     counts = word_counts(rows.where("NOT held_out").select("text")).checkpoint()
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     top = sorted(frequent(counts), key=lambda r: (-r["n"], r["word"]))

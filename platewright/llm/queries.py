@@ -104,8 +104,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_digests(docs: DataFrame, spec: str) -> DataFrame:
-    done = bpe.decode(bpe.encode(docs, spec).drop("text"), spec)
-    return done.select(
+    return bpe.round_trip(docs, spec).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
