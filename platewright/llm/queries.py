@@ -110,7 +110,19 @@ def bpe_digests(docs: DataFrame, spec: str) -> DataFrame:
     )
 
 
-ORACLE: dict[str, str] = {}
+#: The others estimate, train, align or hash in ways that SQL does not express; they are
+#: tested against brute force.
+ORACLE: dict[str, str] = {
+    "op8_warc": """
+        SELECT page_id, payload_bytes, payload_digest,
+          CASE WHEN original > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN original > page_id THEN original END AS refers_to
+        FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                sha1(coalesce(html, '')) AS payload_digest,
+                CASE WHEN strlen(coalesce(html, '')) >= 1000
+                  THEN max(page_id) OVER (PARTITION BY coalesce(html, '')) END AS original
+              FROM pages) t""",
+}
 
 
 def queries() -> dict:
