@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 import corpus_pipeline
 from rows import DOCS, frame, odd, words
 
@@ -63,3 +65,15 @@ def test_queries_run_on_tables(spark, sf_dir):
     for name in ("op1_substring_dedup", "op2_line_dedup", "op6_sharding", "op8_warc"):
         rows = entry.queries()[name](spark, sf_dir)
         assert rows.count() > 0, name
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_equals_its_sql(spark, sf_dir, name):
+    duckdb = pytest.importorskip("duckdb")
+    connection = duckdb.connect()
+    for table in ("documents", "pages"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    expected = connection.execute(queries.ORACLE[name])
+    columns = [c[0] for c in expected.description]
+    rows = entry.queries()[name](spark, sf_dir).select(*columns).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(expected.fetchall(), key=str)
