@@ -189,7 +189,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = NGRAM, min_score: f
         for row in counted.collect():  # a row per n-gram of the block at most
             counts[row["gram"]] = row["n"]
         index.keep_rare(counts)
-        matches = own.mapInArrow(_matcher(spark.sparkContext.broadcast(index), n, min_score), schema)
+        matches = own.mapInArrow(_matcher(spark.sparkContext.broadcast(vars(index)), n, min_score), schema)
         names = spark.createDataFrame(
             [(k, i) for k, i in enumerate(ids)],
             T.StructType([T.StructField("item", T.LongType()), T.StructField("item_id", items.schema[item_id].dataType)]),
@@ -222,7 +222,8 @@ def _counts(own: DataFrame, known, n: int) -> DataFrame:
 
 def _matcher(shared, n: int, min_score: float):
     def match(batches):
-        index = shared.value
+        index = Items.__new__(Items)
+        vars(index).update(shared.value)
         finder = index.finder()
         for batch in batches:
             ids, column = batch.column("doc_id"), batch.column("text")

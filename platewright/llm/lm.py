@@ -146,7 +146,7 @@ def encoded(rows: DataFrame, head, totals: Totals) -> DataFrame:
     log_base = totals.log_base()
 
     def encode(batches):
-        table = head.value
+        table = Head(*head.value)
         logs = np.log10(table.counts + 0.5) - log_base
         for batch in batches:
             for low, high, words, starts in tokens(batch.column("text")):
@@ -178,7 +178,7 @@ def encoded(rows: DataFrame, head, totals: Totals) -> DataFrame:
 class Model:
     """``words`` and ``context`` (a vector per word), ``places`` (two vectors) and ``bias``."""
 
-    def __init__(self, counts: np.ndarray) -> None:
+    def __init__(self, counts: np.ndarray, flat: np.ndarray | None = None) -> None:
         rng = np.random.default_rng(0)
         size = len(counts)
         self.noise = (counts + 1.0) / (counts + 1.0).sum()
@@ -186,6 +186,8 @@ class Model:
         self.context = rng.normal(0, 0.1, (size, WIDTH)).astype(np.float32)
         self.places = np.ones((2, WIDTH), np.float32)
         self.bias = np.log(self.noise).astype(np.float32)
+        if flat is not None:
+            self.take(flat)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.reshape(-1) for x in (self.words, self.context, self.places, self.bias)])
@@ -269,15 +271,13 @@ def trained(texts: DataFrame, counts: np.ndarray, end: int, rounds: int = ROUNDS
     spark = texts.sparkSession
     model = Model(counts)
     for n in range(rounds):
-        start = spark.sparkContext.broadcast(model)
+        start = spark.sparkContext.broadcast((counts, model.flat()))
         part = texts.where(F.pmod(F.xxhash64("key"), F.lit(rounds)) == n).select("ids")
 
         def learn(batches, start=start, n=n):
-            import copy
-
             from pyspark import TaskContext
 
-            trainer = Trainer(copy.deepcopy(start.value), 1000 * n + TaskContext.get().partitionId())
+            trainer = Trainer(Model(*start.value), 1000 * n + TaskContext.get().partitionId())
             for batch in (p for whole in batches for p in parts_of(whole)):
                 trainer.learn(*with_context(batch, end)[:3])
             if trainer.tokens:
@@ -309,10 +309,10 @@ def trained(texts: DataFrame, counts: np.ndarray, end: int, rounds: int = ROUNDS
 def log_sums(spark, model: Model) -> np.ndarray:
     """The logarithm of the sum over all words, for each pair of preceding words."""
     size = len(model.bias)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model.tables())
 
     def rows(batches):
-        last, second = shared.value.tables()
+        last, second = shared.value
         for batch in batches:
             for c in batch.column(0).to_pylist():
                 s = second + last[c]
@@ -342,7 +342,7 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out
     at = np.flatnonzero(words[: VOCABULARY - 1] == END)
     end = int(at[0]) + 1 if len(at) else 0
 
-    head = spark.sparkContext.broadcast(Head(words, n))
+    head = spark.sparkContext.broadcast((words, n))
     keyed = rows.select(F.monotonically_increasing_id().alias("key"), "*")
     texts = encoded(keyed, head, totals).checkpoint()
     model = trained(texts.where("NOT held_out"), np.r_[totals.other_tokens, own].astype(float), end)
