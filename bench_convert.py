@@ -1,4 +1,4 @@
-"""Time the conversion of made-up plates: ``bench_convert.py PLATES [OBJECTS_PER_WELL]``.
+"""Time the conversion of made-up plates: ``bench_convert.py PLATES [OBJECTS_PER_WELL [BATCHES]]``.
 
 Writes index and object exports of 96-well plates with three populations to a
 new folder, converts them and prints one JSON line.
@@ -22,7 +22,11 @@ from platewright.sources import exports, synthetic
 LINKS = {"Hoechst": "HOECHST 33342", "O4Final": "Alexa 488narrow", "PDGFSelected": "Alexa 647"}
 
 
-def main(plates: int, per_well: int) -> None:
+# Bytes of a made-up plate's index: 96 wells of three channels.
+INDEX_BYTES = 22_000
+
+
+def main(plates: int, per_well: int, batches: int | None) -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(
         "bench_convert",
@@ -48,7 +52,8 @@ def main(plates: int, per_well: int) -> None:
 
     files = exports.ExportFiles(root, r"plate=([^/]+)/", r"table=([^/]+)/")
     pictures = synthetic.image_paths(index, "/images")
-    done = convert(spark, files, pictures, LINKS, out)
+    size = {} if batches is None else {"batch_bytes": plates * INDEX_BYTES // batches}
+    done = convert(spark, files, pictures, LINKS, out, **size)
     seconds = time.perf_counter() - written
     table = done["images"]
     counted = table.agg(*[F.sum(f"Image_Count_{p}") for p in LINKS]).first()
@@ -63,4 +68,5 @@ def main(plates: int, per_well: int) -> None:
 
 
 if __name__ == "__main__":
-    main(int(sys.argv[1]), int(sys.argv[2]) if len(sys.argv) > 2 else 799)
+    numbers = [int(x) for x in sys.argv[1:]]
+    main(numbers[0], numbers[1] if len(numbers) > 1 else 799, numbers[2] if len(numbers) > 2 else None)
