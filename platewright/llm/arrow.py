@@ -27,6 +27,19 @@ def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def kept_by_worker(key: tuple, build: Callable):
+    """What ``build`` made for the last ``key`` in this Python worker. Workers run one task
+    after another; a large object is made once in each, and only one is held."""
+    import sys
+    from types import ModuleType
+
+    store = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker")).__dict__
+    if store.get("key") != key:
+        store.pop("value", None)
+        store["value"], store["key"] = build(), key
+    return store["value"]
+
+
 def with_arrow_columns(
     df: DataFrame, added: T.StructType, make: Callable[[], Callable[[pa.RecordBatch], list]]
 ) -> DataFrame:
@@ -48,5 +61,7 @@ def with_arrow_columns(
                    for v, t in zip(function(batch), types)]
             columns = [batch.column(name) for name in keep]
             yield pa.RecordBatch.from_arrays([*columns, *new], names=[*keep, *added.names])
+            del new, columns
+        pa.default_memory_pool().release_unused()
 
     return small_batches(df).mapInArrow(run, schema)

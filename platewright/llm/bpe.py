@@ -19,6 +19,7 @@ are kept; a column with the name of an added one is replaced.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 
@@ -27,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from platewright.llm.arrow import with_arrow_columns
+from platewright.llm.arrow import kept_by_worker, with_arrow_columns
 
 #: Fragments of so many bytes at most are remembered, and so many of them at once.
-MEMO_BYTES, MEMO_FRAGMENTS = 64, 150_000
+MEMO_BYTES, MEMO_FRAGMENTS = 64, 100_000
 APOSTROPHE = ord("'")
 
 
@@ -122,9 +123,10 @@ def encode(docs: DataFrame, tokenizer_json: str, text: str = "text", ids: str =
     sent to the tasks, being of a fixed size.
     """
     spec = docs.sparkSession.sparkContext.broadcast((tokenizer_json, cut_table(tokenizer_json)))
+    key = ("encode", hash_of(tokenizer_json))
 
     def make():
-        encoder = Encoder(*spec.value)
+        encoder = kept_by_worker(key, lambda: Encoder(*spec.value))
 
         def encode_batch(batch: pa.RecordBatch) -> list:
             found = [encoder.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
@@ -136,6 +138,10 @@ def encode(docs: DataFrame, tokenizer_json: str, text: str = "text", ids: str =
     return with_arrow_columns(docs, added, make)
 
 
+def hash_of(tokenizer_json: str) -> str:
+    return hashlib.sha256(tokenizer_json.encode()).hexdigest()
+
+
 def decoder(tokens: list[bytes]):
     """The text of ids given as little-endian 32-bit numbers."""
     token = tokens.__getitem__
@@ -149,9 +155,10 @@ def decoder(tokens: list[bytes]):
 def round_trip(docs: DataFrame, tokenizer_json: str, text: str = "text") -> DataFrame:
     """Adds ``ids``, ``n_tokens`` and the text ``decoded`` from the ids, by one Python worker a task."""
     spec = docs.sparkSession.sparkContext.broadcast((tokenizer_json, cut_table(tokenizer_json)))
+    key = ("round_trip", hash_of(tokenizer_json))
 
     def make():
-        encoder, to_text = Encoder(*spec.value), decoder(token_bytes(spec.value[0]))
+        encoder, to_text = kept_by_worker(key, lambda: (Encoder(*spec.value), decoder(token_bytes(spec.value[0]))))
 
         def both(batch: pa.RecordBatch) -> list:
             found = [encoder.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
