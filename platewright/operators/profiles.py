@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.names import prefixed_names
 from ..schema import IMAGE_KEYS, PLATE, PROFILE_KEYS
 from .images import flatten_images
-from .ranking import grouped_median
+from .ranking import grouped_medians
 
 
 def mean(column: str, decimals: int | None = None) -> Column:
@@ -101,19 +101,9 @@ def well_profile(
 ) -> DataFrame:
     """``Median_<m>`` and ``Std_<m>`` of every measure per well, exact.
 
-    Medians are ranked on counted values over buckets, so that no well has to
-    fit into one task.
+    Deviations come with the first of the two readings that medians take.
     """
-    keys = list(by)
-    group = F.struct(*keys).alias("_group")  # never NULL, so every group joins
-    deviations = objects.groupBy(group).agg(
-        *[F.stddev_samp(m).alias(n) for m, n in zip(measures, prefixed_names(measures, "Std"))]
-    )
-    long = objects.select(*keys, *measures).unpivot(keys, list(measures), "measure", "value")
-    medians = grouped_median(long, [*keys, "measure"]).groupBy(group).agg(*[
-        F.max(F.when(F.col("measure") == m, F.col("median"))).alias(n)
-        for m, n in zip(measures, prefixed_names(measures, "Median"))
-    ])
-    return deviations.join(medians, "_group", "left").select("_group.*", *[
-        c for c in [*deviations.columns, *medians.columns] if c != "_group"
-    ])
+    deviations = [F.stddev_samp(m).alias(n) for m, n in zip(measures, prefixed_names(measures, "Std"))]
+    found = grouped_medians(objects, list(by), list(measures), deviations)
+    medians = {f"median_{m}": n for m, n in zip(measures, prefixed_names(measures, "Median"))}
+    return found.select("_group.*", *prefixed_names(measures, "Std"), *medians).withColumnsRenamed(medians)

@@ -1,14 +1,14 @@
-"""Dense numbers and medians from counts per bucket of a 64-bit key.
+"""Dense numbers and medians without one task per group.
 
 Numbering or ranking rows with one window per group puts a whole group into
-one task. Here a key is cut twice (by 42 and by 21 bits), rows are counted per
-bucket, and offsets are running sums over buckets. No window then sees more
-than 2**22 rows, whatever the size of the group, and the result is exact.
+one task. To number rows, a key is cut twice (by 42 and by 21 bits), rows are
+counted per bucket, and offsets are running sums over buckets. No window then
+sees more than 2**22 rows, whatever the size of the group. For medians, quantile
+summaries leave a few thousandths of a group to rank. Both results are exact.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_folder
 
+# Of quantile summaries: ranks are right to 1 / ACCURACY of a group.
+ACCURACY = 10_000
 FINE_BITS = 21
 COARSE_BITS = 42
 
@@ -78,84 +80,58 @@ def dense_number(
     )
 
 
-def with_sortable_long(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Add a whole number that sorts like the double; equal only for equal values.
-
-    Exponent and mantissa are taken apart with exact arithmetic (scaling by
-    powers of two), step by step in generated code.
-    """
-    x, size, guess, exponent = (F.col(c) for c in (value, "_size", "_guess", "_exponent"))
-    two, steps = F.lit(2.0), F.lit(2 ** 52)
-    smallest = F.lit(sys.float_info.min)  # 2 ** -1022
-    correction = F.when(size >= F.pow(two, guess + 1), 1).when(size < F.pow(two, guess), -1).otherwise(0)
-    mantissa = ((size / F.pow(two, exponent) - 1) * steps).cast("bigint")
-    bits = (
-        F.when(size == 0, F.lit(0).cast("bigint"))
-        .when(size == float("inf"), F.lit(2047 * 2 ** 52))
-        .when(size < smallest, (size / smallest * steps).cast("bigint"))
-        .otherwise((exponent + 1023) * steps + mantissa)
-    )
-    return (
-        df.withColumn("_size", F.abs(x))
-        .withColumn("_guess", F.floor(F.log2(F.least(size, F.lit(sys.float_info.max)))))
-        .withColumn("_exponent", guess + correction)
-        .withColumn("_bits", bits)
-        .withColumn(name, F.when(x < 0, -F.col("_bits")).otherwise(F.col("_bits")))
-        .drop("_size", "_guess", "_exponent", "_bits")
-    )
-
-
-def grouped_median(values: DataFrame, group: Sequence[str], value: str = "value") -> DataFrame:
-    """Exact interpolated median and count per group: ``(*group, n, median)``.
-
-    Equal values are counted before the shuffle, and the counts are written. The bucket that holds the
-    middle is found from counts, first coarse, then fine; only its values, at
-    most 2**21, are ranked. The group is one struct, which is never NULL itself,
-    so groups with a NULL in them are kept by the joins.
-    """
-    keys = ["_group"]
-    v = F.col(value)
-    values = values.select(F.struct(*group).alias("_group"), value)
-    coarse_keys, fine_keys = [*keys, "_coarse"], [*keys, "_coarse", "_fine"]
-    counted = (
-        values.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    )
-    bucketed = with_sortable_long(counted, value, "_key").withColumns(_buckets(F.col("_key"))).drop("_key")
-    # Counted and ranked from one reading: written, since both read it whole.
-    shared_folder(values.sparkSession)
-    distinct = bucketed.repartition(*fine_keys).checkpoint()
-    fine = distinct.groupBy(*fine_keys).agg(F.sum("_n").alias("_n"))
-    coarse = fine.groupBy(*coarse_keys).agg(F.sum("_n").alias("_n"))
-
-    coarse = (
-        coarse.withColumn("n", F.sum("_n").over(Window.partitionBy(*keys)))
-        .withColumn("_low", F.floor((F.col("n") - 1) / 2))
-        .withColumn("_high", F.floor(F.col("n") / 2))
-    )
-    in_coarse = _holding_middle(coarse, keys, "_coarse")
-    in_fine = _holding_middle(fine.join(in_coarse, coarse_keys), coarse_keys, "_fine")
-    at_value = _holding_middle(distinct.join(in_fine, fine_keys), fine_keys, value)
-    low = F.max(F.when(F.col("_low").isNotNull(), v))
-    high = F.max(F.when(F.col("_high").isNotNull(), v))
-    medians = at_value.groupBy(*keys).agg(
-        F.max("n").alias("n"), (low * 0.5 + high * 0.5).alias("median")
-    )
-    return medians.select("_group.*", "n", "median")
-
-
-def _holding_middle(df: DataFrame, partition: Sequence[str], order: str) -> DataFrame:
-    """Rows that hold the position ``_low`` or ``_high`` of their partition.
-
-    The positions are made relative to the row; the one it lacks becomes NULL.
+def grouped_medians(
+    df: DataFrame, group: Sequence[str], columns: Sequence[str], more: Sequence[Column] = ()
+) -> DataFrame:
+    """Exact interpolated medians of several columns: a row per group with ``_group`` (a
+    struct), the aggregates in ``more``, and ``n_<c>`` and ``median_<c>`` per column.
+
+    Two readings. The first makes a quantile summary of bounded size per group and
+    column, whose error is known: it gives two values that the median lies between.
+    The second counts what is below them, and counts each value between them, which
+    are a few thousandths of a group; only those are ranked. Nulls and NaN don't count.
+    The group is one struct, which is never NULL itself, so groups with a NULL in them
+    are kept by the join.
     """
-    with_before = df.withColumn("_before", _rows_before("_n", partition, order))
-
-    def inside(position: str) -> Column:
-        offset = F.col(position) - F.col("_before")
-        return F.when((offset >= 0) & (offset < F.col("_n")), offset)
-
-    return (
-        with_before.withColumns({"_low": inside("_low"), "_high": inside("_high")})
-        .filter(F.col("_low").isNotNull() | F.col("_high").isNotNull())
-        .select(*partition, order, "n", "_low", "_high")
+    shared_folder(df.sparkSession)
+    df = df.withColumn("_group", F.struct(*group))
+    values = {c: F.when(~F.isnan(c), F.col(c)) for c in columns}
+    margin = 2 / ACCURACY
+    around = F.array(F.lit(0.5 - margin), F.lit(0.5 + margin))
+    found = df.groupBy("_group").agg(
+        *more, *[F.count(v).alias(f"n_{c}") for c, v in values.items()],
+        *[F.percentile_approx(v, around, ACCURACY).alias(f"_between_{c}") for c, v in values.items()],
     )
+    found = found.checkpoint()  # a row per group, read twice
+
+    near = df.select("_group", *[v.alias(c) for c, v in values.items()]).join(
+        found.select("_group", *[f"_between_{c}" for c in columns]), "_group")
+    # Values below are all counted as NULL, values above not at all.
+    entries = [
+        F.when(F.col(c) <= F.get(f"_between_{c}", F.lit(1)), F.struct(
+            F.lit(k).alias("column"),
+            F.when(F.col(c) >= F.get(f"_between_{c}", F.lit(0)), F.col(c).cast("double")).alias("value"),
+        ))
+        for k, c in enumerate(columns)
+    ]
+    entry = F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("_entry")
+    counted = near.select("_group", entry).groupBy("_group", "_entry.column", "_entry.value").agg(F.count("*").alias("_n"))
+    sizes = F.array(*[F.col(f"n_{c}") for c in columns])
+    ranked = counted.withColumn("_before", _rows_before("_n", ["_group", "column"], "value"))
+    ranked = ranked.join(found.select("_group", sizes.alias("_sizes")), "_group")
+
+    def holds(c: int, place: Column) -> Column:
+        inside = (place >= F.col("_before")) & (place < F.col("_before") + F.col("_n"))
+        return F.max(F.when((F.col("column") == c) & inside, F.col("value")))
+
+    size = F.get("_sizes", F.col("column"))
+    low, high = F.floor((size - 1) / 2), F.floor(size / 2)
+    middles = ranked.groupBy("_group").agg(*[
+        (holds(k, low) * 0.5 + holds(k, high) * 0.5).alias(f"median_{c}") for k, c in enumerate(columns)
+    ])
+    joined = found.join(middles, "_group", "left").drop(*[f"_between_{c}" for c in columns])
+    missing = F.raise_error(F.lit("a median lies outside of its bounds")).cast("double")
+    return joined.withColumns({
+        f"median_{c}": F.when((F.col(f"n_{c}") > 0) & F.col(f"median_{c}").isNull(), missing).otherwise(F.col(f"median_{c}"))
+        for c in columns
+    })

@@ -30,6 +30,11 @@ def test_profile_is_one_scan_and_one_shuffle(spark, sf_dir):
     assert "l_extendedprice" in read and "l_partkey" not in read and "l_shipdate" not in read
 
 
+def test_medians_read_the_objects_once_after_the_summaries(spark, sf_dir):
+    found = profiles.well_profile(screen.objects_view(spark, sf_dir), ["Area", "Intensity"], ["plate", "population", "Row", "Column"])
+    assert plan(found).count("FileScan") == 1
+
+
 @pytest.mark.parametrize("query", ["image_table", "attach_keys", "image_number", "well_median_std", "image_flatten"])
 def test_no_cross_joins_and_no_python(spark, sf_dir, query):
     import __spark_entry__ as entry

@@ -1,10 +1,9 @@
-import math
 import random
 import statistics
 
 import pytest
 
-from platewright.operators.ranking import dense_number, grouped_median, with_sortable_long
+from platewright.operators.ranking import dense_number, grouped_medians
 
 
 def _numbers(rows):
@@ -30,25 +29,6 @@ def test_dense_number_without_groups_and_with_ties(spark):
     assert got == {"c": 1, "a": 2, "b": 3}
 
 
-def test_sortable_long_keeps_order(spark):
-    rng = random.Random(7)
-    values = {0.0, 1.0, -1.0, math.inf, -math.inf, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308}
-    for exponent in range(-1074, 1024):
-        power = math.ldexp(1.0, exponent)
-        values |= {power, math.nextafter(power, 0), math.nextafter(power, math.inf), -power}
-    values |= {rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(2000)}
-    ordered = sorted(values)
-    df = spark.createDataFrame([(v,) for v in ordered], "v double")
-    keys = {r["v"]: r["k"] for r in with_sortable_long(df, "v", "k").collect()}
-    numbers = [keys[v] for v in ordered]
-    assert all(a < b for a, b in zip(numbers, numbers[1:]))
-
-
-def test_sortable_long_of_negative_zero(spark):
-    got = with_sortable_long(spark.createDataFrame([(-0.0,), (0.0,)], "v double"), "v", "k")
-    assert {r["k"] for r in got.collect()} == {0}
-
-
 def test_grouped_median(spark):
     rng = random.Random(3)
     groups = {
@@ -63,8 +43,12 @@ def test_grouped_median(spark):
     rows += [("odd", None), ("odd", float("nan")), ("none", None)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, value double").repartition(4)
-    got = {r["g"]: (r["n"], r["median"]) for r in grouped_median(df, ["g"]).collect()}
-    assert set(got) == set(groups)
+    rows = grouped_medians(df.withColumn("twice", df["value"] * 2), ["g"], ["value", "twice"]).collect()
+    got = {r["_group"]["g"]: (r["n_value"], r["median_value"]) for r in rows}
+    assert got.pop("none") == (0, None) and set(got) == set(groups)
+    for r in rows:
+        assert r["n_twice"] == r["n_value"]
+        assert r["median_twice"] == (None if r["median_value"] is None else pytest.approx(2 * r["median_value"]))
     for g, vs in groups.items():
         assert got[g][0] == len(vs)
         assert got[g][1] == pytest.approx(statistics.median(vs), rel=1e-12)
@@ -72,5 +56,18 @@ def test_grouped_median(spark):
 
 def test_grouped_median_keeps_groups_with_null(spark):
     df = spark.createDataFrame([("a", None, 1.0), ("a", None, 3.0), (None, 1, 5.0)], "g string, h int, value double")
-    got = {(r["g"], r["h"]): r["median"] for r in grouped_median(df, ["g", "h"]).collect()}
-    assert got == {("a", None): 2.0, (None, 1): 5.0}
+    rows = grouped_medians(df, ["g", "h"], ["value"]).collect()
+    assert {tuple(r["_group"]): r["median_value"] for r in rows} == {("a", None): 2.0, (None, 1): 5.0}
+
+
+def test_medians_of_large_groups(spark, monkeypatch):
+    """With a coarse summary many values lie between the bounds, few with a fine one."""
+    from platewright.operators import ranking
+
+    rng = random.Random(9)
+    values = [rng.choice([rng.gauss(0, 1), float(rng.randrange(5))]) for _ in range(30_000)]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", 7.0)] * 20_000, "g string, value double")
+    for accuracy in (20, 100, 10_000):
+        monkeypatch.setattr(ranking, "ACCURACY", accuracy)
+        got = {r["_group"]["g"]: r["median_value"] for r in grouped_medians(df.repartition(7), ["g"], ["value"]).collect()}
+        assert got == {"a": statistics.median(values), "b": 7.0}
