@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from platewright.llm.arrow import kept_by_worker, with_arrow_columns
 
-#: Fragments of so many bytes at most are remembered, and so many of them at once.
-MEMO_BYTES, MEMO_FRAGMENTS = 64, 100_000
+#: Fragments of so many bytes at most are remembered, and twice so many of them at most.
+MEMO_BYTES, MEMO_FRAGMENTS = 64, 150_000
 APOSTROPHE = ord("'")
 
 
@@ -83,6 +83,7 @@ class Encoder:
         special = sorted((t["content"] for t in json.loads(tokenizer_json)["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.memo: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def fragments(self, data: bytes) -> list[bytes]:
         codes = np.frombuffer(data, np.uint8)
@@ -92,18 +93,24 @@ class Encoder:
 
     def segment(self, text: str) -> bytes:
         """Ids of a text without special tokens, as little-endian 32-bit numbers."""
-        parts, memo = self.fragments(text.encode()), self.memo
-        missing = list({p for p in parts if p not in memo})
-        found: dict[bytes, bytes] = {}
-        if missing:
-            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in missing], add_special_tokens=False)
-            found = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(missing, encoded)}
-            ids = b"".join([memo[p] if p in memo else found[p] for p in parts])
-            if len(memo) > MEMO_FRAGMENTS:
-                memo.clear()
-            memo.update((p, i) for p, i in found.items() if len(p) <= MEMO_BYTES)
-            return ids
-        return b"".join([memo[p] for p in parts])
+        parts = self.fragments(text.encode())
+        ids = list(map(self.memo.get, parts))
+        if None in ids:
+            new = self.learned({p for p, i in zip(parts, ids) if i is None})
+            ids = [new[p] if i is None else i for p, i in zip(parts, ids)]
+        return b"".join(ids)
+
+    def learned(self, parts: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of fragments that are not remembered, which the short ones then are."""
+        found = {p: self.before[p] for p in parts if p in self.before}
+        rest = [p for p in parts if p not in found]
+        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
+        found.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(rest, encoded))
+        if len(self.memo) > MEMO_FRAGMENTS:
+            # What is used again comes back from the fragments before, the others go with the next turn.
+            self.before, self.memo = self.memo, {}
+        self.memo.update((p, i) for p, i in found.items() if len(p) <= MEMO_BYTES)
+        return found
 
     def encode(self, text: str) -> bytes:
         pieces = self.special.split(text) if self.special else [text]
