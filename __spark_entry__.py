@@ -282,6 +282,13 @@ def clean_names(spark, sf_dir):
     )
 
 
+def legacy_names(spark, sf_dir):
+    """Headings made of part names, cleaned in each of the older styles."""
+    heading = F.concat(F.col("p_type"), F.lit(" - Group%/["), F.col("p_name"), F.lit(" µm²] µm"))
+    styles = [names.clean_name_col(heading, s).alias(s) for s in names.LEGACY_STYLES]
+    return screen.table(spark, sf_dir, "part").select("p_partkey", *styles)
+
+
 def trim_preamble(spark, sf_dir):
     whole = F.col("text")
     return screen.table(spark, sf_dir, "documents").select(
@@ -538,6 +545,7 @@ def queries() -> dict[str, Query]:
         "plate_count": plate_count,
         "plate_total": plate_total,
         "clean_names": clean_names,
+        "legacy_names": legacy_names,
         "trim_preamble": trim_preamble,
         "metadata_pairs": metadata_pairs,
         "plate_files": plate_files,

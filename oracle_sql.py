@@ -119,6 +119,12 @@ ALL_JOINS = " ".join(f'LEFT JOIN p_{p} USING (plate, "Well", "Field")' for p in
 IMAGE_TABLE = f"WITH {INDEX}, {IMAGES}, {FILES}, {FLAT}, {OBJECTS}, {PROFILES} SELECT * FROM flat {ALL_JOINS}"
 
 
+def _replaced(value: str, pairs: list[tuple[str, str]]) -> str:
+    for old, new in pairs:
+        value = f"replace({value}, '{old}', '{new}')"
+    return value
+
+
 def _renamed() -> str:
     """The objects of each population, with the columns of the others as NULL."""
 
@@ -256,6 +262,8 @@ COUNTS = """counts AS (
 
 CLEAN = "regexp_replace(p_name || ' - ' || p_type || ' - ' || p_brand || ' [µm²]', '[^a-zA-Z0-9_]', '', 'g')"
 FROM_THE = "CASE WHEN instr(text, 'the') > 0 THEN substr(text, instr(text, 'the')) ELSE text END"
+# Substitutions for index headings; those for results are all but the last two.
+OLDER = [("-", "_"), ("Group", "Group_id"), (" ", ""), ("%", "percent"), ("/", "_"), ("[", ""), ("]", ""), ("²", ""), ("µ", "u")]
 THIRD = "CAST(substr(plate, 2, 6) AS BIGINT) % 3 = 0"
 GONE = ", ".join(
     f'CASE WHEN NOT ({THIRD}) THEN "{c}_PDGFSelected" END AS "{c}_PDGFSelected"'
@@ -330,6 +338,9 @@ ORACLE: dict[str, str] = {
     "clean_names": f"""SELECT p_partkey, {CLEAN} AS clean,
         replace(replace(p_name, '-', ''), ' ', '') AS table_name,
         substr('Per_Field_' || {CLEAN} || {CLEAN}, 1, 64) AS prefixed FROM part""",
+    "legacy_names": f"""SELECT p_partkey, {_replaced('h', OLDER[:7])} AS results, {_replaced('h', OLDER)} AS "index",
+        {_replaced('h', [(' ', '_'), ('-', '_'), ('%', ''), ('[', ''), (']', ''), ('Group', 'Group_id'), ('µm²', 'um'), ('µm', 'um'), ('s', '_s')])} AS harmony
+        FROM (SELECT p_partkey, p_type || ' - Group%/[' || p_name || ' µm²] µm' AS h FROM part) t""",
     "trim_preamble": f"""SELECT doc_id, md5({FROM_THE}) AS trimmed_md5, length({FROM_THE}) AS trimmed_length,
         {FIRST_WORD} AS first_word, coalesce({FIRST_WORD} = 'the', false) AS starts_the FROM documents""",
     "metadata_pairs": f"WITH {PREAMBLES} SELECT * FROM pairs",

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 NAME_LIMIT = 64
 
-# Substitutions of the two older naming styles, applied in order (fixed values).
+# Substitutions of the three older naming styles, applied in order (fixed values).
 LEGACY_STYLES = {
     "results": [("-", "_"), ("Group", "Group_id"), (" ", ""), ("%", "percent"), ("/", "_"),
                 ("[", ""), ("]", ""), ("ï»¿", ""), ("Â", "")],
     "index": [("-", "_"), ("Group", "Group_id"), (" ", ""), ("%", "percent"), ("/", "_"),
               ("[", ""), ("]", ""), ("²", ""), ("µ", "u"), ("ï»¿", ""), ("Â", "")],
+    "harmony": [(" ", "_"), ("-", "_"), ("%", ""), ("[", ""), ("]", ""), ("Group", "Group_id"),
+                ("µm²", "um"), ("µm", "um"), ("s", "_s")],
 }
 
 # Parts dropped from a file name to get its table name (fixed values).
@@ -53,8 +55,12 @@ def require_distinct(names: Iterable[str], what: str) -> None:
             raise ValueError(f"{what} collide: {other!r} and {name!r}")
 
 
-def clean_name_col(name: Column) -> Column:
-    return F.regexp_replace(name, "[^a-zA-Z0-9_]", "")
+def clean_name_col(name: Column, style: str = "strict") -> Column:
+    if style == "strict":
+        return F.regexp_replace(name, "[^a-zA-Z0-9_]", "")
+    for old, new in LEGACY_STYLES[style]:
+        name = F.replace(name, F.lit(old), F.lit(new))
+    return name
 
 
 def table_name_col(file_name: Column) -> Column:

@@ -50,3 +50,7 @@ def test_rename_and_select_measures(spark):
     assert clean.columns == ["Row", "O4Aream", "Other"]
     assert names.measurement_columns(clean, "O4") == ["O4Aream"]
     assert names.measurement_columns(clean, "o4") == []
+
+
+def test_harmony_style():
+    assert names.clean_name("Group - Cells [µm²] 5%", "harmony") == "Group_id___Cell_s_um_5"
