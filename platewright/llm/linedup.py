@@ -191,8 +191,11 @@ def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WO
     shared_folder(docs.sparkSession)
     all_lines = sequences(docs, block_words, doc_id, text).checkpoint()
     same = [F.xxhash64("lines").alias("key"), F.size("lines").alias("n_lines")]
-    classes = all_lines.select("doc_id", *same).groupBy("key", "n_lines").agg(F.min("doc_id").alias("first"))
-    own = all_lines.select("*", *same).join(classes, ["key", "n_lines"]).select("doc_id", "first", "lines", "units")
+    classes = all_lines.select("doc_id", *same).groupBy("key", "n_lines").agg(
+        F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Only classes of several, and written, so that the join can split one of very many.
+    own = all_lines.select("*", *same).join(classes.checkpoint(), ["key", "n_lines"], "left").select(
+        "doc_id", F.coalesce("first", "doc_id").alias("first"), "lines", "units")
     firsts = own.where("doc_id = first").select("doc_id", "lines", "units").dropDuplicates(["doc_id"])
 
     shared = shared_units(firsts).checkpoint()
