@@ -1,10 +1,10 @@
 """Training passages that copy items of a benchmark, also edited or paraphrased ones.
 
-The n-grams of the items are counted over the whole corpus; the rarer half of each
-item's n-grams are its seeds. A passage with seeds of an item at about the same
-distance from each other is a candidate, and Smith-Waterman alignment of its words
-with the item's gives the score: 1 for the whole item word by word, less for edits
-and missing parts.
+The n-grams of the items are counted over the whole corpus; those that occur are seeds.
+A passage with a seed of an item is a candidate if it has enough of the item's words to
+reach the least score in any order, and Smith-Waterman alignment of its words with the
+item's gives the score: 1 for the whole item word by word, less for edits and missing
+parts. Passages of one item and document don't overlap.
 
 The items are taken in blocks of bounded size, each sent to all tasks as one index,
 and the corpus is read whole for each block. No document is shuffled.
@@ -28,12 +28,14 @@ from pyspark.sql import types as T
 from platewright.llm.arrow import small_batches
 from platewright.llm.words import LAST, PUNCTUATION, SPACES, grams, hashed, separator
 
-NGRAM, LEAST_SEEDS, MIN_SCORE = 3, 8, 0.5
+NGRAM, MIN_SCORE = 3, 0.5
 #: Characters of the items in a block (one item at least).
 BLOCK_CHARS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Cells of an alignment matrix row for all candidates aligned at once.
 CELLS = 1 << 18
+#: Words of candidates counted at once.
+COUNTED = 1 << 20
 SEPARATOR = separator(SPACES + PUNCTUATION)
 BITS = 22
 
@@ -52,19 +54,17 @@ class Items:
         self.offset = at - self.starts[self.item]
         self.grams, self.gram = np.unique(found[at], return_inverse=True)
 
-    def keep_rare(self, counts: np.ndarray) -> None:
-        """Keeps the rarer half of each item's n-grams, ``LEAST_SEEDS`` at least if it has as many."""
-        weight = (counts * np.bincount(self.gram, minlength=len(self.grams)))[self.gram]
-        order = np.lexsort((self.offset, weight, self.item))
-        item = self.item[order]
-        first = np.searchsorted(item, item)
-        size = np.searchsorted(item, item, "right") - first
-        kept = order[np.arange(len(order)) - first < np.maximum((size + 1) // 2, LEAST_SEEDS)]
+    def keep_found(self, counts: np.ndarray) -> None:
+        """Keeps the n-grams that occur in the corpus. The others match nothing."""
+        kept = np.flatnonzero(counts[self.gram] > 0)
         kept = kept[np.argsort(self.gram[kept], kind="stable")]
         self.grams, gram = np.unique(self.grams[self.gram[kept]], return_inverse=True)
         self.item, self.offset = self.item[kept], self.offset[kept]
         self.by_gram = np.searchsorted(gram, np.arange(len(self.grams) + 1))
-        self.seeds = np.bincount(self.item, minlength=len(self.lengths))
+        # The different words of each item, and how often it has them.
+        self.known, word = np.unique(self.words, return_inverse=True)
+        item = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.own, self.times = np.unique(item * len(self.known) + word, return_counts=True)
 
     def finder(self) -> "Finder":
         return Finder(self.grams)
@@ -127,43 +127,84 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def candidates(index: Items, doc: np.ndarray, place: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """``item, doc, low, high``: windows with enough seeds of an item, by seed hits."""
+    """``item, doc, low, high``: windows with seeds of an item, by seed hits."""
     lists = index.by_gram[gram + 1] - index.by_gram[gram]
     hit = np.repeat(np.arange(len(gram)), lists)
     entry = np.arange(len(hit)) - np.repeat(np.cumsum(lists) - lists, lists) + index.by_gram[gram[hit]]
     item, doc = index.item[entry], doc[hit]
     begin = place[hit] - index.offset[entry]
     order = np.lexsort((begin, item, doc))
-    item, doc, begin, entry = item[order], doc[order], begin[order], entry[order]
+    item, doc, begin = item[order], doc[order], begin[order]
     slack = 4 + index.lengths[item] // 4
     new = np.r_[True, (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (begin[1:] - begin[:-1] > slack[1:])]
-    group = np.cumsum(new) - 1
     at = np.flatnonzero(new)
-    once = np.unique(np.stack([group, entry]), axis=1)[0]
-    seeds = np.bincount(once, minlength=len(at))
     low = begin[at] - slack[at]
     high = np.maximum.reduceat(begin, at) + index.lengths[item[at]] + slack[at]
-    enough = seeds >= np.minimum(2, index.seeds[item[at]])
-    return np.stack([item[at], doc[at], low, high])[:, enough]
+    return np.stack([item[at], doc[at], low, high])
 
 
-def scores(index: Items, words: np.ndarray, starts: np.ndarray, found: np.ndarray) -> Iterator[tuple]:
-    """``item, doc, score, first word, last word`` of each candidate."""
+def promising(index: Items, finder: Finder, words: np.ndarray, starts: np.ndarray, found: np.ndarray,
+              min_score: float) -> np.ndarray:
+    """``item, doc, low, high`` (words of all texts): the windows with as many of the item's
+    words as the least score takes. Those that overlap are one."""
     item, doc, low, high = found
     low = np.maximum(starts[doc] + low, starts[doc])
     high = np.minimum(starts[doc] + high, starts[doc + 1])
-    order = np.argsort(high - low, kind="stable")
-    at = 0
-    while at < len(order):
-        width = 1 + int((high - low)[order[at]])
-        part = order[at : at + max(1, CELLS // (2 * width))]
-        part = part[(high - low)[part] <= max(2 * width, 64)]
-        at += len(part)
-        items = [index.words[index.starts[i] : index.starts[i + 1]] for i in item[part]]
-        best, end = align(items, [words[a:b] for a, b in zip(low[part], high[part])])
-        size = index.lengths[item[part]]
-        last = low[part] + end - starts[doc[part]]
-        yield item[part], doc[part], best / (MATCH * size), np.maximum(0, last - size + 1), last
+    at, word = finder(words)
+    first, last = np.searchsorted(at, low), np.searchsorted(at, high)
+    need = np.ceil(min_score * index.lengths[item] - 1e-9)
+    enough = last - first >= need
+    ends = np.cumsum(np.where(enough, last - first, 0))
+    begin = 0
+    while begin < len(item):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + COUNTED, "right")))
+        some = begin + np.flatnonzero(enough[begin:end])
+        size = last[some] - first[some]
+        window = np.repeat(np.arange(len(some)), size)
+        place = np.arange(len(window)) - np.repeat(np.cumsum(size) - size, size) + first[some][window]
+        key = item[some][window] * len(index.known) + word[place]
+        number = np.minimum(np.searchsorted(index.own, key), len(index.own) - 1)
+        hit = index.own[number] == key
+        pair, times = np.unique(window[hit] * len(index.own) + number[hit], return_counts=True)
+        common = np.bincount(pair // len(index.own), np.minimum(times, index.times[pair % len(index.own)]), len(some))
+        enough[some] = common >= need[some]
+        begin = end
+    item, doc, low, high = item[enough], doc[enough], low[enough], high[enough]
+    if not len(item):
+        return np.empty((4, 0), np.int64)
+    # By document, item and place, as the candidates are.
+    group = np.cumsum(np.r_[True, (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])])
+    far = len(words) + 1
+    end = np.maximum.accumulate(high + group * far) - group * far
+    at = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (low[1:] >= end[:-1])])
+    return np.stack([item[at], doc[at], low[at], end[np.r_[at[1:] - 1, len(end) - 1]]])
+
+
+def scores(index: Items, words: np.ndarray, starts: np.ndarray, found: np.ndarray, min_score: float) -> Iterator[tuple]:
+    """``item, doc, score, first word, last word`` of each passage with the least score: the
+    best of a window, and then those of what is left before and after it."""
+    while found.shape[1]:
+        item, doc, low, high = found
+        order = np.argsort(high - low, kind="stable")
+        at, rest = 0, [np.empty((4, 0), np.int64)]
+        while at < len(order):
+            width = 1 + int((high - low)[order[at]])
+            part = order[at : at + max(1, CELLS // (2 * width))]
+            part = part[(high - low)[part] <= max(2 * width, 64)]
+            at += len(part)
+            items = [index.words[index.starts[i] : index.starts[i + 1]] for i in item[part]]
+            best, end = align(items, [words[a:b] for a, b in zip(low[part], high[part])])
+            size = index.lengths[item[part]]
+            score = best / (MATCH * size)
+            good = (best > 0) & (score >= min_score)
+            part, end, size = part[good], end[good], size[good]
+            last = low[part] + end
+            first = np.maximum(starts[doc[part]], last - size + 1)
+            yield item[part], doc[part], score[good], first - starts[doc[part]], last - starts[doc[part]]
+            rest += [np.stack([item[part], doc[part], low[part], first]),
+                     np.stack([item[part], doc[part], last + 1, high[part]])]
+        found = np.concatenate(rest, axis=1)
+        found = found[:, found[3] - found[2] >= np.maximum(1, min_score * index.lengths[found[0]])]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, n: int = NGRAM, min_score: float = MIN_SCORE,
@@ -188,7 +229,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = NGRAM, min_score: f
         counts = np.zeros(len(index.grams), np.int64)
         for row in counted.collect():  # a row per n-gram of the block at most
             counts[row["gram"]] = row["n"]
-        index.keep_rare(counts)
+        index.keep_found(counts)
         matches = own.mapInArrow(_matcher(spark.sparkContext.broadcast(vars(index)), n, min_score), schema)
         names = spark.createDataFrame(
             [(k, i) for k, i in enumerate(ids)],
@@ -224,7 +265,7 @@ def _matcher(shared, n: int, min_score: float):
     def match(batches):
         index = Items.__new__(Items)
         vars(index).update(shared.value)
-        finder = index.finder()
+        finder, known = index.finder(), Finder(index.known)
         for batch in batches:
             ids, column = batch.column("doc_id"), batch.column("text")
             for low, _, words, starts in hashed(column, SEPARATOR):
@@ -233,12 +274,12 @@ def _matcher(shared, n: int, min_score: float):
                     continue
                 doc = np.searchsorted(starts, place, "right") - 1
                 found = candidates(index, doc, place - starts[doc], gram)
-                for item, doc, score, first, last in scores(index, words, starts, found):
-                    good = score >= min_score
-                    if good.any():
+                found = promising(index, known, words, starts, found, min_score)
+                for item, doc, score, first, last in scores(index, words, starts, found, min_score):
+                    if len(item):
                         yield pa.RecordBatch.from_arrays(
-                            [ids.take(pa.array(low + doc[good])), pa.array(item[good].astype(np.int64)),
-                             pa.array(score[good]), pa.array(first[good]), pa.array(last[good])],
+                            [ids.take(pa.array(low + doc)), pa.array(item.astype(np.int64)),
+                             pa.array(score), pa.array(first), pa.array(last)],
                             names=["doc_id", "item", "score", "first_word", "last_word"],
                         )
 

@@ -63,6 +63,34 @@ def test_copies_are_found_and_scored(spark):
             assert r["score"] == (2 * size - 1) / (2 * size)
 
 
+def test_one_edited_copy_is_found(spark):
+    """One edit in 4, 5 and 6 words, also where an exact copy elsewhere raises all counts."""
+    rng = random.Random(8)
+    items, docs, expected = [], [], {}
+    for size in (20, 30, 45, 60):
+        for step in (4, 5, 6):
+            for copied in (False, True):
+                item = [f"i{len(items)}x{i}" for i in range(size)]
+                part = [w if i % step != step - 1 else f"edit{i}" for i, w in enumerate(item)]
+                expected[len(docs), len(items)] = plain_smith_waterman(item, part) / (dc.MATCH * size)
+                docs.append(" ".join([*words(rng, 40), *part, *words(rng, 40)]))
+                if copied:
+                    expected[len(docs), len(items)] = 1.0
+                    docs.append(" ".join(item))
+                items.append(" ".join(item))
+    found = dc.contaminated(frame(spark, docs), items_frame(spark, items)).collect()
+    assert min(expected.values()) > dc.MIN_SCORE
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == expected and len(found) == len(expected)
+
+
+def test_one_seed_is_enough_and_passages_do_not_overlap(spark):
+    item = "a b c d e f".split()
+    docs = ["x y a b c Z e f x", "a b c d e f x a b c d e f", "c b a f e d a b c"]
+    found = dc.contaminated(frame(spark, docs), items_frame(spark, [" ".join(item)])).collect()
+    places = sorted((r["doc_id"], r["score"], r["first_word"], r["last_word"]) for r in found)
+    assert places == [(0, 0.75, 2, 7), (1, 1.0, 0, 5), (1, 1.0, 7, 12), (2, 0.5, 3, 8)]
+
+
 def test_blocks_give_the_same(spark):
     rng = random.Random(5)
     items = [" ".join(words(rng, 20)) for _ in range(12)]
