@@ -32,9 +32,8 @@ PATTERNS = {
     "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])", "true"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "contains({}, '+')"),
 }
-#: Distinct lines that a term and an entity need together (lines that
-#: differ in few words count as one); the part of an entity's
-#: information that a term may give; letters of a term.
+#: Lines that a term and an entity need together, different in more than the entity and
+#: case; the part of an entity's information that a term may give; letters of a term.
 MIN_LINES, DISCLOSURE, TERM_LETTERS = 3, 0.8, 3
 WORD = r"[\p{L}\p{N}]+(?:['-][\p{L}\p{N}]+)*"
 _SPAN = "struct<start: int, rank: int, stop: int, kind: string, value: string>"
@@ -111,21 +110,22 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_lines: int = MIN_LIN
     """
     lines = found.where("size(spans) > 0").select(F.explode(F.split("text", "\n")).alias("line"))
     lines = with_spans(lines.groupBy("line").agg(F.count("*").alias("copies")), "line").where("size(spans) > 0")
-    lines = lines.selectExpr("copies", "spans", f"array_distinct({_words('line')}) AS words")
-    # Lines that differ in few words have the same least hash of a word nearly always.
-    pairs = lines.selectExpr("copies", "words", "array_min(transform(words, w -> xxhash64(w))) AS kind",
+    lines = lines.selectExpr("copies", "line", "spans", f"array_distinct({_words('line')}) AS words")
+    pairs = lines.selectExpr("copies", "line", "words",
                              "explode(array_distinct(transform(spans, s -> lower(s.value)))) AS entity")
+    pairs = pairs.selectExpr("copies", "words", "entity", "xxhash64(replace(lower(line), entity, '')) AS rest")
     pairs = pairs.checkpoint()
     entities = pairs.groupBy("entity").agg(
-        F.sum("copies").alias("n_entity"), F.countDistinct("kind").alias("kinds")
-    ).where(F.col("kinds") >= min_lines)
-    together = pairs.join(entities, "entity").select(
-        "entity", "n_entity", "copies", "kind", F.explode("words").alias("term")
+        F.sum("copies").alias("n_entity"), F.countDistinct("rest").alias("different")
+    ).where(F.col("different") >= min_lines)
+    together = pairs.join(entities.drop("different"), "entity").select(
+        "entity", "n_entity", "copies", "rest", F.explode("words").alias("term")
     ).where(f"length(term) >= {TERM_LETTERS} AND term rlike '\\\\p{{L}}'")
     together = together.groupBy("entity", "term").agg(
-        F.first("n_entity").alias("n_entity"), F.sum("copies").alias("n_both"), F.countDistinct("kind").alias("kinds"))
+        F.first("n_entity").alias("n_entity"), F.sum("copies").alias("n_both"),
+        F.countDistinct("rest").alias("different"))
     # A term within the entity's own text says nothing beside it.
-    together = together.where((F.col("kinds") >= min_lines) & ~F.contains("entity", "term"))
+    together = together.where((F.col("different") >= min_lines) & ~F.contains("entity", "term"))
     every = docs.select(F.explode(F.split("text", "\n")).alias("line"))
     # Counted for all words: combined in the tasks, that is less to send than the lines of the terms.
     # Written, so that it is done alike whether there are terms or not.

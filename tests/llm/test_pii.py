@@ -74,6 +74,21 @@ def test_terms_that_reveal_an_entity(spark):
         assert all(text[s["start"] : s["stop"]] == s["value"] for s in row["spans"])
 
 
+def test_different_lines_count_whatever_words_they_share(spark):
+    """Three lines for each of many entities, that have the entity's parts and the term in common."""
+    rng = random.Random(3)
+    texts = [
+        " ".join([*(f"w{rng.randrange(10**6)}x" for _ in range(10)), f"Term{n}x", f"joe{n}@x{n}.org"])
+        for n in range(60) for _ in range(3)
+    ]
+    texts += [f"w{rng.randrange(10**6)}x" for _ in range(400)]
+    # The same line but for case and the way the entity is written is one.
+    texts += ["Quimby wrote this line AMY@y.org", "Quimby wrote this line amy@y.org", "quimby wrote this line amy@y.org"]
+    rows = pii.find(frame(spark, texts)).orderBy("doc_id").collect()
+    terms = [[s["value"] for s in r["spans"] if s["kind"] == "term"] for r in rows]
+    assert terms == [[f"Term{n // 3}x"] if n < 180 else [] for n in range(len(texts))]
+
+
 def test_sanitised(spark):
     found = pii.find(frame(spark, corpus()))
     texts = [r["text"] for r in pii.sanitised(found).orderBy("doc_id").collect()]
