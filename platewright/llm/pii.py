@@ -6,7 +6,7 @@ term reveals an entity is estimated from the corpus: over lines, the pointwise
 mutual information of term and entity as a part of the entity's information content,
 1 for a term that is only ever found with the entity. Terms over the disclosure threshold,
 seen with the entity in enough different lines, are spans of kind ``term`` in the documents
-that have the entity. Sanitising generalises spans to their kind and removes terms.
+that have the entity or, if asked for, wherever they stand. Sanitising generalises spans to their kind and removes terms.
 
 All of it is built-in functions. Spans are counted in code points, end exclusive.
 Patterns are possessive and bound at the start of a run, which finds the same matches
@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from platewright.operators.joins import is_small
 from platewright.session import shared_folder
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -35,6 +36,9 @@ PATTERNS = {
 #: Lines that a term and an entity need together, different in more than the entity and
 #: case; the part of an entity's information that a term may give; letters of a term.
 MIN_LINES, DISCLOSURE, TERM_LETTERS = 3, 0.8, 3
+#: Tables up to so many bytes are sent to all tasks.
+MAX_TERM_BYTES = 16 << 20
+KEY = ["doc_id", "_h"]
 WORD = r"[\p{L}\p{N}]+(?:['-][\p{L}\p{N}]+)*"
 _SPAN = "struct<start: int, rank: int, stop: int, kind: string, value: string>"
 
@@ -139,40 +143,62 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_lines: int = MIN_LIN
     return known.where(F.col("part") >= disclosure).select("entity", "term", "part")
 
 
-def with_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """``found`` with the spans of the terms that reveal an entity of the document added."""
-    key = ["doc_id", "_h"]
-    rows = found.withColumn("_h", F.xxhash64("text")).where("size(spans) > 0")
-    listed = rows.select(*key, F.explode("spans").alias("s")).select(*key, F.lower("s.value").alias("entity"))
-    listed = listed.join(terms, "entity").groupBy(*key).agg(F.collect_set("term").alias("terms"))
-    listed = listed.withColumnsRenamed({"doc_id": "_id", "_h": "_key"})
-    both = rows.join(listed, rows["_h"].eqNullSafe(listed["_key"]) & rows["doc_id"].eqNullSafe(listed["_id"]), "left")
-    pieces = both.selectExpr(
-        "doc_id", "text", "spans", "terms",
-        f"CASE WHEN terms IS NOT NULL THEN regexp_extract_all(text, {_literal(WORD)}, 0) END AS _m",
-        f"CASE WHEN terms IS NOT NULL THEN split(text, {_literal(WORD)}, -1) END AS _p",
-    )
+def _of_entities(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """``doc_id``, ``_h`` and the ``terms`` that reveal an entity of the document."""
+    listed = found.select(*KEY, F.explode("spans").alias("s")).select(*KEY, F.lower("s.value").alias("entity"))
+    return listed.join(terms, "entity").groupBy(*KEY).agg(F.collect_set("term").alias("terms"))
+
+
+def _of_all(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``doc_id``, ``_h`` and the ``terms`` that a document has, whatever entity they reveal."""
+    terms = terms.select("term").distinct().checkpoint()
+    words = docs.select(*KEY, F.expr(f"explode(array_distinct({_words('text')}))").alias("term"))
+    words = words.where(f"length(term) >= {TERM_LETTERS}")
+    return words.join(_small(terms), "term").groupBy(*KEY).agg(F.collect_set("term").alias("terms"))
+
+
+def _small(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if is_small(table, MAX_TERM_BYTES) else table
+
+
+def _on_key(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
+    other = other.withColumnsRenamed({"doc_id": "_id", "_h": "_key"})
+    on = rows["_h"].eqNullSafe(other["_key"]) & rows["doc_id"].eqNullSafe(other["_id"])
+    return rows.join(other, on, how).drop("_id", "_key")
+
+
+def with_terms(docs: DataFrame, found: DataFrame, terms: DataFrame, everywhere: bool = False) -> DataFrame:
+    """``found`` with the spans of the terms that reveal an entity of the document added, or
+    with those of all terms. Only ids, terms and the texts that have them are joined."""
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
+    listed = _of_all(docs, terms) if everywhere else _of_entities(found.where("size(spans) > 0"), terms)
+    listed = listed.checkpoint()
+    texts = _on_key(docs, _small(listed), "inner").dropDuplicates(KEY)
+    pieces = texts.selectExpr(
+        *KEY, "terms", f"regexp_extract_all(text, {_literal(WORD)}, 0) AS _m", f"split(text, {_literal(WORD)}, -1) AS _p")
     more = _placed("_p", "_m", "array_contains(terms, lower(x.m))", len(KINDS), "term")
-    more = pieces.selectExpr(
-        "doc_id", "text",
-        f"CASE WHEN size(_m) > 0 THEN sort_array(concat(spans, {more})) ELSE spans END AS spans",
-    )
-    return more.unionByName(found.where("size(spans) = 0").select("doc_id", "text", "spans"))
+    more = pieces.selectExpr(*KEY, f"{more} AS _more").where("size(_more) > 0").checkpoint()
+    both = _on_key(found, _small(more), "left")
+    return both.selectExpr(
+        "doc_id", "text", "CASE WHEN _more IS NULL THEN spans ELSE sort_array(concat(spans, _more)) END AS spans")
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", texts: bool = True) -> DataFrame:
-    """``doc_id``, ``text`` and all ``spans``: base ones and disclosing terms.
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", texts: bool = True,
+         everywhere: bool = False) -> DataFrame:
+    """``doc_id``, ``text`` and all ``spans``: base ones and disclosing terms, in documents
+    that have the entity or ``everywhere``.
 
-    Without ``texts`` only documents with spans have theirs, and only those texts are
-    written and shuffled.
+    Without ``texts`` only documents with base spans have theirs, and only those texts are
+    written.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     shared_folder(docs.sparkSession)
-    found = with_spans(own, "text").withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)))
+    found = with_spans(own.withColumn("_h", F.xxhash64("text")), "text")
+    found = found.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)))
     if not texts:
         found = found.withColumn("text", F.when(F.size("spans") > 0, F.col("text")))
     found = found.checkpoint()
-    return with_terms(found, disclosing_terms(own, found))
+    return with_terms(own, found, disclosing_terms(own, found).checkpoint(), everywhere)
 
 
 def sanitised(found: DataFrame) -> DataFrame:

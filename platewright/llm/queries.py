@@ -76,7 +76,7 @@ def sharded(docs: DataFrame) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find(table(spark, sf_dir, "documents"), texts=False)
+    found = pii.find(table(spark, sf_dir, "documents"), texts=False, everywhere=True)
     base = F.expr(f"filter(spans, s -> s.rank < {len(pii.KINDS)})")
     counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint) AS n_{k}") for k in pii.KINDS]
     return found.withColumn("base", base).select(

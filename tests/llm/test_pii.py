@@ -74,6 +74,20 @@ def test_terms_that_reveal_an_entity(spark):
         assert all(text[s["start"] : s["stop"]] == s["value"] for s in row["spans"])
 
 
+@pytest.mark.parametrize("texts", [True, False])
+def test_terms_everywhere(spark, texts):
+    """A term is also marked where its entity is not, in any case, and in repeated rows and without an id."""
+    more = ["Who is Zorblax? zorblax, ZORBLAX", "call zorblax at a@b.co", "zorblax again", "zorblax again", "zorblaxes"]
+    docs = [*corpus(), *more]
+    ids = [*range(len(docs) - 3), None, None, 999]
+    rows = pii.find(frame(spark, docs, ids), texts=texts, everywhere=True).collect()
+    found = sorted((-1 if r["doc_id"] is None else r["doc_id"], s["start"], s["value"])
+                   for r in rows for s in r["spans"] if s["kind"] == "term")
+    plain = sorted((-1 if i is None else i, m.start(), m.group())
+                   for i, t in zip(ids, docs) for m in re.finditer(r"(?i)\bzorblax\b", t))
+    assert found == plain and len(rows) == len(docs) and len(found) == 13
+
+
 def test_different_lines_count_whatever_words_they_share(spark):
     """Three lines for each of many entities, that have the entity's parts and the term in common."""
     rng = random.Random(3)
