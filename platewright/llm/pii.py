@@ -4,9 +4,11 @@ Four kinds are found by patterns: e-mail addresses, IP addresses, card numbers (
 their check digit) and phone numbers. They are the protected entities. How strongly a
 term reveals an entity is estimated from the corpus: over lines, the pointwise
 mutual information of term and entity as a part of the entity's information content,
-1 for a term that is only ever found with the entity. Terms over the disclosure threshold,
+1 for a term that is only ever found with the entity. Terms are words beside the base spans,
+and may also be parts of the entity. Those over the disclosure threshold,
 seen with the entity in enough different lines, are spans of kind ``term`` in the documents
-that have the entity or, if asked for, wherever they stand. Sanitising generalises spans to their kind and removes terms.
+that have the entity or, if asked for, wherever they stand. Sanitising generalises spans to
+their kind and removes terms.
 
 All of it is built-in functions. Spans are counted in code points, end exclusive.
 Patterns are possessive and bound at the start of a run, which finds the same matches
@@ -101,6 +103,17 @@ def joined(spans: str = "spans") -> Column:
     return F.expr(f"array_join(transform({spans}, s -> concat(s.kind, ':', s.start, ':', s.stop)), ',')")
 
 
+def _cut(spans: str, text: str, put: str, more: str = "''") -> str:
+    """``text`` with ``put`` for each span ``x``. A span that begins within an earlier one is
+    part of it, and has ``more`` for what is beyond that (from ``s.at`` on)."""
+    return (
+        f"aggregate({spans}, named_struct('at', 0, 'out', ''), (s, x) -> CASE WHEN x.start < s.at THEN"
+        f" named_struct('at', greatest(s.at, x.stop), 'out', concat(s.out, {more}))"
+        f" ELSE named_struct('at', x.stop, 'out', concat(s.out, substring({text}, s.at + 1, x.start - s.at), {put})) END,"
+        f" s -> concat(s.out, substring({text}, s.at + 1)))"
+    )
+
+
 def _words(line: str) -> str:
     return f"regexp_extract_all(lower({line}), {_literal(WORD)}, 0)"
 
@@ -114,11 +127,12 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_lines: int = MIN_LIN
     """
     lines = found.where("size(spans) > 0").select(F.explode(F.split("text", "\n")).alias("line"))
     lines = with_spans(lines.groupBy("line").agg(F.count("*").alias("copies")), "line").where("size(spans) > 0")
-    lines = lines.selectExpr("copies", "line", "spans", f"array_distinct({_words('line')}) AS words")
+    lines = lines.withColumn("beside", F.expr(_cut("spans", "line", "' '")))
+    lines = lines.selectExpr("copies", "line", "spans", f"array_distinct({_words('line')}) AS within",
+                             f"array_distinct({_words('beside')}) AS words").checkpoint()
     pairs = lines.selectExpr("copies", "line", "words",
                              "explode(array_distinct(transform(spans, s -> lower(s.value)))) AS entity")
     pairs = pairs.selectExpr("copies", "words", "entity", "xxhash64(replace(lower(line), entity, '')) AS rest")
-    pairs = pairs.checkpoint()
     entities = pairs.groupBy("entity").agg(
         F.sum("copies").alias("n_entity"), F.countDistinct("rest").alias("different")
     ).where(F.col("different") >= min_lines)
@@ -128,15 +142,23 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_lines: int = MIN_LIN
     together = together.groupBy("entity", "term").agg(
         F.first("n_entity").alias("n_entity"), F.sum("copies").alias("n_both"),
         F.countDistinct("rest").alias("different"))
-    # A term within the entity's own text says nothing beside it.
-    together = together.where((F.col("different") >= min_lines) & ~F.contains("entity", "term"))
+    together = together.where(F.col("different") >= min_lines)
     every = docs.select(F.explode(F.split("text", "\n")).alias("line"))
     # Counted for all words: combined in the tasks, that is less to send than the lines of the terms.
     # Written, so that it is done alike whether there are terms or not.
     counts = every.select(F.expr(f"explode(array_distinct({_words('line')}))").alias("term"))
     counts = counts.where(f"length(term) >= {TERM_LETTERS}").groupBy("term").agg(F.count("*").alias("n_term")).checkpoint()
+    # Lines that have a term in spans only don't have it.
+    inside = lines.select("copies", F.explode(F.array_except("within", "words")).alias("term"))
+    inside = inside.groupBy("term").agg(F.sum("copies").alias("n_inside"))
+    beside = lines.select("copies", F.explode(F.array_except("words", "within")).alias("term"))
+    beside = beside.groupBy("term").agg(F.sum("copies").alias("n_beside"))
     total = found.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).first()[0]
-    known = together.join(counts, "term").withColumn(
+    known = together.join(counts, "term", "left").join(inside, "term", "left").join(beside, "term", "left")
+    # A word that a span cuts short is a word of its own beside it.
+    known = known.withColumn(
+        "n_term", F.expr("coalesce(n_term, 0) - coalesce(n_inside, 0) + coalesce(n_beside, 0)")
+    ).withColumn(
         # An entity of every line gives no information.
         "part", F.expr(f"1 - ln(n_term / n_both) / nullif(ln({float(total)}D / n_entity), 0)")
     )
@@ -174,6 +196,10 @@ def with_terms(docs: DataFrame, found: DataFrame, terms: DataFrame, everywhere:
     listed = _of_all(docs, terms) if everywhere else _of_entities(found.where("size(spans) > 0"), terms)
     listed = listed.checkpoint()
     texts = _on_key(docs, _small(listed), "inner").dropDuplicates(KEY)
+    # Spaces for base spans: terms are looked for beside them, and places stay.
+    texts = with_spans(texts, "text").withColumn("text", F.expr(
+        "CASE WHEN size(spans) = 0 THEN text ELSE " + _cut(
+            "spans", "text", "repeat(' ', x.stop - x.start)", "repeat(' ', greatest(0, x.stop - s.at))") + " END"))
     pieces = texts.selectExpr(
         *KEY, "terms", f"regexp_extract_all(text, {_literal(WORD)}, 0) AS _m", f"split(text, {_literal(WORD)}, -1) AS _p")
     more = _placed("_p", "_m", "array_contains(terms, lower(x.m))", len(KINDS), "term")
@@ -204,11 +230,5 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", texts: boo
 def sanitised(found: DataFrame) -> DataFrame:
     """``found`` with its texts made safe: a base span becomes its kind in brackets, a
     term is removed. A span that begins within an earlier one is part of it."""
-    step = (
-        "aggregate(spans, named_struct('at', 0, 'out', ''), (s, x) -> CASE WHEN x.start < s.at THEN"
-        " named_struct('at', greatest(s.at, x.stop), 'out', s.out)"
-        " ELSE named_struct('at', x.stop, 'out', concat(s.out, substring(text, s.at + 1, x.start - s.at),"
-        " CASE WHEN x.kind = 'term' THEN '' ELSE concat('[', upper(x.kind), ']') END)) END,"
-        " s -> concat(s.out, substring(text, s.at + 1)))"
-    )
+    step = _cut("spans", "text", "CASE WHEN x.kind = 'term' THEN '' ELSE concat('[', upper(x.kind), ']') END")
     return found.withColumn("text", F.expr(f"CASE WHEN text IS NULL THEN NULL ELSE {step} END"))

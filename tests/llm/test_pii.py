@@ -88,6 +88,24 @@ def test_terms_everywhere(spark, texts):
     assert found == plain and len(rows) == len(docs) and len(found) == 13
 
 
+def test_words_of_the_address_beside_it(spark):
+    """Are terms as any others, also where other lines have the address alone; within it they are none."""
+    rng = random.Random(4)
+
+    def filler():
+        return " ".join(f"w{rng.randrange(10**6)}x" for _ in range(8))
+
+    texts = [f"{filler()} Smith of Acme {filler()} smith@acme.org {filler()}" for _ in range(5)]
+    texts += [f"{filler()} smith@acme.org {filler()}" for _ in range(2)]
+    texts += [f"{filler()} acme.smith@else{n}.org {filler()}" for n in range(40)]
+    texts += [f"{filler()} mail hannah@mail.org" for _ in range(4)] + [f"mail {filler()}" for _ in range(90)]
+    texts += ["é 😀 +41 79 555.55.55.55 001 Smith a@b.c_d@e.f"] + [filler() for _ in range(400)]
+    rows = pii.find(frame(spark, texts), everywhere=True).orderBy("doc_id").collect()
+    terms = [[(s["value"], s["start"]) for s in r["spans"] if s["kind"] == "term"] for r in rows]
+    plain = [[(m.group(), m.start()) for m in re.finditer("Smith|Acme", t)] for t in texts]
+    assert terms == plain and sum(map(len, terms)) == 11
+
+
 def test_different_lines_count_whatever_words_they_share(spark):
     """Three lines for each of many entities, that have the entity's parts and the term in common."""
     rng = random.Random(3)
