@@ -7,7 +7,7 @@ SQL. All queries run over the whole tables.
 
 from __future__ import annotations
 
-import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -32,12 +32,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _present(name: str):
     """A module of the training-data part, or None where that part is left out."""
-    try:
-        return importlib.import_module(name)
-    except ModuleNotFoundError as error:
-        if error.name and name.startswith(error.name):
-            return None
-        raise
+    part = importlib.util.find_spec("platewright.llm")
+    # A folder without its own code (caches only) has no origin.
+    if part is None or part.origin is None or importlib.util.find_spec(name) is None:
+        return None
+    return importlib.import_module(name)
 
 
 llm = _present("platewright.llm.queries")
