@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewright.llm import bpe, decontaminate, linedup, lm, passages, pii, quality, shards, simhash, warc
+from platewright.llm import bpe, decontaminate, linedup, lm, passages, pii, quality, ranked_bpe, shards, simhash, warc
 from platewright.session import new_folder, shared_folder
 
 SHARDS = 16
@@ -110,6 +110,31 @@ def bpe_digests(docs: DataFrame, spec: str) -> DataFrame:
     )
 
 
+def ranks_file(name: str = "byte_bpe_multi_50k.tiktoken") -> bytes:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def split_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def op11_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_digests(docs, ranks_file(), split_pattern())
+
+
+def ranked_digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return ranked_bpe.round_trip(docs, ranks, pattern).select(
+        "doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 #: The others estimate, train, align or hash in ways that SQL does not express; they are
 #: tested against brute force.
 ORACLE: dict[str, str] = {
@@ -137,4 +162,5 @@ def queries() -> dict:
         "op8_warc": op8_warc,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_bpe_round_trip": op10_bpe_round_trip,
+        "op11_two_tier_bpe": op11_two_tier_bpe,
     }
