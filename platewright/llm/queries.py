@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewright.llm import bpe, decontaminate, linedup, lm, passages, pii, quality, ranked_bpe, shards, simhash, warc
+from platewright.llm import bpe, decontaminate, linedup, lm, passages, pii, quality, ranked_bpe, repeats, shards, simhash, warc
 from platewright.session import new_folder, shared_folder
 
 SHARDS = 16
@@ -135,6 +135,43 @@ def ranked_digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents whose id's checksum ends in 0 get a tail that repeats."""
+    g = F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 10)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        period = 1 + F.floor((n - a) / (3 + g % 8))
+        times = F.ceil((n - a) / period).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), period.cast("int")), times))
+        tail = F.slice(tail, F.lit(1), (n - a).cast("int"))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " "))
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # As the variable of a function the words are taken once.
+    text = F.transform(F.array(words), planted)[0]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return docs.withColumn("text", F.when(chosen, text).otherwise(F.col("text")))
+
+
+def run_digests(docs: DataFrame) -> DataFrame:
+    found = repeats.with_runs(with_planted_runs(docs.select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[n].cast("string") for n in ("start", "length", "period")]))
+    lines = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.withColumn("_longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_longest.start")).alias("start"),
+        F.col("_longest.length").alias("length"), (-F.col("_longest.period")).alias("period"),
+        F.expr("1000 * _longest.length div -_longest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 #: The others estimate, train, align or hash in ways that SQL does not express; they are
 #: tested against brute force.
 ORACLE: dict[str, str] = {
@@ -163,4 +200,5 @@ def queries() -> dict:
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_bpe_round_trip": op10_bpe_round_trip,
         "op11_two_tier_bpe": op11_two_tier_bpe,
+        "op12_periodic_runs": op12_periodic_runs,
     }
