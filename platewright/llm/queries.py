@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewright.llm import bpe, decontaminate, linedup, lm, passages, pii, quality, ranked_bpe, repeats, shards, simhash, warc
+from platewright.llm import bpe, decontaminate, linedup, lm, passages, pii, quality, ranked_bpe, repeats, shards, simhash, variants, warc
 from platewright.session import new_folder, shared_folder
 
 SHARDS = 16
@@ -172,6 +172,35 @@ def run_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Words of so many letters, found so often, in runs of letters.
+WORD_LETTERS, WORD_COUNT = 7, 2
+LETTERS = "A-Za-z\u00C0-\u00FF"
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(table(spark, sf_dir, "documents"))
+
+
+def words_with_slips(docs: DataFrame) -> DataFrame:
+    """``word`` and ``n``: runs of letters, of which some, by a checksum of document and run,
+    lack a letter. A document without an id has no slips."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    # Shorter runs have no words in them.
+    found = F.explode(F.regexp_extract_all("text", F.lit(f"[{LETTERS}]{{{WORD_LETTERS},}}+"), F.lit(0)))
+    runs = docs.select(F.col("doc_id").cast("string").alias("id"), found.alias("run"))
+    runs = runs.select("id", F.translate("run", upper, upper.lower()).alias("run"))
+    runs = runs.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    slip = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = runs.select(F.when(F.col("h") % 31 == 0, slip).otherwise(F.col("run")).alias("word"))
+    words = words.filter(F.length("word") >= WORD_LETTERS)
+    return words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= WORD_COUNT)
+
+
+def variant_groups(docs: DataFrame) -> DataFrame:
+    return variants.variants(words_with_slips(docs)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 #: The others estimate, train, align or hash in ways that SQL does not express; they are
 #: tested against brute force.
 ORACLE: dict[str, str] = {
@@ -201,4 +230,5 @@ def queries() -> dict:
         "op10_bpe_round_trip": op10_bpe_round_trip,
         "op11_two_tier_bpe": op11_two_tier_bpe,
         "op12_periodic_runs": op12_periodic_runs,
+        "op13_spelling_variants": op13_spelling_variants,
     }
