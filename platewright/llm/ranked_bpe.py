@@ -20,7 +20,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from platewright.llm.arrow import kept_by_worker, with_arrow_columns
 BUCKET, TRIES = 4, 256
 #: Pre-tokens encoded at once, and characters of a text that is split in one go.
 BLOCK, WHOLE_TEXT = 200_000, 1 << 20
-#: Pre-tokens outside of the vocabulary of so many characters at most are remembered, about so many of them.
+#: Pre-tokens of so many characters at most are remembered, and about twice so many of them.
 MEMO_LENGTH, MEMO_PIECES = 32, 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Letters and numbers of a Unicode version that the tiktoken library does not
@@ -158,14 +158,15 @@ class Encoder:
         self.table = table
         self.ranks = {token: i for i, token in enumerate(tokens)}
         self.longest = max(map(len, tokens))
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of a piece: of all neighbours the pair of least rank is merged, again and again."""
-        size, ranks, longest = len(piece), self.ranks, self.longest
+        size, rank_of, longest = len(piece), self.ranks.get, self.longest
         # end[i] is where the part that begins at i ends, 0 once it is part of another.
         end, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        heap = [(r, i, i + 2) for i in range(size - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+        heap = [(r, i, i + 2) for i in before[1:] if (r := rank_of(piece[i : i + 2])) is not None]
         heapify(heap)
         while heap:
             _, i, stop = heappop(heap)
@@ -176,14 +177,14 @@ class Encoder:
             if stop < size:
                 before[stop] = i
                 last = end[stop]
-                if last - i <= longest and (r := ranks.get(piece[i:last])) is not None:
+                if last - i <= longest and (r := rank_of(piece[i:last])) is not None:
                     heappush(heap, (r, i, last))
             first = before[i]
-            if first >= 0 and stop - first <= longest and (r := ranks.get(piece[first:stop])) is not None:
+            if first >= 0 and stop - first <= longest and (r := rank_of(piece[first:stop])) is not None:
                 heappush(heap, (r, first, stop))
         ids, i = [], 0
         while i < size:
-            ids.append(ranks[piece[i : end[i]]])
+            ids.append(self.ranks[piece[i : end[i]]])
             i = end[i]
         return ids
 
@@ -202,8 +203,8 @@ class Encoder:
         while block := [text[a:b] for a, b in islice(spans, BLOCK)]:
             yield block
 
-    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces, and how many each has."""
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pre-tokens, those in the vocabulary by the hash, the others by merging."""
         joined = "".join(pieces)
         data = np.frombuffer(joined.encode(), np.uint8)
         lengths = np.array(list(map(len, pieces)), np.int64)
@@ -212,39 +213,41 @@ class Encoder:
             first = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
             lengths = np.diff(first[np.cumsum(lengths)], prepend=0)
         ids = self.table.find(data, lengths)
-        counts = np.ones(len(ids), np.int64)
-        missed = np.flatnonzero(ids < 0)
-        if not len(missed):
-            return ids, counts
-        if len(self.memo) > MEMO_PIECES:
-            self.memo = {}
-        new = [pieces[k] for k in missed.tolist()]
-        more = list(map(self.memo.get, new))
-        if None in more:
-            learned = {p: self.merged(p.encode()) for p in {p for p, m in zip(new, more) if m is None}}
-            more = [learned[p] if m is None else m for p, m in zip(new, more)]
-            self.memo.update((p, m) for p, m in learned.items() if len(p) <= MEMO_LENGTH)
-        counts[missed] = sizes = np.array(list(map(len, more)), np.int64)
-        flat, begin = np.repeat(ids, counts), np.cumsum(counts) - counts
-        place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        flat[np.repeat(begin[missed], sizes) + place] = list(chain.from_iterable(more))
-        return flat, counts
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after another, and how many each has."""
-        found, sizes = [np.empty(0, np.int64)], np.zeros(len(texts), np.int64)
+        whole = ids.astype("<i4").tobytes()
+        found = [whole[i : i + 4] for i in range(0, len(whole), 4)]
+        for k in np.flatnonzero(ids < 0).tolist():
+            found[k] = np.array(self.merged(pieces[k].encode()), "<i4").tobytes()
+        return found
+
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each pre-token as little-endian 32-bit numbers; each is looked up once, while it is remembered."""
+        found = list(map(self.memo.get, pieces))
+        if None in found:
+            missing = {p for p, ids in zip(pieces, found) if ids is None}
+            learned = {p: self.before[p] for p in missing if p in self.before}
+            new = [p for p in missing if p not in learned]
+            if new:
+                learned.update(zip(new, self.encode_pieces(new)))
+            found = [learned[p] if ids is None else ids for p, ids in zip(pieces, found)]
+            if len(self.memo) > MEMO_PIECES:
+                # What is used again comes back from those before, the others go with the next turn.
+                self.before, self.memo = self.memo, {}
+            self.memo.update((p, ids) for p, ids in learned.items() if len(p) <= MEMO_LENGTH)
+        return found
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
+        found: list[list[bytes]] = [[] for _ in texts]
         block: list[str] = []
         owners: list[tuple[int, int]] = []
 
         def flush() -> None:
-            if block:
-                ids, counts = self.encode_pieces(block)
-                found.append(ids)
-                ends = np.cumsum([n for _, n in owners])
-                total = np.append(0, np.cumsum(counts))[np.append(0, ends)]
-                np.add.at(sizes, [k for k, _ in owners], np.diff(total))
-                block.clear()
-                owners.clear()
+            ids, at = self.ids_of(block) if block else [], 0
+            for k, n in owners:
+                found[k].append(b"".join(ids[at : at + n]))
+                at += n
+            block.clear()
+            owners.clear()
 
         for k, text in enumerate(texts):
             for pieces in self.pieces(text) if text else ():
@@ -253,7 +256,7 @@ class Encoder:
                 if len(block) >= BLOCK:
                     flush()
         flush()
-        return np.concatenate(found), sizes
+        return list(map(b"".join, found))
 
 
 def _worker(spec) -> tuple[Encoder, list[bytes]]:
@@ -267,9 +270,11 @@ def _spec(docs: DataFrame, ranks_file: bytes, pattern: str):
     return docs.sparkSession.sparkContext.broadcast((key, tokens, pattern, PerfectHash(tokens)))
 
 
-def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+def _lists(ids: list[bytes]) -> tuple[pa.ListArray, np.ndarray]:
+    sizes = np.array(list(map(len, ids)), np.int64) // 4
     offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+    values = np.frombuffer(b"".join(ids), "<i4")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), sizes
 
 
 def round_trip(docs: DataFrame, ranks_file: bytes, pattern: str, text: str = "text") -> DataFrame:
@@ -284,10 +289,8 @@ def round_trip(docs: DataFrame, ranks_file: bytes, pattern: str, text: str = "te
         encoder, tokens = _worker(spec)
 
         def both(batch: pa.RecordBatch) -> list:
-            ids, sizes = encoder.encode(batch.column(text).to_pylist())
-            ends = np.cumsum(sizes)
-            each = np.split(ids, ends[:-1]) if len(ends) else []
-            return [_lists(ids, sizes), sizes, [b"".join(map(tokens.__getitem__, part.tolist())) for part in each]]
+            ids, token = encoder.encode(batch.column(text).to_pylist()), tokens.__getitem__
+            return [*_lists(ids), [b"".join(map(token, np.frombuffer(i, "<i4").tolist())) for i in ids]]
 
         return both
 

@@ -212,7 +212,9 @@ class Text:
         found: dict[tuple[int, int], int] = {}
         pairs = [(p, middle) for p in right[self.twice(np.full(len(right), middle), right)].tolist()]
         pairs += [(p, middle - 2 * p) for p in left[self.twice(middle - 2 * left, left)].tolist()]
-        for p, at in pairs:
+        for p, at in sorted(pairs):
+            if any(p % r == 0 and a <= at and at + 2 * p <= b for (a, b), r in found.items()):
+                continue  # a multiple of the period of a run already found
             if not np.array_equal(self.ids[at : at + p], self.ids[at + p : at + 2 * p]):
                 continue
             start, end = self.backward(at, p, low), self.forward(at + p, p, high)
