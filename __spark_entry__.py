@@ -433,13 +433,85 @@ def ingest_rejects(spark, sf_dir):
     heads = exports.export_heads(exports.list_exports(spark, files)).checkpoint()
     frames = []
     for p in exports.populations_of(heads):
-        raws, mine = exports.read_raw(spark, files, heads, p), heads.filter(F.col("table") == p)
+        raws, mine = exports.read_raw(spark, files, heads, p, places=True), heads.filter(F.col("table") == p)
         bad = exports.union_tables([exports.rejected(raw, mine) for raw in raws])
         listed = bad.groupBy("plate").agg(F.count("*").alias("n_rejected"), F.count_if(F.col("line") == "7").alias("n_short"))
         frames.append(exports.line_counts(raws, mine).join(listed, "plate", "left").withColumn("population", F.lit(p)))
     return exports.union_tables(frames)
 
 
+def _write_lines(rows, root, header):
+    """``plate``, ``table`` and ``line`` of rows as header-first export text."""
+    first = rows.select("plate", "table").distinct().withColumn("line", F.lit(header)).withColumn("rank", F.lit(0))
+    every = rows.withColumn("rank", F.lit(1)).unionByName(first).repartition("plate", "table")
+    every.sortWithinPartitions("plate", "table", "rank").select("plate", "table", "line").write.partitionBy("plate", "table").text(root)
+    return exports.ExportFiles(root, r"plate=([^/]+)/", r"table=([^/]+)/")
+
+
+#: Notes with line breaks, tabs and quotes, by the last digit of a key.
+NOTES = {0: "two\nlines", 1: "a\tb", 2: 'say "hi"', 3: '"', 4: 'x\r\n"\n\t\n"y', 5: '\n', 6: ' ""\n"" '}
+
+
+def ingest_quoted(spark, sf_dir):
+    """Rows with a note in quotes, which may go on over several lines, read back."""
+    note = F.element_at(F.create_map(*[F.lit(x) for pair in NOTES.items() for x in pair]), F.col("k"))
+    note = F.when(F.col("k") < 7, note).otherwise(F.concat(F.lit("plain "), F.col("l_quantity").cast("string")))
+    cell = F.concat(F.lit('"'), F.replace("note", F.lit('"'), F.lit('""')), F.lit('"'))
+    rows = (
+        screen.table(spark, sf_dir, "lineitem").selectExpr("*", *screen.position("l_orderkey"), "cast(l_partkey % 10 as int) AS k")
+        .withColumn("note", note).withColumn("table", F.expr(screen.choice("l_returnflag", screen.POPULATIONS)))
+        .withColumn("line", F.concat_ws("\t", "Row", "Column", F.when(F.col("k") == 7, F.lit('5" x')).otherwise(cell), "Field", "l_linenumber"))
+    )
+    files = _write_lines(rows.select("plate", "table", "line"), new_folder(spark, "exports"), 'Row\tColumn\t"Note"\tField\tObject No')
+    heads = exports.export_heads(exports.list_exports(spark, files)).checkpoint()
+    return exports.union_tables([
+        exports.read_objects(spark, files, heads, p).withColumn("population", F.lit(p)) for p in exports.populations_of(heads)
+    ])
+
+
+def reject_places(spark, sf_dir):
+    """Rejected lines with their places, among them lines that are also before the header."""
+    root, numbers = new_folder(spark, "exports"), F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    before = ["Database Name\tscreen", "7\t7\tnot a row yet", "", "[Data]"]
+    lines = (
+        screen.table(spark, sf_dir, "lineitem").selectExpr("*", *screen.position("l_orderkey"))
+        .withColumn("rank", numbers * 1000 + F.col("l_partkey") % 1000)
+        .groupBy("plate", "rank").agg(F.min(F.struct("Row", "Column", "Field", "l_quantity")).alias("r"))
+        .withColumn("line", F.expr("CASE rank % 17 WHEN 0 THEN 'Database Name\tscreen' WHEN 1 THEN '[Data]' WHEN 2 THEN ''"
+                                   " WHEN 3 THEN concat('x', rank) ELSE concat_ws('\t', r.Row, r.Column, r.Field, r.l_quantity) END"))
+    )
+    first = F.array(*[F.struct(F.lit(i - 9).cast("long").alias("rank"), F.lit(line).alias("line"))
+                      for i, line in enumerate([*before, "Row\tColumn\tField\tX"])])
+    heads = lines.select("plate").distinct().select("plate", F.inline(first))
+    every = lines.select("plate", "rank", "line").unionByName(heads).withColumn("table", F.lit("Hoechst")).repartition("plate")
+    every.sortWithinPartitions("plate", "table", "rank").drop("rank").write.partitionBy("plate", "table").text(root)
+    files = exports.ExportFiles(root, r"plate=([^/]+)/", r"table=([^/]+)/")
+    found = exports.export_heads(exports.list_exports(spark, files)).checkpoint()
+    return exports.rejects(spark, files, found, "Hoechst").select("plate", "line_no", "line")
+
+
+def typed_columns(spark, sf_dir):
+    """Columns of numbers, of text and of both, each with the type that its cells give it."""
+    cells = {
+        "{p} - Size": "l_partkey", "{p} - Area": "l_extendedprice", "{p} - Class": "concat(l_linestatus, l_linenumber, 'D')",
+        "{p} - Mostly number": "if(l_partkey % 10 = 0, 'none', string(l_quantity))", "{p} - Mostly text": "if(l_partkey % 10 = 0, string(l_quantity), '1F')",
+        "Code": "l_suppkey", "Share": "if(l_suppkey % 2 = 0, 1, l_discount)", "Note": "if(l_partkey % 50 = 0, 'x', string(l_partkey))",
+        "Nothing": "'NA'",
+    }
+    root, frames = new_folder(spark, "exports"), []
+    rows = screen.table(spark, sf_dir, "lineitem").selectExpr(
+        "*", *screen.position("l_orderkey"), f"{screen.choice('l_returnflag', screen.POPULATIONS)} AS table")
+    line = F.expr("concat_ws('\t', Row, Column, Field, l_linenumber, " + ", ".join(cells.values()) + ")")
+    for p in screen.LINKS:
+        header = "\t".join(["Row", "Column", "Field", "Object No", *[c.format(p=p) for c in cells]])
+        mine = rows.filter(F.col("table") == p).select("plate", "table", line.alias("line"))
+        files = _write_lines(mine, f"{root}/{p}", header)
+        heads = exports.export_heads(exports.list_exports(spark, files)).checkpoint()
+        read = exports.read_objects(spark, files, heads, p)
+        frames.append(read.toDF(*[c.removeprefix(p) for c in read.columns]).withColumn("population", F.lit(p)))
+    return exports.union_tables(frames)
+
+
 def index_two_files(spark, sf_dir):
     """Images numbered over an index in two files per plate: first by file, then by line."""
     root, index = new_folder(spark, "index"), screen.index_view(spark, sf_dir)
@@ -556,6 +628,9 @@ def queries() -> dict[str, Query]:
         "ingest_roundtrip": ingest_roundtrip,
         "table_rewrite": table_rewrite,
         "ingest_rejects": ingest_rejects,
+        "ingest_quoted": ingest_quoted,
+        "reject_places": reject_places,
+        "typed_columns": typed_columns,
         "index_two_files": index_two_files,
         "convert_plates": convert_plates,
         "convert_again": convert_again,

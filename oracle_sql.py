@@ -271,6 +271,8 @@ GONE = ", ".join(
 )
 FIRST_WORD = r"nullif(regexp_extract(text, '^\s*(\S+)', 1), '')"
 
+POPULATION = "CASE l_returnflag WHEN 'A' THEN 'Hoechst' WHEN 'N' THEN 'O4Final' WHEN 'R' THEN 'PDGFSelected' END"
+
 ORACLE: dict[str, str] = {
     "field_profile": f"""WITH {INDEX}, {IMAGES}, {OBJECTS}, {PROFILES}
         SELECT plate, "ImageNumber", "Well", "Field",
@@ -400,6 +402,26 @@ ORACLE: dict[str, str] = {
           count(*) FILTER (kind IN (0, 1, 3)) AS bad_rows, nullif(count(*) FILTER (kind IN (0, 1, 3)), 0) AS n_rejected,
           CASE WHEN count(*) FILTER (kind IN (0, 1, 3)) > 0 THEN count(*) FILTER (kind = 0) END AS n_short
         FROM t GROUP BY plate, population""",
+    "ingest_quoted": f"""SELECT {_place('l_orderkey')}, {_field('l_orderkey')} AS "Field", {POPULATION} AS population,
+          CAST(l_linenumber AS BIGINT) AS "ObjectNo",
+          CASE l_partkey % 10 WHEN 0 THEN 'two' || chr(10) || 'lines' WHEN 1 THEN 'a' || chr(9) || 'b' WHEN 2 THEN 'say "hi"'
+            WHEN 3 THEN '"' WHEN 4 THEN 'x' || chr(13) || chr(10) || '"' || chr(10) || chr(9) || chr(10) || '"y'
+            WHEN 5 THEN chr(10) WHEN 6 THEN '""' || chr(10) || '""' WHEN 7 THEN '5" x'
+            ELSE 'plain ' || CAST(l_quantity AS VARCHAR) END AS "Note"
+        FROM lineitem""",
+    "reject_places": f"""WITH t AS (SELECT DISTINCT {_place('l_orderkey')}, (l_orderkey * 8 + l_linenumber) * 1000 + l_partkey % 1000 AS rank
+          FROM lineitem),
+        n AS (SELECT plate, rank, row_number() OVER (PARTITION BY plate ORDER BY rank) + 5 AS line_no
+              FROM (SELECT DISTINCT plate, rank FROM t) d)
+        SELECT plate, line_no, CASE rank % 17 WHEN 0 THEN 'Database Name' || chr(9) || 'screen' WHEN 1 THEN '[Data]' ELSE 'x' || rank END AS line
+        FROM n WHERE rank % 17 IN (0, 1, 3)""",
+    "typed_columns": f"""SELECT {_place('l_orderkey')}, {_field('l_orderkey')} AS "Field", {POPULATION} AS population,
+          CAST(l_linenumber AS BIGINT) AS "ObjectNo", CAST(l_partkey AS DOUBLE) AS "Size", l_extendedprice AS "Area",
+          l_linestatus || l_linenumber || 'D' AS "Class", CASE WHEN l_partkey % 10 <> 0 THEN l_quantity END AS "Mostlynumber",
+          CASE WHEN l_partkey % 10 = 0 THEN CAST(l_quantity AS VARCHAR) ELSE '1F' END AS "Mostlytext", l_suppkey AS "Code",
+          CASE WHEN l_suppkey % 2 = 0 THEN 1.0 ELSE l_discount END AS "Share",
+          CASE WHEN l_partkey % 50 = 0 THEN 'x' ELSE CAST(l_partkey AS VARCHAR) END AS "Note", CAST(NULL AS VARCHAR) AS "Nothing"
+        FROM lineitem""",
     "index_two_files": f"""WITH {INDEX}
         SELECT plate, "Row", "Column", "Field", n AS index_rows,
           CAST(row_number() OVER (PARTITION BY plate ORDER BY f) AS BIGINT) AS "ImageNumber"
