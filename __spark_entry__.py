@@ -168,6 +168,41 @@ def image_table_planes(spark, sf_dir):
     )
 
 
+def image_table_times(spark, sf_dir):
+    """Three time points of every image, each with the file of the last cycle up to it."""
+    index, files = screen.index_view(spark, sf_dir), screen.files_view(spark, sf_dir)
+    times = F.explode(F.array(*[F.lit(t).cast("long") for t in (1, 2, 3)]))
+    cycles = F.expr("explode(CASE seq % 3 WHEN 0 THEN array(1, 3) WHEN 1 THEN array(2) ELSE array(1, 2, 5) END)")
+    path = F.replace("path", F.lit("sk1fk"), F.concat(F.lit("sk"), F.col("cycle"), F.lit("fk")))
+    files = files.withColumn("cycle", cycles).withColumn("path", path).drop("cycle")
+    return profiles.image_table(
+        index.withColumn("Timepoint", times), parse_image_paths(files), screen.LINKS, keys.image_keys(index),
+        {p: screen.population_view(spark, sf_dir, p) for p in screen.LINKS},
+        {p: screen.measure_names(p) for p in screen.LINKS}, decimals=screen.DECIMALS, times=True,
+    )
+
+
+def image_number_append(spark, sf_dir):
+    """Images numbered from every second index row, then from all of them: numbers stay."""
+    index = screen.index_view(spark, sf_dir)
+    given = keys.image_keys(index.filter(F.col("seq") % 2 == 1))
+    return keys.image_keys(index, given=given).select("plate", "Row", "Column", "Field", "ImageNumber")
+
+
+def profile_delta(spark, sf_dir):
+    """Counts and means kept up to date: of five files a plate one is gone, one has changed
+    and one is new; only the last two are read for it."""
+    objects = screen.objects_view(spark, sf_dir).withColumn("source_file", F.concat(F.lit("f"), F.col("ObjectNo") % 5))
+    by = [*WELL, "Field", "source_file"]
+    known = profiles.profile_states(objects, MEASURES, screen.DECIMALS, by)
+    gone = objects.select("plate", "source_file").distinct().filter(F.col("source_file").isin("f0", "f1"))
+    changed = objects.filter("source_file = 'f1'").withColumn("Area", F.col("Area") + 1)
+    new = objects.filter("source_file = 'f2'").withColumn("source_file", F.lit("f9"))
+    came = profiles.profile_states(changed.unionByName(new), MEASURES, screen.DECIMALS, by)
+    states = profiles.changed_states(known, gone, came)
+    return profiles.profile_of_states(states, MEASURES, "n_objects", [*WELL, "Field"])
+
+
 def image_table_zero(spark, sf_dir):
     images = keys.image_keys(screen.index_view(spark, sf_dir))
     objects = {p: screen.population_view(spark, sf_dir, p) for p in screen.LINKS}
@@ -601,6 +636,9 @@ def queries() -> dict[str, Query]:
         "image_table": image_table,
         "image_table_zero": image_table_zero,
         "image_table_planes": image_table_planes,
+        "image_table_times": image_table_times,
+        "image_number_append": image_number_append,
+        "profile_delta": profile_delta,
         "channel_names": channel_names,
         "distinct_channels": distinct_channels,
         "image_sizes": image_sizes,

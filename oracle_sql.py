@@ -81,6 +81,13 @@ withpath AS (
   SELECT idx.*, url AS path, CASE WHEN url IS NOT NULL THEN {FOLDER.replace('path', 'url')} END AS dir
   FROM idx LEFT JOIN latest USING (plate, "Row", "Column", "Field", "ChannelID"))"""
 
+# A file per cycle that an order's image has.
+FILES_BY_CYCLE = FILES.replace(
+    "parsed AS (", """cycles AS (
+  SELECT * REPLACE (replace(path, 'sk1fk', 'sk' || unnest(CASE seq % 3 WHEN 0 THEN [1, 3] WHEN 1 THEN [2] ELSE [1, 2, 5] END) || 'fk') AS path)
+  FROM files),
+parsed AS (""").replace("FROM files WHERE regexp_matches", "FROM cycles WHERE regexp_matches")
+
 LINKS = {"Hoechst": "HOECHST 33342", "O4Final": "Alexa 488narrow", "PDGFSelected": "Alexa 647"}
 
 PATH_COLUMNS = ", ".join(
@@ -386,6 +393,26 @@ ORACLE: dict[str, str] = {
         own_path AS (SELECT planes.*, url AS path, CASE WHEN url IS NOT NULL THEN {FOLDER.replace('path', 'url')} END AS dir
                      FROM planes LEFT JOIN file_of USING (plate, "Row", "Column", "Field", "ChannelID", "Plane")),
         {FLAT.replace('FROM withpath', 'FROM own_path')}, {OBJECTS}, {PROFILES} SELECT * FROM flat {ALL_JOINS}""",
+    "image_table_times": f"""WITH {INDEX}, {IMAGES}, {FILES_BY_CYCLE},
+        file_of AS (SELECT plate, "Row", "Column", "Field", "ChannelID", "Cycle", arg_max(path, "Position") AS url
+                    FROM parsed GROUP BY ALL),
+        points AS (SELECT * REPLACE (unnest([CAST(1 AS BIGINT), CAST(2 AS BIGINT), CAST(3 AS BIGINT)]) AS "Timepoint") FROM idx),
+        own_path AS (SELECT points.*, url AS path, CASE WHEN url IS NOT NULL THEN {FOLDER.replace('path', 'url')} END AS dir
+                     FROM points ASOF LEFT JOIN file_of ON points.plate = file_of.plate AND points."Row" = file_of."Row"
+                       AND points."Column" = file_of."Column" AND points."Field" = file_of."Field"
+                       AND points."ChannelID" = file_of."ChannelID" AND points."Timepoint" >= file_of."Cycle"),
+        {FLAT.replace('FROM withpath', 'FROM own_path')}, {OBJECTS}, {PROFILES} SELECT * FROM flat {ALL_JOINS}""",
+    "image_number_append": f"""WITH {INDEX},
+        seen AS (SELECT plate, "Row", "Column", "Field", min(seq) AS f, min(seq) FILTER (seq % 2 = 1) AS f1
+                 FROM idx WHERE "Field" IS NOT NULL GROUP BY ALL)
+        SELECT plate, "Row", "Column", "Field", CAST(CASE WHEN f1 IS NOT NULL THEN row_number() OVER (PARTITION BY plate ORDER BY f1 NULLS LAST)
+          ELSE count(f1) OVER (PARTITION BY plate) + row_number() OVER (PARTITION BY plate, f1 IS NULL ORDER BY f) END AS BIGINT) AS "ImageNumber"
+        FROM seen""",
+    "profile_delta": f"""WITH {OBJECTS}, kept AS (
+          SELECT * REPLACE (CASE WHEN "ObjectNo" % 5 = 1 THEN "Area" + 1 ELSE "Area" END AS "Area") FROM obj WHERE "ObjectNo" % 5 <> 0
+          UNION ALL SELECT * FROM obj WHERE "ObjectNo" % 5 = 2)
+        SELECT plate, population, "Row", "Column", "Field", count(*) AS n_objects, {_mean('Area')} AS "Per_Field_Area",
+          {_mean('Intensity')} AS "Per_Field_Intensity" FROM kept GROUP BY ALL""",
     "manifest_text": f"""SELECT plate, population,
           CASE WHEN key IN ('series_id', 'group_id', 'timepoint_id', 'process_3D') OR key = 'cell_z_loc' AND value = ''
             THEN '# ' ELSE '' END || key || ' = ' || value AS line

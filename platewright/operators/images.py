@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.paths import file_name, folder
 from ..schema import FLATTEN_KEYS, IMAGE_KEYS, PLATE, SEQ
 from ..session import shared_folder
-from .joins import split_left_join
+from .joins import asof_join, split_left_join
 from .ranking import dense_number
 
 FILE_KEYS = [*IMAGE_KEYS, "ChannelID"]
@@ -85,6 +85,25 @@ def latest_files(files: DataFrame, plane: bool = False) -> DataFrame:
     return reduced.withColumn("Image_Path", folder(F.col("Image__URL")))
 
 
+def files_by_cycle(files: DataFrame, plane: bool = False) -> DataFrame:
+    """One file per image, channel and cycle, with the cycle as ``Timepoint``: the last by
+    position and path."""
+    keys = [*FILE_KEYS, "Plane"] if plane else FILE_KEYS
+    if plane:
+        files = files.withColumn("Plane", F.col("Position"))
+    return files.groupBy(*keys, F.col("Cycle").alias("Timepoint")).agg(
+        F.max_by("path", F.struct("Position", "path")).alias("Image__URL"))
+
+
+def attach_paths_in_time(rows: DataFrame, files: DataFrame, plane: bool = False) -> DataFrame:
+    """Rows with the file of the last cycle at or before their time point.
+
+    ``rows`` are index rows, or the index reduced to image, channel and time point."""
+    keys = [*FILE_KEYS, "Plane"] if plane else FILE_KEYS
+    found = asof_join(rows, files_by_cycle(files, plane), keys, "Timepoint", "Image__URL")
+    return found.withColumn("Image_Path", folder(F.col("Image__URL")))
+
+
 def attach_paths(index: DataFrame, files: DataFrame, plane: bool = False) -> DataFrame:
     """Index rows with the path and folder of their image file."""
     keys = [*FILE_KEYS, "Plane"] if plane else FILE_KEYS
@@ -106,8 +125,16 @@ def has_planes(index: DataFrame) -> bool:
     return ends["low"] != ends["high"]
 
 
+def layouts(index: DataFrame) -> DataFrame:
+    """``(plate, plane, times)``: whether a plate has several planes, and time points."""
+    return index.groupBy(PLATE).agg(
+        F.coalesce(F.min("Plane") != F.max("Plane"), F.lit(False)).alias("plane"),
+        F.coalesce(F.min("Timepoint") != F.max("Timepoint"), F.lit(False)).alias("times"),
+    )
+
+
 def _channel_rows(
-    index: DataFrame, files: DataFrame, grain: Sequence[str], kept: Mapping[str, Column], plane: bool
+    index: DataFrame, files: DataFrame, grain: Sequence[str], kept: Mapping[str, Column], plane: bool, times: bool = False
 ) -> DataFrame:
     """The index reduced to ``grain`` and channel, with the channel's file.
 
@@ -119,24 +146,28 @@ def _channel_rows(
         .groupBy(*grain, "ChannelID", "ChannelName")
         .agg(*[c.alias(n) for n, c in kept.items()])
     )
+    if times:
+        return attach_paths_in_time(channels, files, plane)
     keys = [*FILE_KEYS, "Plane"] if plane else FILE_KEYS
     return channels.join(latest_files(files, plane), keys, "left")
 
 
 def flatten_images(
-    index: DataFrame, files: DataFrame, links: Mapping[str, str], images: DataFrame, plane: bool = False
+    index: DataFrame, files: DataFrame, links: Mapping[str, str], images: DataFrame, plane: bool = False,
+    times: bool = False,
 ) -> DataFrame:
     """One row per plate, image, plane and timepoint, with paths by population.
 
     With ``plane`` the position in a file's name is its plane, and each plane
-    gets its own file.
+    gets its own file. With ``times`` each time point gets the file of the last cycle at
+    or before it; otherwise all get the last file.
 
     All populations come out of one aggregation. ``images`` has one row per
     image (``keys.image_keys``); columns added to it come along.
     """
     grain = [*IMAGE_KEYS, "Plane", "Timepoint"]
     kept = {c: F.max(c) for c in IMAGE_ATTRIBUTES}
-    rows = _channel_rows(index, files, grain, kept, plane)
+    rows = _channel_rows(index, files, grain, kept, plane, times)
     flat = rows.groupBy(*grain).agg(*[c.alias(n) for n, c in kept.items()], *_path_columns(links))
     numbered = flat.join(images.drop("first_seq", "index_rows"), IMAGE_KEYS)
     urls = [c for p in links for c in (f"Image_Path_{p}", f"Image__URL_{p}")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key with more rows than this, and with more than this part of all rows, is
@@ -13,6 +13,8 @@ SPLIT_ROWS = 1_000_000
 SPLIT_PART = 1 / 10_000
 # Largest table that is broadcast, in bytes of its values.
 MAX_BROADCAST_BYTES = 128 << 20
+# Times of a key that an as-of join orders together.
+ASOF_SPAN = 1 << 16
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
@@ -75,9 +77,49 @@ def is_small(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
 
     For written tables, where one more reading is cheap.
     """
-    wide = [c for c, kind in dim.dtypes if kind in ("string", "binary")]
-    row = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in wide), F.lit(16 * len(dim.columns)))
-    return (dim.agg(F.sum(row)).first()[0] or 0) <= max_bytes
+    return (dim.agg(F.sum(_row_bytes(dim))).first()[0] or 0) <= max_bytes
+
+
+def _row_bytes(dim: DataFrame) -> Column:
+    """About the bytes of a row's values; of arrays, maps and structs those of their text."""
+    size = F.lit(16 * len(dim.columns))
+    for name, kind in dim.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
+    return size
+
+
+def asof_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, value: str, span: int = ASOF_SPAN
+) -> DataFrame:
+    """``left`` with ``value`` of the last row of ``right`` at or before its ``time``, by key.
+
+    Both have the keys and a whole-number ``time``; of several rows of ``right`` with one
+    key and time the largest value counts. Rows with a NULL key or time get NULL. Both sides are put
+    in one order per key, so there is no range join; a key with many times is cut into
+    spans of them, and the last value before each span is found from one row per span.
+    ``left`` should have few rows with one key and time: they are ordered together.
+    """
+    keys, spans = list(keys), [*keys, "_span"]
+    cut = F.floor(F.col(time) / span)
+    latest = right.dropna(subset=[*keys, time]).groupBy(*keys, time).agg(F.max(value).alias("_value"))
+    latest = latest.withColumn("_span", cut)
+    rows = left.withColumn("_span", cut)
+    # The last value of each span, and before it.
+    last = latest.groupBy(*spans).agg(F.max_by("_value", time).alias("_last"))
+    wanted = rows.select(*spans).dropna().distinct().withColumn("_last", F.lit(None).cast(latest.schema["_value"].dataType))
+    by_span = last.unionByName(wanted).groupBy(*spans).agg(F.max("_last").alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    before = by_span.select(*spans, F.last("_last", ignorenulls=True).over(earlier).alias("_before")).filter("_before is not null")
+    # Within a span: a value counts for what is at its time or later.
+    marked = rows.withColumn("_left", F.lit(1)).unionByName(latest.withColumn("_left", F.lit(0)), allowMissingColumns=True)
+    upto = Window.partitionBy(*spans).orderBy(time, "_left").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = marked.withColumn("_within", F.last("_value", ignorenulls=True).over(upto)).filter("_left = 1")
+    found = found.join(before, spans, "left")
+    known = F.when(F.col(time).isNotNull(), F.coalesce("_within", "_before")).alias(value)
+    return found.select(*left.columns, known)
 
 
 def _any_null(keys: Sequence[str]) -> Column:

@@ -8,17 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.wells import with_wells
-from ..schema import IMAGE_KEYS, SEQ
+from ..schema import IMAGE_KEYS, PLATE, SEQ
 from .joins import split_left_join
 from .ranking import dense_number, present
 
 
-def image_keys(index: DataFrame, plate_type: int = 96) -> DataFrame:
+def image_keys(index: DataFrame, plate_type: int = 96, given: DataFrame | None = None) -> DataFrame:
     """One row per image: keys, ImageNumber, well columns and index row count.
 
     Images are numbered 1..n per plate in the order they are first seen, by
     ``seq``. An index without ``seq`` is numbered by Row, Column, Field. Rows
-    with a NULL key are passed over.
+    with a NULL key are passed over. Images in ``given`` (keys and ImageNumber of earlier
+    times) keep their numbers, and new ones go on after the largest of their plate; numbers
+    of images that are gone are not given again.
     """
     if SEQ not in index.columns:
         by_position = F.shiftleft("Row", 42) + F.shiftleft("Column", 21) + F.col("Field")
@@ -28,8 +30,14 @@ def image_keys(index: DataFrame, plate_type: int = 96) -> DataFrame:
         .groupBy(*IMAGE_KEYS)
         .agg(F.min(SEQ).alias("first_seq"), F.count("*").alias("index_rows"))
     )
-    numbered = dense_number(images, ["plate"], "first_seq", "ImageNumber", ties=IMAGE_KEYS)
-    return with_wells(numbered, plate_type)
+    if given is None:
+        return with_wells(dense_number(images, [PLATE], "first_seq", "ImageNumber", ties=IMAGE_KEYS), plate_type)
+    kept = images.join(given.select(*IMAGE_KEYS, "ImageNumber"), IMAGE_KEYS)
+    new = images.join(given.select(*IMAGE_KEYS), IMAGE_KEYS, "left_anti")
+    largest = given.groupBy(PLATE).agg(F.max("ImageNumber").alias("_largest"))
+    new = dense_number(new, [PLATE], "first_seq", "ImageNumber", ties=IMAGE_KEYS).join(largest, PLATE, "left")
+    new = new.withColumn("ImageNumber", F.col("ImageNumber") + F.coalesce("_largest", F.lit(0))).drop("_largest")
+    return with_wells(kept.unionByName(new), plate_type)
 
 
 def number_index(index: DataFrame, images: DataFrame | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import prefixed_names
-from ..schema import IMAGE_KEYS, PLATE, PROFILE_KEYS
+from ..schema import FILE, IMAGE_KEYS, PLATE, PROFILE_KEYS
 from .images import flatten_images
 from .ranking import grouped_medians
 
@@ -39,6 +39,40 @@ def field_profile(
     return objects.groupBy(*by).agg(F.count("*").alias(count_name), *means)
 
 
+def profile_states(
+    objects: DataFrame, measures: Sequence[str], decimals: int, by: Sequence[str] = (*IMAGE_KEYS, FILE)
+) -> DataFrame:
+    """What counts and means are made of, by image and file: ``n``, and per measure the
+    exact sum ``sum_<m>`` and the number of values ``n_<m>``.
+
+    States add up in any order to the same bits, so a table of them is kept up to date by
+    those of the files that came and went (``changed_states``)."""
+    values = {m: F.col(m).cast(f"decimal(18,{decimals})") for m in measures}
+    return objects.groupBy(*by).agg(
+        F.count("*").alias("n"), *[F.sum(v).alias(f"sum_{m}") for m, v in values.items()],
+        *[F.count(m).alias(f"n_{m}") for m in measures],
+    )
+
+
+def changed_states(states: DataFrame, gone: DataFrame, came: DataFrame) -> DataFrame:
+    """States without those of the files in ``gone`` (by plate and file), and with those that ``came``.
+
+    A file that changed is in both. Only the objects of files that came have been read."""
+    keys = [PLATE, FILE]
+    return states.join(gone.select(*keys).distinct(), keys, "left_anti").unionByName(came)
+
+
+def profile_of_states(
+    states: DataFrame, measures: Sequence[str], count_name: str, by: Sequence[str] = IMAGE_KEYS, prefix: str = "Per_Field"
+) -> DataFrame:
+    """Count and means per image from states; the same as ``field_profile`` of all objects."""
+    means = [
+        (F.sum(f"sum_{m}").cast("double") / F.nullif(F.sum(f"n_{m}"), F.lit(0))).alias(name)
+        for m, name in zip(measures, prefixed_names(measures, prefix))
+    ]
+    return states.groupBy(*by).agg(F.sum("n").alias(count_name), *means)
+
+
 def add_profile(
     images: DataFrame,
     profile: DataFrame,
@@ -66,6 +100,7 @@ def image_table(
     decimals: int | None = None,
     zero_fill: bool = False,
     plane: bool = False,
+    times: bool = False,
 ) -> DataFrame:
     """The per-image table: paths, counts and means of every population.
 
@@ -73,7 +108,7 @@ def image_table(
     along when the keys join the planes and timepoints of the images.
     """
     images = with_profiles(images, objects, measures, decimals, zero_fill)
-    return flatten_images(index, files, links, images, plane)
+    return flatten_images(index, files, links, images, plane, times)
 
 
 def with_profiles(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 PLATE = "plate"
 SEQ = "seq"
+FILE = "source_file"
 WELL_KEYS = ["Row", "Column"]
 IMAGE_KEYS = [PLATE, "Row", "Column", "Field"]
 PROFILE_KEYS = [PLATE, "Well", "Field"]

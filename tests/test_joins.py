@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,3 +55,30 @@ def test_fill_if_null(spark):
     new = spark.createDataFrame([("a", 9.0), ("b", 2.0)], "k string, w double")
     got = {r["k"]: r["v"] for r in joins.fill_if_null(df, new, ["k"], "v", "w").collect()}
     assert got == {"a": 1.0, "b": 2.0, "c": None}
+
+
+def brute_asof(left, right):
+    found = []
+    for k, t in left:
+        values = [(time, v) for key, time, v in right if None not in (k, t, time) and key == k and time <= t]
+        found.append((k, t, max(values)[1] if values else None))
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("span", [1, 3, 1 << 16])
+def test_asof_join(spark, span):
+    rng = random.Random(span)
+    left = [(rng.choice(["a", "b", None]), rng.choice([*range(-5, 40), None])) for _ in range(300)]
+    right = [(rng.choice(["a", "b", "c", None]), rng.choice([*range(-3, 30, 4), None]), rng.choice("xyz")) for _ in range(60)]
+    frames = spark.createDataFrame(left, "k string, t long"), spark.createDataFrame(right, "k string, t long, v string")
+    got = joins.asof_join(*frames, ["k"], "t", "v", span).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_asof(left, right)
+    plan = joins.asof_join(*frames, ["k"], "t", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = joins.asof_join(frames[0], frames[1].limit(0), ["k"], "t", "v")
+    assert none.count() == len(left) and none.filter("v is not null").count() == 0
+
+
+def test_arrays_count_by_their_size(spark):
+    rows = spark.range(10).selectExpr("id", "array_repeat('word', 1000) AS words", "named_struct('a', repeat('x', 500)) AS s")
+    assert joins.is_small(rows, 100_000) and not joins.is_small(rows, 50_000)
