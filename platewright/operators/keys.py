@@ -66,6 +66,27 @@ def attach_keys(
     return with_wells(joined, plate_type)
 
 
+def attach_keys_by_plate(objects: DataFrame, images: DataFrame, parts: DataFrame, plate_type: int = 96) -> DataFrame:
+    """``attach_keys`` for many plates, with one shuffle of the objects that leaves each plate
+    in as many tasks as it has ``_parts`` (a row per plate).
+
+    Objects and image keys are both cut by plate and part, and the join, which is on more
+    columns than those, takes them as they lie. ``objects`` must come straight from files
+    or a written table: the part is that of the row's place in its split.
+    """
+    spark = objects.sparkSession
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    parts = F.broadcast(parts)  # a row per plate whose files the driver has listed
+    total = (parts.agg(F.sum("_parts")).first()[0] or 1) + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [PLATE, "_part"]
+    left = objects.withColumn("_place", F.monotonically_increasing_id()).join(parts, PLATE, "left")
+    left = left.withColumn("_part", F.pmod("_place", F.coalesce("_parts", F.lit(1)))).drop("_place", "_parts").repartition(total, *by)
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1))
+    right = images.select(*IMAGE_KEYS, "ImageNumber").join(parts, PLATE).withColumn("_part", each).drop("_parts").repartition(total, *by)
+    joined = left.join(right.hint("merge"), [*by, *IMAGE_KEYS[1:]], "left").select(*objects.columns, "ImageNumber")
+    return with_wells(joined, plate_type)
+
+
 def fanout_counts(objects: DataFrame, index: DataFrame, by: Sequence[str]) -> DataFrame:
     """Object rows before and after two joins to the raw index.
 
