@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from platewright.operators import images as im
 from platewright.operators import keys, profiles
 from platewright.operators.joins import fill_if_null
 from platewright.plans import convert, manifest, screen
-from platewright.sources import exports, listing, synthetic, tables
+from platewright.sources import bucketed, exports, listing, synthetic, tables
 from platewright.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -425,7 +426,7 @@ def ingest_roundtrip(spark, sf_dir):
     return exports.union_tables(frames)
 
 
-def _write_object_exports(spark, sf_dir, root, populations=tuple(screen.LINKS), chosen=None, area_value=None):
+def _write_object_exports(spark, sf_dir, root, populations=tuple(screen.LINKS), chosen=None, area_value=None, mode="append"):
     for population in populations:
         rows = screen.population_view(spark, sf_dir, population)
         area, intensity = screen.measure_names(population)
@@ -437,7 +438,7 @@ def _write_object_exports(spark, sf_dir, root, populations=tuple(screen.LINKS),
             area: f"{population} - Area [µm²]", intensity: f"{population} - Intensity Mean",
         }
         cells = rows.withColumn("blank", F.lit(None).cast("string"))
-        synthetic.write_exports(cells, root, population, headings)
+        synthetic.write_exports(cells, root, population, headings, mode=mode)
 
 
 #: By the last digits of a line's keys: a line of one cell, a line without a column, a
@@ -584,6 +585,58 @@ def convert_again(spark, sf_dir):
     return spark.read.schema(columns).parquet(f"{out}/images")
 
 
+EVERY_THIRD = "cast(substr(plate, 2, 6) as bigint) % 3 = 0"
+
+
+def _converted(spark, sf_dir):
+    """All plates written as exports and converted; and the conversion, to do again."""
+    root, out = new_folder(spark, "exports"), new_folder(spark, "converted")
+    _write_object_exports(spark, sf_dir, root)
+    index = screen.index_view(spark, sf_dir)
+    synthetic.write_exports(index, root, "Index", {c: c for c in index.columns if c not in ("plate", "seq")}, order="seq")
+    files = exports.ExportFiles(root, r"plate=([^/]+)/", r"table=([^/]+)/")
+    images = screen.files_view(spark, sf_dir).drop("seq")
+
+    def again(**changed):
+        return convert.convert(spark, files, images, screen.LINKS, out, **{"decimals": screen.DECIMALS, **changed})
+
+    return root, out, again
+
+
+def replace_broken_off(spark, sf_dir):
+    """All plates converted, then changed and converted again by a run that breaks off when
+    the objects have been written: the tables have the first rows."""
+    root, out, again = _converted(spark, sf_dir)
+    like = again()["images"]
+    _write_object_exports(spark, sf_dir, root, ["Hoechst"], lambda rows: rows, F.col("Area") + 1, mode="overwrite")
+    try:
+        again(overwrite=True, decimals=99)  # no sum has so many places
+    except ParseException:
+        return tables.read_current(spark, out, "images", like)
+    raise AssertionError("the second run was to break off")
+
+
+def convert_changed(spark, sf_dir):
+    """Every third plate changed, and only those converted again."""
+    root, out, again = _converted(spark, sf_dir)
+    again()
+    _write_object_exports(spark, sf_dir, root, ["Hoechst"], lambda rows: rows.filter(EVERY_THIRD), F.col("Area") + 1, mode="overwrite")
+    return again(overwrite=True, only_changed=True)["images"]
+
+
+def add_population(spark, sf_dir):
+    """Two populations' counts and means by image, then a third one's, joined as they lie."""
+    folder, images = new_folder(spark, "buckets"), keys.image_keys(screen.index_view(spark, sf_dir))
+    written = bucketed.write_bucketed(images, f"{folder}/images")
+    found = {}
+    for p in screen.LINKS:
+        profile = profiles.field_profile(
+            screen.population_view(spark, sf_dir, p), screen.measure_names(p), f"Image_Count_{p}", keys.IMAGE_KEYS, screen.DECIMALS)
+        found[p] = bucketed.write_bucketed(profile, f"{folder}/{p}")
+    table = bucketed.assembled(written, found)
+    return table.drop("Row", "Column", "WellRow", "WellColumn", "first_seq", "index_rows")
+
+
 def table_rewrite(spark, sf_dir):
     """Counts per image written by plate, then rewritten for the plates that
     have an object with a full discount, with a higher run number."""
@@ -672,6 +725,9 @@ def queries() -> dict[str, Query]:
         "index_two_files": index_two_files,
         "convert_plates": convert_plates,
         "convert_again": convert_again,
+        "replace_broken_off": replace_broken_off,
+        "convert_changed": convert_changed,
+        "add_population": add_population,
         **(llm.queries() if llm else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }

@@ -386,6 +386,10 @@ ORACLE: dict[str, str] = {
         wobj AS (SELECT * REPLACE (CASE WHEN {THIRD} THEN "Area" + 1 ELSE "Area" END AS "Area") FROM all_objects
                  WHERE NOT ({THIRD} AND population = 'PDGFSelected')),
         {PROFILES} SELECT * REPLACE ({GONE}) FROM flat {ALL_JOINS}""",
+    "replace_broken_off": IMAGE_TABLE,
+    "convert_changed": f"""WITH {INDEX}, {IMAGES}, {FILES}, {FLAT}, {OBJECTS.replace('wobj AS', 'all_objects AS')},
+        wobj AS (SELECT * REPLACE (CASE WHEN {THIRD} AND population = 'Hoechst' THEN "Area" + 1 ELSE "Area" END AS "Area")
+                 FROM all_objects), {PROFILES} SELECT * FROM flat {ALL_JOINS}""",
     "image_table_planes": f"""WITH {INDEX}, {IMAGES}, {FILES},
         file_of AS (SELECT plate, "Row", "Column", "Field", "ChannelID", "Position" AS "Plane", arg_max(path, "Cycle") AS url
                     FROM parsed GROUP BY ALL),
@@ -455,3 +459,4 @@ ORACLE: dict[str, str] = {
         FROM (SELECT plate, "Row", "Column", "Field", count(*) AS n, min((1 - seq % 2, seq)) AS f
               FROM idx WHERE "Field" IS NOT NULL GROUP BY plate, "Row", "Column", "Field") t""",
 }
+ORACLE["add_population"] = ORACLE["field_profile"]
