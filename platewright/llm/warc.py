@@ -7,8 +7,9 @@ text writer: a record ends with two line breaks, which is the writer's line sepa
 and each file is compressed. Files are read back record by record by the lengths in
 their headers, and revisits are joined to the responses they name.
 
-Only digests that occur more than once are joined to the pages, so unique payloads are
-not shuffled where those are few.
+Only digests and ids are shuffled. The digests that occur more than once come back to the
+pages in a broadcast join where they are few (by their size), so payloads stay where they
+are read; beyond that they are shuffled to them.
 
 Defined results: a null payload is empty; a null url is the empty target; pages with a
 null id are written but are never referred to, unless no page of the payload has an id
@@ -26,6 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from platewright.operators.joins import is_small
+from platewright.session import shared_folder
+
 #: Payloads from this size on are stored once; records in a file; the date of the records.
 MIN_BYTES, FILE_RECORDS, DATE = 1000, 5000, "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
@@ -48,7 +52,9 @@ def resolved(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     twice = headers.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(
         F.max("page_id").alias("original"), F.count("*").alias("n")
     ).where("n > 1 AND original IS NOT NULL").drop("n")
-    found = headers.join(twice, "payload_digest", "left")
+    shared_folder(headers.sparkSession)
+    twice = twice.checkpoint()  # read for its size, then for the join
+    found = headers.join(F.broadcast(twice) if is_small(twice) else twice, "payload_digest", "left")
     other = F.when(~F.col("page_id").eqNullSafe(F.col("original")), F.col("original"))
     return found.withColumn("refers_to", other).drop("original")
 

@@ -59,6 +59,22 @@ def test_a_hot_payload(spark, tmp_path):
     assert got.where("refers_to = 2999 AND payload_bytes = 1500").count() == 2999
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_payloads_are_shuffled_only_to_many_digests(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(warc, "is_small", lambda twice: small)
+    rows = [(i, "u", "abc"[i % 3] * 1500) for i in range(30)] + [(100, "v", "d" * 1500)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = warc.resolved(warc.with_headers(spark.read.parquet(f"{tmp_path}/pages")))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {r["page_id"]: r["refers_to"] for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("Exchange hashpartitioning(payload_digest" in plan) != small
+    assert got == {i: 27 + i % 3 if i < 27 else None for i in range(30)} | {100: None}
+
+
 def test_a_damaged_payload_is_an_error(tmp_path):
     record = (f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Target-URI: u\r\n"
               f"WARC-Payload-Digest: sha1:{'0' * 40}\r\nContent-Length: {len(warc.HTTP) + 1}\r\n\r\n{warc.HTTP}x\r\n\r\n")
