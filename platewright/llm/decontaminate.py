@@ -1,13 +1,23 @@
 """Training passages that copy items of a benchmark, also edited or paraphrased ones.
 
-The n-grams of the items are counted over the whole corpus; those that occur are seeds.
-A passage with a seed of an item is a candidate if it has enough of the item's words to
-reach the least score in any order, and Smith-Waterman alignment of its words with the
-item's gives the score: 1 for the whole item word by word, less for edits and missing
-parts. Passages of one item and document don't overlap.
-
-The items are taken in blocks of bounded size, each sent to all tasks as one index,
-and the corpus is read whole for each block. No document is shuffled.
+The n-grams of the items are counted over the whole corpus. An item's seeds are its
+rarest n-grams of those that occur: all but as many of the most frequent ones as a
+passage of the least score with at most one edit in ``EDITS`` words has besides one
+more. So such a passage has a seed, and n-grams that stand all over the corpus pair few
+items with it. Seeds are joined to the corpus's n-grams. A passage with a seed of an item
+is a candidate if it has enough of the item's words to reach the least score in any
+order, and Smith-Waterman alignment of its words with the item's gives the score: 1 for
+the whole item word by word, less for edits and missing parts. Passages of one item and
+document don't overlap.
+
+The corpus is read three times whatever the number of items: to count, to find the
+seeds, and to align. Tasks leave out n-grams by a bit map of ``BITS`` address bits, all
+that goes through the driver; the joins after it are exact. Items and documents go by
+hashes of their texts up to the alignment, so copies of either are matched once. Seeds
+and candidates are broadcast if they are few (by their bytes), and shuffled if not;
+documents are shuffled only in the latter case, those without a candidate left out by
+then where Spark's Bloom filters apply. A document with many candidates is cut into
+parts by item.
 
 Words are lower-cased (A-Z) runs without ASCII white space and punctuation, compared
 by 64-bit hashes. Defined results: null and empty texts match nothing; items with
@@ -21,84 +31,59 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from platewright.llm.arrow import small_batches
+from platewright.llm.arrow import small_batches, with_arrow_columns
 from platewright.llm.words import LAST, PUNCTUATION, SPACES, grams, hashed, separator
+from platewright.operators.joins import is_small
+from platewright.session import shared_folder
 
 NGRAM, MIN_SCORE = 3, 0.5
-#: Characters of the items in a block (one item at least).
-BLOCK_CHARS = 4_000_000
+#: Words to an edit in a passage that must have a seed.
+EDITS = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Cells of an alignment matrix row for all candidates aligned at once.
 CELLS = 1 << 18
-#: Words of candidates counted at once.
+#: Words of candidates counted at once, and n-grams counted by a task before they are handed on.
 COUNTED = 1 << 20
+#: Candidates of a document in a part of it.
+PART = 1024
 SEPARATOR = separator(SPACES + PUNCTUATION)
-BITS = 22
+#: Address bits of the bit map of n-grams: 8 MB, whatever the number of items.
+BITS = 26
+
+
+def surviving(n: int = NGRAM, min_score: float = MIN_SCORE, edits: int = EDITS) -> tuple[float, int]:
+    """``share`` and ``less``: a passage of the least score with at most one edit in
+    ``edits`` words has ``share * words - less`` or more n-grams of an item unbroken.
+
+    ``L`` aligned words of the item's ``m``, ``e`` of them edited, score at most ``2 (L - e) - e`` of
+    ``2 m`` and leave ``L - (n - 1) - n e`` n-grams. With ``e`` at most ``L / edits`` that is least for the
+    shortest such ``L``, if one edit breaks fewer than ``edits`` n-grams, else there is none left.
+    """
+    lost = 1 / edits
+    shortest = min_score * MATCH / (MATCH - (MATCH - MISMATCH) * lost)
+    return max(0.0, shortest * (1 - n * lost)), n - 1
 
 
 class Items:
-    """Words and n-grams of a block of items, and the seeds by n-gram."""
+    """Words of some items one after another, their different words and how often each has them."""
 
-    def __init__(self, texts: list[str], n: int) -> None:
-        parts = [(h, o) for _, _, h, o in hashed(pa.array(texts, pa.string()), SEPARATOR)]
-        self.words = np.concatenate([h for h, _ in parts])
-        self.lengths = np.concatenate([np.diff(o) for _, o in parts])
+    def __init__(self, words: list[np.ndarray]) -> None:
+        self.lengths = np.array([len(w) for w in words], np.int64)
         self.starts = np.r_[0, np.cumsum(self.lengths)]
-        found = grams(self.words, self.starts, n)
-        at = np.flatnonzero(found != LAST)
-        self.item = np.searchsorted(self.starts, at, "right") - 1
-        self.offset = at - self.starts[self.item]
-        self.grams, self.gram = np.unique(found[at], return_inverse=True)
-
-    def keep_found(self, counts: np.ndarray) -> None:
-        """Keeps the n-grams that occur in the corpus. The others match nothing."""
-        kept = np.flatnonzero(counts[self.gram] > 0)
-        kept = kept[np.argsort(self.gram[kept], kind="stable")]
-        self.grams, gram = np.unique(self.grams[self.gram[kept]], return_inverse=True)
-        self.item, self.offset = self.item[kept], self.offset[kept]
-        self.by_gram = np.searchsorted(gram, np.arange(len(self.grams) + 1))
-        # The different words of each item, and how often it has them.
+        self.words = np.concatenate(words)
         self.known, word = np.unique(self.words, return_inverse=True)
-        item = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        item = np.repeat(np.arange(len(words)), self.lengths)
         self.own, self.times = np.unique(item * len(self.known) + word, return_counts=True)
 
-    def finder(self) -> "Finder":
-        return Finder(self.grams)
-
-
-class Finder:
-    """Which of many hashes are in a sorted list."""
-
-    def __init__(self, known: np.ndarray) -> None:
-        self.known = known
-        self.bits = np.zeros(1 << BITS, bool)
-        self.bits[known >> np.uint64(64 - BITS)] = True
-
-    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the hashes found, and their numbers in the list."""
-        at = np.flatnonzero(self.bits[hashes >> np.uint64(64 - BITS)])
-        at = at[hashes[at] != LAST]
-        number = np.searchsorted(self.known, hashes[at])
-        number[number == len(self.known)] = 0
-        hit = self.known[number] == hashes[at]
-        return at[hit], number[hit]
-
-
-def blocks(items: DataFrame, item_id: str, text: str, chars: int) -> Iterator[tuple[list, list[str]]]:
-    ids, texts, size = [], [], 0
-    for row in items.select(F.col(item_id).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL").toLocalIterator():
-        if texts and size + len(row["text"]) > chars:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-        ids.append(row["id"])
-        texts.append(row["text"])
-        size += len(row["text"])
-    if texts:
-        yield ids, texts
+    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words that some item has, and their numbers among the different ones."""
+        number = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
+        at = np.flatnonzero(self.known[number] == words)
+        return at, number[at]
 
 
 def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -126,31 +111,13 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarra
     return best, end
 
 
-def candidates(index: Items, doc: np.ndarray, place: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """``item, doc, low, high``: windows with seeds of an item, by seed hits."""
-    lists = index.by_gram[gram + 1] - index.by_gram[gram]
-    hit = np.repeat(np.arange(len(gram)), lists)
-    entry = np.arange(len(hit)) - np.repeat(np.cumsum(lists) - lists, lists) + index.by_gram[gram[hit]]
-    item, doc = index.item[entry], doc[hit]
-    begin = place[hit] - index.offset[entry]
-    order = np.lexsort((begin, item, doc))
-    item, doc, begin = item[order], doc[order], begin[order]
-    slack = 4 + index.lengths[item] // 4
-    new = np.r_[True, (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (begin[1:] - begin[:-1] > slack[1:])]
-    at = np.flatnonzero(new)
-    low = begin[at] - slack[at]
-    high = np.maximum.reduceat(begin, at) + index.lengths[item[at]] + slack[at]
-    return np.stack([item[at], doc[at], low, high])
-
-
-def promising(index: Items, finder: Finder, words: np.ndarray, starts: np.ndarray, found: np.ndarray,
-              min_score: float) -> np.ndarray:
+def promising(index: Items, words: np.ndarray, starts: np.ndarray, found: np.ndarray, min_score: float) -> np.ndarray:
     """``item, doc, low, high`` (words of all texts): the windows with as many of the item's
     words as the least score takes. Those that overlap are one."""
     item, doc, low, high = found
     low = np.maximum(starts[doc] + low, starts[doc])
     high = np.minimum(starts[doc] + high, starts[doc + 1])
-    at, word = finder(words)
+    at, word = index.places(words)
     first, last = np.searchsorted(at, low), np.searchsorted(at, high)
     need = np.ceil(min_score * index.lengths[item] - 1e-9)
     enough = last - first >= need
@@ -172,7 +139,8 @@ def promising(index: Items, finder: Finder, words: np.ndarray, starts: np.ndarra
     item, doc, low, high = item[enough], doc[enough], low[enough], high[enough]
     if not len(item):
         return np.empty((4, 0), np.int64)
-    # By document, item and place, as the candidates are.
+    order = np.lexsort((low, item, doc))
+    item, doc, low, high = item[order], doc[order], low[order], high[order]
     group = np.cumsum(np.r_[True, (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])])
     far = len(words) + 1
     end = np.maximum.accumulate(high + group * far) - group * far
@@ -209,77 +177,159 @@ def scores(index: Items, words: np.ndarray, starts: np.ndarray, found: np.ndarra
 
 def contaminated(docs: DataFrame, items: DataFrame, n: int = NGRAM, min_score: float = MIN_SCORE,
                  doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
-                 block_chars: int = BLOCK_CHARS) -> DataFrame:
+                 edits: int = EDITS, max_broadcast: int = 64 << 20) -> DataFrame:
     """``doc_id``, ``item_id``, ``score``, ``first_word`` and ``last_word`` of every
     passage that scores ``min_score`` or more. The place is that of the alignment's last
     word, and the item's length before it."""
-    spark = docs.sparkSession
-    own = small_batches(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    shared_folder(docs.sparkSession)
+    own = small_batches(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL"))
+    listed = items.select(F.col(item_id).alias("item_id"), F.xxhash64(item_text).alias("item"), F.col(item_text).alias("text"))
+    listed = with_item_words(listed.where("text IS NOT NULL"), n).where("size(grams) > 0").checkpoint()
+    known = listed.dropDuplicates(["item"])
+    places = known.select("item", F.size("words").alias("size"), F.posexplode("grams").alias("at", "h"))
+    seeds = rare_seeds(places, own, n, min_score, edits).checkpoint()
+
+    def some(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if is_small(df, max_broadcast) else df
+
+    hits = corpus_grams(own, bit_map(seeds.select("h")), n, "key long, place int, h long", _hits)
+    found = hits.join(some(seeds), "h").select("key", "item", "size", (F.col("place") - F.col("at")).alias("begin"))
+    pairs = windows(found.distinct()).join(some(known.select("item", "words")), "item")
+    parts = F.ceil(F.count("*").over(Window.partitionBy("key")) / PART)
+    pairs = pairs.withColumn("part", F.pmod("item", parts)).groupBy("key", "part").agg(
+        F.collect_list(F.struct("item", "words", "windows")).alias("candidates")).drop("part").checkpoint()
+
+    matches = own.withColumn("key", F.xxhash64("text")).join(some(pairs), "key")
     schema = T.StructType([
         T.StructField("doc_id", own.schema["doc_id"].dataType), T.StructField("item", T.LongType()),
         T.StructField("score", T.DoubleType()), T.StructField("first_word", T.LongType()),
         T.StructField("last_word", T.LongType()),
     ])
-    result = None
-    for ids, texts in blocks(items, item_id, item_text, block_chars):
-        index = Items(texts, n)
-        if not len(index.grams):
-            continue
-        counted = _counts(own, spark.sparkContext.broadcast(index.grams), n)
-        counts = np.zeros(len(index.grams), np.int64)
-        for row in counted.collect():  # a row per n-gram of the block at most
-            counts[row["gram"]] = row["n"]
-        index.keep_found(counts)
-        matches = own.mapInArrow(_matcher(spark.sparkContext.broadcast(vars(index)), n, min_score), schema)
-        names = spark.createDataFrame(
-            [(k, i) for k, i in enumerate(ids)],
-            T.StructType([T.StructField("item", T.LongType()), T.StructField("item_id", items.schema[item_id].dataType)]),
-        )
-        found = matches.join(F.broadcast(names), "item").select(
-            "doc_id", "item_id", "score", "first_word", "last_word"
-        )
-        result = found if result is None else result.unionByName(found)
-    if result is None:
-        result = own.where("false").select(
-            "doc_id", F.lit(None).cast(items.schema[item_id].dataType).alias("item_id"), F.lit(0.0).alias("score"),
-            F.lit(0).cast("long").alias("first_word"), F.lit(0).cast("long").alias("last_word"),
-        )
-    return result
-
-
-def _counts(own: DataFrame, known, n: int) -> DataFrame:
-    def count(batches):
-        finder = Finder(known.value)
-        total = np.zeros(len(known.value), np.int64)
-        for batch in batches:
-            for _, _, words, starts in hashed(batch.column(0), SEPARATOR):
-                total += np.bincount(finder(grams(words, starts, n))[1], minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
-
-    parts = own.select("text").mapInArrow(count, "gram long, n long")
-    return parts.groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _matcher(shared, n: int, min_score: float):
+    passages = matches.select("doc_id", "text", "candidates").mapInArrow(_matcher(min_score), schema)
+    return passages.join(some(listed.select("item_id", "item")), "item").select(
+        "doc_id", "item_id", "score", "first_word", "last_word")
+
+
+def with_item_words(items: DataFrame, n: int) -> DataFrame:
+    """``items`` without ``text``, with hashes of its ``words`` and its ``grams`` in order."""
+
+    def make():
+        def split(batch: pa.RecordBatch) -> list:
+            words, found = [], []
+            for _, _, own, starts in hashed(batch.column("text"), SEPARATOR):
+                of = grams(own, starts, n).view(np.int64)
+                for a, b in zip(starts[:-1], starts[1:]):
+                    words.append(own[a:b].view(np.int64))
+                    found.append(of[a : max(a, b - n + 1)])
+            return [words, found]
+
+        return split
+
+    longs = T.ArrayType(T.LongType())
+    added = T.StructType([T.StructField("words", longs), T.StructField("grams", longs)])
+    return with_arrow_columns(items, added, make).drop("text")
+
+
+def rare_seeds(places: DataFrame, own: DataFrame, n: int, min_score: float, edits: int) -> DataFrame:
+    """Of the places of n-grams in items (``item, size, at, h``) those that are seeds."""
+    counts = corpus_grams(own, bit_map(places.select("h")), n, "h long, n long", _counts)
+    counts = counts.groupBy("h").agg(F.sum("n").alias("n"))
+    found = places.join(counts, "h")
+    share, less = surviving(n, min_score, edits)
+    # One of those that a passage has must stay, so one fewer than these may go.
+    spared = F.greatest(F.lit(0), F.ceil(F.col("size") * share - less - 1e-9) - 1)
+    rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n"), "h", "at"))
+    return found.withColumn("rank", rank).where(F.col("rank") > spared).select("h", "item", "size", "at")
+
+
+def bit_map(hashes: DataFrame) -> np.ndarray:
+    """A bit per value of the first ``BITS`` bits of the hashes: a row of 64 each comes to the driver."""
+    address = F.shiftrightunsigned("h", 64 - BITS)
+    rows = hashes.groupBy(F.shiftright(address, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(h, %d) & 63 as int))" % (64 - BITS))).alias("bits"))
+    found = rows.toArrow()
+    bits = np.zeros(1 << (BITS - 6), np.int64)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return bits.view(np.uint8)
+
+
+def corpus_grams(own: DataFrame, bits: np.ndarray, n: int, schema: str, handed_on) -> DataFrame:
+    """What ``handed_on`` makes of the n-grams that the bit map lets through."""
+    sent = own.sparkSession.sparkContext.broadcast(bits)
+
+    def through(batches):
+        bits = sent.value
+
+        def parts():
+            for batch in batches:
+                for low, high, words, starts in hashed(batch.column("text"), SEPARATOR):
+                    found = grams(words, starts, n)
+                    address = found >> np.uint64(64 - BITS)
+                    at = np.flatnonzero(bits[address >> np.uint64(3)] >> (address & np.uint64(7)).astype(np.uint8) & 1)
+                    at = at[found[at] != LAST]
+                    doc = np.searchsorted(starts, at, "right") - 1
+                    yield batch.column("key").to_numpy()[low:high][doc], at - starts[doc], found[at].view(np.int64)
+
+        for arrays in handed_on(parts()):
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=[c.split()[0] for c in schema.split(", ")])
+
+    return own.select(F.xxhash64("text").alias("key"), "text").mapInArrow(through, schema)
+
+
+def _hits(parts: Iterator[tuple]) -> Iterator[tuple]:
+    for key, place, h in parts:
+        yield key, place.astype(np.int32), h
+
+
+def _counts(parts: Iterator[tuple]) -> Iterator[tuple]:
+    held, size = [], 0
+    for _, _, h in parts:
+        held.append(h)
+        size += len(h)
+        if size > COUNTED:
+            yield np.unique(np.concatenate(held), return_counts=True)
+            held, size = [], 0
+    if size:
+        yield np.unique(np.concatenate(held), return_counts=True)
+
+
+def windows(found: DataFrame) -> DataFrame:
+    """``key``, ``item`` and ``windows`` (``low`` and ``high``, words of the document): stretches
+    where an item (of ``size`` words) may lie, by where its seeds say that it begins."""
+    slack = 4 + F.shiftright("size", 2)
+    order = Window.partitionBy("key", "item").orderBy("begin")
+    new = F.coalesce(F.col("begin") - F.lag("begin").over(order) > slack, F.lit(True)).cast("int")
+    found = found.repartition("key").withColumn("new", new).withColumn("n", F.sum("new").over(order))
+    each = found.groupBy("key", "item", "n").agg(
+        (F.min("begin") - F.first(slack)).cast("long").alias("low"),
+        (F.max("begin") + F.first(F.col("size") + slack)).cast("long").alias("high"))
+    return each.groupBy("key", "item").agg(F.collect_list(F.struct("low", "high")).alias("windows"))
+
+
+def _matcher(min_score: float):
     def match(batches):
-        index = Items.__new__(Items)
-        vars(index).update(shared.value)
-        finder, known = index.finder(), Finder(index.known)
         for batch in batches:
-            ids, column = batch.column("doc_id"), batch.column("text")
-            for low, _, words, starts in hashed(column, SEPARATOR):
-                place, gram = finder(grams(words, starts, n))
-                if not len(place):
-                    continue
-                doc = np.searchsorted(starts, place, "right") - 1
-                found = candidates(index, doc, place - starts[doc], gram)
-                found = promising(index, known, words, starts, found, min_score)
-                for item, doc, score, first, last in scores(index, words, starts, found, min_score):
-                    if len(item):
+            ids, candidates = batch.column("doc_id"), batch.column("candidates")
+            first = candidates.offsets.to_numpy() - candidates.offsets[0].as_py()
+            pairs = candidates.flatten()
+            item_words, spans = pairs.field("words"), pairs.field("windows")
+            items = pairs.field("item").to_numpy()
+            cuts, ends = spans.offsets.to_numpy() - spans.offsets[0].as_py(), spans.flatten()
+            low, high = ends.field("low").to_numpy(), ends.field("high").to_numpy()
+            word_cuts = item_words.offsets.to_numpy() - item_words.offsets[0].as_py()
+            flat = item_words.flatten().to_numpy().view(np.uint64)
+            for start, stop, words, starts in hashed(batch.column("text"), SEPARATOR):
+                a, b = first[start], first[stop]
+                index = Items([flat[word_cuts[k] : word_cuts[k + 1]] for k in range(a, b)])
+                pair = np.repeat(np.arange(b - a), np.diff(cuts[a : b + 1]))
+                doc = np.searchsorted(first[start : stop + 1], pair + a, "right") - 1
+                found = np.stack([pair, doc, low[cuts[a] : cuts[b]], high[cuts[a] : cuts[b]]])
+                found = promising(index, words, starts, found, min_score)
+                for pair, doc, score, begin, last in scores(index, words, starts, found, min_score):
+                    if len(pair):
                         yield pa.RecordBatch.from_arrays(
-                            [ids.take(pa.array(low + doc)), pa.array(item.astype(np.int64)),
-                             pa.array(score), pa.array(first), pa.array(last)],
+                            [ids.take(pa.array(start + doc)), pa.array(items[a + pair]),
+                             pa.array(score), pa.array(begin), pa.array(last)],
                             names=["doc_id", "item", "score", "first_word", "last_word"],
                         )
 

@@ -91,17 +91,76 @@ def test_one_seed_is_enough_and_passages_do_not_overlap(spark):
     assert places == [(0, 0.75, 2, 7), (1, 1.0, 0, 5), (1, 1.0, 7, 12), (2, 0.5, 3, 8)]
 
 
-def test_blocks_give_the_same(spark):
+def test_broadcast_or_shuffled_gives_the_same(spark):
     rng = random.Random(5)
     items = [" ".join(words(rng, 20)) for _ in range(12)]
     docs = [" ".join([*words(rng, 50), items[n % 12], *words(rng, 20)]) for n in range(40)] + [items[3] + " x " + items[4]]
     both = [
-        sorted(map(tuple, dc.contaminated(frame(spark, docs), items_frame(spark, items), block_chars=size).collect()))
-        for size in (10, 10**6)
+        sorted(map(tuple, dc.contaminated(frame(spark, docs), items_frame(spark, items), max_broadcast=size).collect()))
+        for size in (-1, 10**6)
     ]
     assert both[0] == both[1] and len(both[0]) == 42
 
 
+def test_equals_aligning_all_pairs(spark, monkeypatch):
+    """Few words, so that n-grams are frequent and the most frequent are no seeds: one edit in 4
+    to 8 words, whole items and halves, several candidates of a document in several parts."""
+    monkeypatch.setattr(dc, "PART", 2)
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(60)]
+    common = rng.choices(vocabulary, k=8)
+    items = [rng.choices(vocabulary, k=10) + common + rng.choices(vocabulary, k=rng.randint(5, 40)) for _ in range(15)]
+    docs = [[*rng.choices(vocabulary, k=30), *common, *rng.choices(vocabulary, k=30)] for _ in range(40)]
+    for n in range(60):
+        part, step = list(items[n % 15]), 4 + n % 5
+        if n % 3 == 0:
+            part = part[: 2 + (len(part) * 2) // 3]
+        edits = [i for i in range(len(part)) if i % step == step - 1]
+        for i in reversed(edits):
+            if n % 4 == 0:
+                part[i] = f"edit{i}"
+            elif n % 4 == 1:
+                part.insert(i, "more")
+            elif n % 4 == 2:
+                part[i] = rng.choice(vocabulary)
+        docs.append(docs[n % 40][:20] + part + items[(n + 1) % 15])
+    found = dc.contaminated(
+        frame(spark, [" ".join(d) for d in docs]), items_frame(spark, [" ".join(i) for i in items])).collect()
+    best = {}
+    for r in found:
+        best[r["doc_id"], r["item_id"]] = max(best.get((r["doc_id"], r["item_id"]), 0), r["score"])
+    expected = {}
+    for d, doc in enumerate(docs):
+        for i, item in enumerate(items):
+            score = plain_smith_waterman(item, doc) / (dc.MATCH * len(item))
+            if score >= dc.MIN_SCORE:
+                expected[d, i] = score
+    assert len(expected) > 100 and best == expected
+
+
+def test_passages_have_more_grams_than_are_spared():
+    """The least number of unbroken n-grams over all edits of a passage, counted one by one."""
+    share, less = dc.surviving()
+    for size in range(3, 80):
+        least = size
+        for length in range(1, size + 1):
+            for edited in range(length // dc.EDITS + 1):
+                if dc.MATCH * (length - edited) + dc.MISMATCH * edited >= dc.MIN_SCORE * dc.MATCH * size:
+                    least = min(least, length - dc.NGRAM + 1 - dc.NGRAM * edited)
+        assert least >= size * share - less - 1e-9
+
+
+def test_copies_and_very_frequent_grams(spark):
+    """An item twice, a document many times, and an n-gram of the item in every document."""
+    rng = random.Random(10)
+    item = words(rng, 30)
+    docs = [" ".join([*words(rng, 20), *item[4:8], *words(rng, 20)]) for _ in range(100)]
+    docs += [" ".join([*words(rng, 5), *item])] * 50
+    found = dc.contaminated(frame(spark, docs), items_frame(spark, [" ".join(item), "other words here", " ".join(item)]))
+    rows = sorted((r["doc_id"], r["item_id"], r["score"]) for r in found.collect())
+    assert rows == [(d, i, 1.0) for d in range(100, 150) for i in (0, 2)]
+
+
 def test_clean_drops_only_contaminated(spark):
     rng = random.Random(6)
     items = [" ".join(words(rng, 25))]
