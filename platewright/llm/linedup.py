@@ -7,11 +7,13 @@ lines with enough words are deleted from the document with the larger id.
 
 Pairs come from shared units: a line with enough words, or two lines in a row of
 which one has too few. A rare unit (of up to ``RARE`` occurrences) pairs all
-documents that have it; a frequent one pairs each with the first that has it, whose
-copy is the one that stays. So the pairs grow with the occurrences of units, not with
-their square. An occurrence of a frequent unit in a later document counts as aligned with
-that copy even where the whole documents align otherwise, as it does with some one of
-the many others. Equal sequences are one before anything is paired.
+documents that have it. An occurrence of a frequent one is paired by its contexts: with the first
+document that has the unit, that has it as often before, that has it after, before and
+between the same frequent units, and that has few (``FEW``) frequent units beside it which it could
+cross. So the pairs grow with the occurrences of units, not with
+their square. Only lines that are aligned in some pair are deleted; a frequent line that
+aligns in none of these pairs, but would with a document that none of its
+contexts names, stays. Equal sequences are one before anything is paired.
 
 Lines are compared without white space at their ends; a line without words is blank
 and is neither compared nor deleted. A hash has 64 bits, of which 6 hold the number of
@@ -29,7 +31,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +39,8 @@ from platewright.llm.arrow import with_arrow_columns
 from platewright.session import shared_folder
 
 RARE = 16
+#: Numbers of different frequent units of a document up to which it is a partner of its own.
+FEW = (1, 2, 4)
 #: Words that a block needs to be deleted.
 BLOCK_WORDS = 5
 SPACE = b" \t\r\f\v"
@@ -179,10 +183,36 @@ def shared_units(lines: DataFrame) -> DataFrame:
 
 def line_pairs(shared: DataFrame, rare: int = RARE) -> DataFrame:
     """``a`` < ``b``: the documents to align."""
-    frequent = shared.where((F.col("n") > rare) & (F.col("doc_id") > F.col("first")))
     few = shared.where(F.col("n") <= rare).groupBy("h").agg(F.sort_array(F.collect_set("doc_id")).alias("d"))
     few = few.select(F.explode("d").alias("a"), "d").select("a", F.explode("d").alias("b")).where("a < b")
-    return frequent.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).unionByName(few).distinct()
+    frequent = shared.where(F.col("n") > rare)
+    by_first = frequent.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).where("a < b")
+    keys = contexts(frequent).checkpoint()
+    firsts = keys.where("named").groupBy("context").agg(F.min("doc_id").alias("a"))
+    # Written, so that the join shuffles both sides anew and can split a context that very many have.
+    by_context = keys.join(firsts.checkpoint(), "context")
+    by_context = by_context.select("a", F.col("doc_id").alias("b")).where("a < b")
+    return by_first.unionByName(by_context).unionByName(few).distinct()
+
+
+def contexts(frequent: DataFrame) -> DataFrame:
+    """``doc_id``, ``context`` and ``named``: hashes of each occurrence with how often its document has
+    the unit before it (if it has), with the frequent units next to it, either and both, and
+    with each of ``FEW``. The document is ``named`` by the contexts that hold for it."""
+    own = Window.partitionBy("doc_id").orderBy("line", "last")
+    before, after = F.lag("h").over(own), F.lead("h").over(own)
+    times = F.row_number().over(Window.partitionBy("doc_id", "h").orderBy("line", "last"))
+    found = frequent.select("doc_id", "h", "line", "last").withColumns({"before": before, "after": after, "times": times})
+    found = found.withColumn("different", F.sum((F.col("times") == 1).cast("int")).over(Window.partitionBy("doc_id")))
+    few = [F.struct(F.xxhash64(F.lit("few"), "h", F.lit(c)).alias("context"), (F.col("different") <= c).alias("named")) for c in FEW]
+    near = F.transform(F.filter(F.array(
+        F.when(F.col("times") > 1, F.xxhash64(F.lit("times"), "h", "times")),
+        F.when(F.col("before").isNotNull(), F.xxhash64(F.lit("before"), "before", "h")),
+        F.when(F.col("after").isNotNull(), F.xxhash64(F.lit("after"), "h", "after")),
+        F.when(F.col("before").isNotNull() & F.col("after").isNotNull(),
+               F.xxhash64(F.lit("both"), "before", "h", "after")),
+    ), lambda x: x.isNotNull()), lambda x: F.struct(x.alias("context"), F.lit(True).alias("named")))
+    return found.select("doc_id", F.inline(F.concat(near, F.array(*few)))).distinct()
 
 
 def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WORDS,
@@ -200,7 +230,9 @@ def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WO
 
     shared = shared_units(firsts).checkpoint()
     pairs, firsts = line_pairs(shared, rare), firsts.drop("units")
-    sides = pairs.join(firsts.toDF("a", "lines_a"), "a").join(firsts.toDF("b", "lines_b"), "b")
+    # The earlier side last: what is shuffled once more is the later one's lines, whose partners are
+    # bounded by its own units, and not those of a document that very many others begin with.
+    sides = pairs.join(firsts.toDF("b", "lines_b"), "b").join(firsts.toDF("a", "lines_a"), "a")
 
     def align(batches):
         for batch in batches:
@@ -215,11 +247,7 @@ def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WO
     aligned = sides.select("b", "lines_a", "lines_b").mapInArrow(align, T.StructType([
         T.StructField("doc_id", firsts.schema["doc_id"].dataType), T.StructField("deleted", T.ArrayType(T.IntegerType())),
     ]))
-    frequent = shared.where((F.col("n") > rare) & (F.col("doc_id") > F.col("first")))
-    frequent = frequent.join(firsts, "doc_id").where(
-        f"line = last OR (lines[line] & 63L) + (lines[last] & 63L) >= {block_words}"
-    ).select("doc_id", F.expr("explode(array_distinct(array(line, last)))").alias("line"))
-    aligned = aligned.select("doc_id", F.explode("deleted").alias("line")).unionByName(frequent).distinct()
+    aligned = aligned.select("doc_id", F.explode("deleted").alias("line")).distinct()
     aligned = aligned.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("deleted"))
 
     copies = own.where("doc_id > first").dropDuplicates(["doc_id"]).select(

@@ -52,6 +52,37 @@ def test_frequent_lines_lose_nothing(spark):
         assert all(hashes[doc][n] in earlier for n in gone)
 
 
+def test_default_nearly_equals_aligning_all_pairs(spark):
+    """Lines in 2, 20 and 200 documents, in any order, twice in one document, and short ones in a row."""
+    rng = random.Random(3)
+    pools = {size: [" ".join(words(rng, rng.randint(5, 9), 500)) for _ in range(count)] for size, count in ((200, 2), (20, 6), (2, 20))}
+    short = ["ok then", "see more"]
+    texts = [[" ".join(words(rng, rng.randint(5, 9))) for _ in range(rng.randint(1, 6))] for _ in range(240)]
+    for size, pool in pools.items():
+        for line in pool:
+            for n in rng.sample(range(240), size):
+                texts[n].insert(rng.randrange(len(texts[n]) + 1), line)
+    for n in rng.sample(range(240), 40):
+        at = rng.randrange(len(texts[n]) + 1)
+        texts[n][at:at] = short
+    for n in rng.sample(range(240), 20):
+        texts[n].append(rng.choice(pools[200]))
+    texts = ["\n".join(t) for t in texts]
+    rows = {r["doc_id"]: set(r["deleted"]) for r in linedup.deleted_lines(frame(spark, texts)).collect()}
+    expected = brute(texts)
+    assert all(gone <= expected[doc] for doc, gone in rows.items())
+    assert sum(map(len, rows.values())) >= 0.99 * sum(map(len, expected.values()))
+
+
+def test_swapped_lines(spark):
+    """Of two lines in swapped order one goes, whatever the number of other documents that have them."""
+    one, two = "the first of two whole lines", "and the second of two lines"
+    for others in (0, 20, 200):
+        texts = [f"{one}\n{two}", f"{two}\n{one}"] + [f"{one}\n{two}\nown words of number {n} here now" for n in range(others)]
+        rows = {r["doc_id"]: r["deleted"] for r in linedup.deleted_lines(frame(spark, texts)).collect()}
+        assert len(rows.pop(1)) == 1 and rows == {n: [0, 1] for n in range(2, others + 2)}
+
+
 def test_patience():
     def pairs(a, b):
         return linedup.patience([ord(c) for c in a], [ord(c) for c in b])
