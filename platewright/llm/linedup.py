@@ -226,7 +226,9 @@ def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WO
     # Only classes of several, and written, so that the join can split one of very many.
     own = all_lines.select("*", *same).join(classes.checkpoint(), ["key", "n_lines"], "left").select(
         "doc_id", F.coalesce("first", "doc_id").alias("first"), "lines", "units")
-    firsts = own.where("doc_id = first").select("doc_id", "lines", "units").dropDuplicates(["doc_id"])
+    # Written, so that the joins of pairs shuffle both sides anew and can split a document that
+    # very many others have as their partner.
+    firsts = own.where("doc_id = first").select("doc_id", "lines", "units").dropDuplicates(["doc_id"]).checkpoint()
 
     shared = shared_units(firsts).checkpoint()
     pairs, firsts = line_pairs(shared, rare), firsts.drop("units")
