@@ -47,6 +47,8 @@ def metadata_pairs(lines: DataFrame, max_lines: int = 7) -> DataFrame:
         lines.filter(F.col("line_no") < max_lines)
         .withColumn("_pair", pair_parts(F.col("value")))
         .filter(F.col("_pair").isNotNull())
+        # Text is aggregated by sorting: not all rows of a split at once, but those of a part of the files.
+        .repartition("file")
         .groupBy("file", F.col("_pair")[0].alias("key"))
         .agg(F.max_by(F.col("_pair")[1], F.col("line_no")).alias("value"))
     )
