@@ -10,10 +10,14 @@ blocks and beyond its ends, and each part of it with enough equal words is a pas
 
 A seed that occurs up to ``RARE`` times matches all its occurrences. One that occurs
 more often matches each with its first occurrence, and the ``LONG`` words that begin with
-it are a seed of their own, matched with the first occurrence of these: whatever passage
-of frequent seeds a document repeats, it repeats it from there. So matches grow with the
-text, not with the square of how often a passage occurs, and groups of copies need no
-pairs of all with all.
+it are a seed of their own, matched with the first occurrence of these. Occurrences in
+passages with one and the same earlier place that has the seed are of one kind, which stands
+for the links between them: groups of copies need no pairs of all with all. All
+occurrences of different kinds are then compared, in tiles, by the words around them, and
+matched if a passage can hold both: ``AROUND`` words can be aligned, some of them four in
+a row apart from the run that holds the seed, or the run alone has ``MIN_WORDS``. What
+documents so matched have in common is chained anew. The number of tiles of a seed grows
+with the square of its occurrences beyond ``TILE``; what a tile holds is bounded.
 
 Words are lower-cased (A-Z) runs without ASCII white space, compared by hashes of 64 bits
 (32 in alignments). Passages have ``MIN_WORDS`` words or more in both documents, of which
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewright.llm.arrow import small_batches
-from platewright.llm.words import LAST, SPACES, grams, hashed, separator
+from platewright.llm.words import LAST, SPACES, grams, hashed, mix, separator
 from platewright.session import shared_folder
 
 K, W, LONG, RARE = 8, 7, 48, 8
@@ -43,6 +47,10 @@ MIN_WORDS, IDENTITY = 50, 0.8
 CHAIN_WORDS, GAP_COST, MARGIN = 8, 0.2, 64
 #: Gaps up to so many words on each side are aligned by a matrix, longer ones along their diagonal.
 MATRIX = 256
+#: Words before and after the beginning of a frequent seed that are compared, and how many must be in common.
+BEFORE, AFTER, AROUND = 50, 58, 40
+#: Occurrences that a side of a tile has on average, pairs made at once, bits of a set of words.
+TILE, PAIRS, BITS = 4096, 1 << 21, 2048
 SEPARATOR = separator(SPACES)
 
 
@@ -102,15 +110,17 @@ def _columns(batch: pa.RecordBatch, *names: str) -> np.ndarray:
 
 
 def matches(found: DataFrame, rare: int = RARE) -> DataFrame:
-    """``a``, ``b``, ``pa``, ``pb``, ``size``: equal words of documents ``a`` < ``b``."""
+    """``a``, ``b``, ``pa``, ``pb``, ``size``: equal words of documents ``a`` < ``b``, with ``h`` and
+    ``run`` (words of the run in ``b``) of a frequent seed, else 0. Its first occurrence is there with itself."""
     every = _seed_matches(found, rare).checkpoint()
     # -1 marks rare seeds, and frequent ones with too few words behind them.
     frequent = every.where("long <> -1").select("h", "long", F.col("b").alias("doc"), F.col("pb").alias("pos"))
     firsts = frequent.groupBy("h", "long").agg(F.min(F.struct("doc", "pos")).alias("first"))
     far = frequent.join(firsts, ["h", "long"]).where("doc <> first.doc").select(
         F.col("first.doc").alias("a"), F.col("doc").alias("b"), F.col("first.pos").alias("pa"),
-        F.col("pos").alias("pb"), F.lit(LONG).cast("long").alias("size"))
-    return every.where("a <> b").select("a", "b", "pa", "pb", "size").unionByName(far)
+        F.col("pos").alias("pb"), F.lit(LONG).cast("long").alias("size"), F.lit(0).cast("long").alias("h"),
+        F.lit(0).cast("long").alias("run"))
+    return every.drop("long").unionByName(far)
 
 
 def _seed_matches(found: DataFrame, rare: int) -> DataFrame:
@@ -118,14 +128,15 @@ def _seed_matches(found: DataFrame, rare: int) -> DataFrame:
     is frequent; the first occurrence of a frequent one is matched with itself."""
     n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = found.repartition(n, "h").sortWithinPartitions("h", "doc", "place")
-    names = ["a", "b", "pa", "pb", "size", "h", "long"]
+    names = ["a", "b", "pa", "pb", "size", "h", "long", "run"]
     empty = np.empty((len(names), 0), np.int64)
 
     def matched(rows: np.ndarray, x: np.ndarray, y: np.ndarray, frequent: bool) -> np.ndarray:
         size = [(rows[2, at] >> 6) & (1 << 26) - 1 for at in (x, y)]
         step = [rows[2, at] & 63 for at in (x, y)]
+        none = np.zeros(len(y), np.int64)
+        marks = (rows[0, y], rows[3, y], size[1]) if frequent else (none, none - 1, none)
         size = np.where((step[0] > 0) & (step[0] == step[1]), np.minimum(*size), K)
-        marks = (rows[0, y], rows[3, y]) if frequent else (np.zeros(len(y), np.int64), np.full(len(y), -1))
         return np.stack([rows[1, x], rows[1, y], rows[2, x] >> 32, rows[2, y] >> 32, size, *marks])
 
     def of_groups(rows: np.ndarray, hot: int | None) -> np.ndarray:
@@ -176,6 +187,246 @@ def _seed_matches(found: DataFrame, rare: int) -> DataFrame:
     return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
+def classes(every: DataFrame, passages: DataFrame) -> DataFrame:
+    """``h``, ``doc``, ``pos``, ``kind`` and ``tiles`` of the occurrences of those frequent seeds that have several
+    kinds. An occurrence in passages with earlier documents that have the seed there is of the kind of the
+    first such place; any other is of its own kind."""
+    seen = every.where("h <> 0").select("h", F.col("b").alias("doc"), F.col("pb").alias("pos"), "run")
+    spans = passages.select("a", F.col("b").alias("doc"), "a0", "a1", "b0", "b1")
+    inside = seen.join(spans, "doc").where(f"b0 <= pos AND pos + {K} <= b1").select(
+        "h", "doc", "pos", "a", "a0", "a1", F.expr("a0 + pos - b0").alias("at"))
+    there = inside.join(seen.select("h", F.col("doc").alias("a"), F.col("pos").alias("p")), ["h", "a"])
+    there = there.where(f"a0 <= p AND p + {K} <= a1").groupBy("h", "doc", "pos").agg(
+        F.min(F.struct("a", F.abs(F.col("p") - F.col("at")).alias("off"), "p")).alias("of"))
+    marked = seen.join(there, ["h", "doc", "pos"], "left").select(
+        "h", "doc", F.explode(F.array_distinct(F.array("pos", F.expr(f"pos + greatest(run, {K}) - {K}")))).alias("pos"),
+        F.expr("xxhash64(coalesce(of.a, doc), coalesce(of.p, pos))").alias("kind")).checkpoint()
+    left = marked.groupBy("h").agg(F.count("*").alias("n"), F.min("kind").alias("least"), F.max("kind").alias("most"))
+    left = left.where("least <> most").select("h", F.expr(f"cast(ceil(n / {TILE}) as int)").alias("tiles"))
+    return marked.join(left, "h")
+
+
+def surroundings(places: DataFrame, own: DataFrame) -> DataFrame:
+    """``h``, ``doc``, ``pos``, ``kind``, ``tiles`` and ``words`` (16 bits of the hash of each word from
+    ``BEFORE`` words before the seed to ``AFTER`` words after its beginning; 0 where the text has none)."""
+    wanted = places.groupBy("doc").agg(F.collect_list(F.struct("h", "pos", "kind", "tiles")).alias("seeds"))
+    both = own.dropDuplicates(["doc"]).join(wanted, "doc")
+    around = np.arange(-BEFORE, AFTER)
+
+    def cut(batches):
+        for batch in batches:
+            ids, lists = batch.column("doc").to_numpy(), batch.column("seeds")
+            fields = {f: lists.values.field(f) for f in ("h", "pos", "kind", "tiles")}
+            ends, pos = lists.offsets.to_numpy(), fields["pos"].to_numpy()
+            for low, high, words, starts in hashed(batch.column("text"), SEPARATOR):
+                words = np.maximum((words >> np.uint64(48)).astype(np.uint16), 1)
+                for p in range(ends[low], ends[high], 1 << 14):
+                    q = min(p + (1 << 14), ends[high])
+                    text = np.searchsorted(ends, np.arange(p, q), "right") - 1
+                    at = (starts[text - low] + pos[p:q])[:, None] + around
+                    inside = (at >= starts[text - low][:, None]) & (at < starts[text - low + 1][:, None])
+                    found = np.where(inside, words[np.clip(at, 0, len(words) - 1)], 0).astype(np.uint16)
+                    sizes = pa.py_buffer(np.arange(q - p + 1, dtype=np.int32) * (2 * len(around)))
+                    packed = pa.Array.from_buffers(pa.binary(), q - p, [None, sizes, pa.py_buffer(found)])
+                    yield pa.RecordBatch.from_arrays(
+                        [fields["h"][p:q], pa.array(ids[text]), *(fields[f][p:q] for f in ("pos", "kind", "tiles")), packed],
+                        names=["h", "doc", "pos", "kind", "tiles", "words"])
+
+    return both.mapInArrow(cut, "h long, doc long, pos long, kind long, tiles int, words binary")
+
+
+def frequent_matches(places: DataFrame, own: DataFrame) -> DataFrame:
+    """``a``, ``b``, ``pa``, ``pb``, ``size``: matches of the occurrences of each frequent seed, all with all
+    of other kinds. Tiles of ``TILE`` by ``TILE`` are compared on their own."""
+    n = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tile = F.expr("cast(pmod(xxhash64(doc, pos), tiles) as int)")
+    rows = surroundings(places, own).withColumn("tile", tile).select(
+        "h", "doc", "pos", "kind", "words", F.explode(F.expr(
+            "transform(sequence(0, tiles - 1), t -> struct(least(t, tile) AS i, greatest(t, tile) AS j))")).alias("t"))
+    dealt = rows.select("h", "t.i", "t.j", "doc", "pos", "kind", "words").repartition(n, "h", "i", "j")
+    dealt = dealt.sortWithinPartitions("h", "i", "j")
+
+    def run(batches):
+        kept, words = np.empty((6, 0), np.int64), np.empty((0, BEFORE + AFTER), np.uint16)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kept = np.hstack([kept, _columns(batch, "h", "i", "j", "doc", "pos", "kind")])
+            ends = np.frombuffer(batch.column("words").buffers()[1], np.int32)[batch.column("words").offset :]
+            more = np.frombuffer(batch.column("words").buffers()[2], np.uint8)[ends[0] : ends[batch.num_rows]]
+            words = np.vstack([words, more.view(np.uint16).reshape(-1, BEFORE + AFTER)])
+            begin = np.flatnonzero(np.r_[True, (kept[:3, 1:] != kept[:3, :-1]).any(axis=0)])[-1]
+            if begin:
+                yield from emit(kept[:, :begin], words[:begin])
+                kept, words = kept[:, begin:], words[begin:]
+        if kept.shape[1]:
+            yield from emit(kept, words)
+
+    def emit(rows: np.ndarray, words: np.ndarray):
+        group = np.cumsum(np.r_[False, (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)])
+        for m in related(group, rows[3], rows[4], rows[5], words):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in m], names=["a", "b", "pa", "pb", "size"])
+
+    return dealt.mapInArrow(run, "a long, b long, pa long, pb long, size long").distinct()
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Whether each entry of sorted keys differs from the one before."""
+    out = np.ones(len(keys[0]), bool)
+    if len(out):
+        out[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return out
+
+
+def _spread(new: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """How many parts each entry's group has."""
+    group = np.cumsum(new) - 1
+    return np.bincount(group[part], minlength=1)[group] if len(group) else group
+
+
+def related(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, kind: np.ndarray,
+            words: np.ndarray) -> Iterator[np.ndarray]:
+    """Matches (``a, b, pa, pb, size``) of the seeds of each ``group`` by the ``words`` around them.
+
+    Seeds with equal surroundings are matched with the first of them, which stands for them. Seeds in
+    ``MIN_WORDS`` equal words are matched with the first that has these. All others can only be in one
+    passage if they have four words in a row in common that are not in the run of equal words of both
+    around the seed: each pair that has, and can have ``AROUND`` words around the seed aligned, is matched.
+    Seeds of one ``kind`` are not.
+    """
+    if not len(group):
+        return
+    powers = np.multiply.accumulate(np.full(words.shape[1], 0x9E3779B97F4A7C15, np.uint64))
+    # Sums of hashed words up to each place, so that differences are hashes of stretches.
+    sums = np.zeros((len(words), words.shape[1] + 1), np.uint64)
+    np.cumsum(mix(words.astype(np.uint64) + np.uint64(1)) * powers, axis=1, out=sums[:, 1:])
+    order = np.lexsort((pos, doc, sums[:, -1], group))
+    new = _starts(group[order], sums[order, -1])
+    first = order[new]
+    stands = first[np.cumsum(new) - 1]
+    yield from _as_matches(stands, order, doc, pos, words)
+    # From here on only those that stand for others.
+    group, doc, pos, kind, words, sums = (v[first] for v in (group, doc, pos, kind, words, sums))
+    salt = mix(group.astype(np.uint64) + np.uint64(7))[:, None]
+    size = words.shape[1]
+
+    begins = np.arange(BEFORE + K - MIN_WORDS, BEFORE + 1)
+    # A stretch without missing words lies between the first and the last word.
+    low, high = (words != 0).argmax(axis=1)[:, None], size - (words[:, ::-1] != 0).argmax(axis=1)[:, None]
+    whole = (begins >= low) & (begins + MIN_WORDS <= high)
+    row, column = np.nonzero(whole)
+    key = mix((sums[:, begins + MIN_WORDS] - sums[:, begins]) ^ salt)[row, column]
+    order = np.lexsort((pos[row], doc[row], key, column))
+    new = _starts(column[order], key[order])
+    firsts, row = row[order[new]], row[order]
+    firsts = firsts[np.cumsum(new) - 1]
+    both = np.unique(np.stack([firsts, row])[:, kind[firsts] != kind[row]], axis=1)
+    yield from _as_matches(*both, doc, pos, words)
+
+    grams = np.zeros((len(words), size - 3), np.uint64)
+    for j in range(4):
+        grams |= words[:, j : size - 3 + j].astype(np.uint64) << np.uint64(16 * j)
+    sets = None
+    for right in (False, True):
+        at = np.arange(BEFORE + K + 1, size - 3) if right else np.arange(0, BEFORE - 4)
+        inside = (at >= low) & (at + 4 <= high)
+        key = mix(grams[:, at] ^ salt)
+        # Equal between the seed and the end of the four words, at one distance: in the run of both.
+        between = sums[:, at + 4] - sums[:, [BEFORE]] if right else sums[:, [BEFORE]] - sums[:, at]
+        between = between + at.astype(np.uint64)
+        row, column = np.nonzero(inside)
+        key, between = key[row, column], between[row, column]
+        # Only keys that may occur twice are sorted.
+        slot = (key >> np.uint64(40)).astype(np.int64)
+        twice = np.bincount(slot, minlength=1 << 24)[slot] > 1
+        row, key, between = row[twice], key[twice], between[twice]
+        order = np.lexsort((between, key))
+        row, key, between = row[order], key[order], between[order]
+        several = _spread(_starts(key), _starts(key, between)) > 1
+        row, key, between = row[several], key[several], between[several]
+        if not len(row):
+            continue
+        begin, sub = np.flatnonzero(_starts(key)), np.flatnonzero(_starts(key, between))
+        k0, k1 = (np.repeat(e, np.diff(begin, append=len(row))) for e in (begin, np.r_[begin[1:], len(row)]))
+        s0, s1 = (np.repeat(e, np.diff(sub, append=len(row))) for e in (sub, np.r_[sub[1:], len(row)]))
+        # All but those of a key's most frequent kind are paired with those between which there are other words.
+        order = np.lexsort((kind[row], key))
+        alike = np.flatnonzero(_starts(key[order], kind[row[order]]))
+        times = np.diff(alike, append=len(row))
+        of_key = np.searchsorted(begin, alike, "right") - 1
+        best = np.lexsort((times, of_key))
+        most = best[np.r_[of_key[best][1:] != of_key[best][:-1], True]]
+        paired = np.ones(len(row), bool)
+        paired[order[np.repeat(np.isin(np.arange(len(alike)), most), times)]] = False
+        own = np.flatnonzero(paired)
+        count = (k1 - k0 - (s1 - s0))[own]
+        ends = np.cumsum(count)
+        done = 0
+        while done < len(own):
+            # Some million pairs at once.
+            to = max(done + 1, int(np.searchsorted(ends, ends[done] - count[done] + PAIRS, "right")))
+            some, many = own[done:to], count[done:to]
+            n = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            other = np.repeat(k0[some], many) + n
+            other = np.where(other >= np.repeat(s0[some], many), other + np.repeat((s1 - s0)[some], many), other)
+            x, y = np.repeat(row[some], many), row[other]
+            other = kind[x] != kind[y]
+            x, y = np.minimum(x, y)[other], np.maximum(x, y)[other]
+            pair = np.unique(x * len(words) + y)
+            x, y = pair // len(words), pair % len(words)
+            x, y = x[doc[x] != doc[y]], y[doc[x] != doc[y]]
+            if sets is None:
+                sets, spare = _sets(words)
+            for p in range(0, len(x), 1 << 13):
+                u, v = x[p : p + (1 << 13)], y[p : p + (1 << 13)]
+                most = np.bitwise_count(sets[u] & sets[v]).sum(axis=1, dtype=np.int64) + np.minimum(spare[u], spare[v])
+                u, v = u[most >= AROUND], v[most >= AROUND]
+                both = K + _aligned_words(words[u, :BEFORE], words[v, :BEFORE])
+                both += _aligned_words(words[u, BEFORE + K :], words[v, BEFORE + K :])
+                yield from _as_matches(u[both >= AROUND], v[both >= AROUND], doc, pos, words)
+            done = to
+
+
+def _sets(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sets of each row's words, the repeats of a word being others, as bits, and how many words have no bit of
+    their own: rows have no more words in common than bits and the lesser of these."""
+    order = np.argsort(words, axis=1, kind="stable")
+    ranked = np.take_along_axis(words, order, axis=1)
+    new = np.ones(words.shape, bool)
+    new[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+    place = np.arange(words.shape[1])
+    repeat = place - np.maximum.accumulate(np.where(new, place, 0), axis=1)
+    bit = (mix(ranked.astype(np.uint64) << np.uint64(8) | repeat.astype(np.uint64)) >> np.uint64(40)).astype(np.int64) % BITS
+    sets = np.zeros((len(words), BITS // 64), np.uint64)
+    row, column = np.nonzero(ranked)
+    bit = bit[row, column]
+    np.bitwise_or.at(sets, (row, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+    return sets, np.bincount(row, minlength=len(words)) - np.bitwise_count(sets).sum(axis=1, dtype=np.int64)
+
+
+def _aligned_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The most words that can be aligned in each row of ``a`` and ``b``."""
+    row = np.zeros((len(a), b.shape[1] + 1), np.uint8)
+    for word in a.T:
+        same = (b == word[:, None]) & (word[:, None] != 0)
+        np.maximum(row[:, 1:], row[:, :-1] + same, out=row[:, 1:])
+        np.maximum.accumulate(row, axis=1, out=row)
+    return row[:, -1].astype(np.int64)
+
+
+def _as_matches(x: np.ndarray, y: np.ndarray, doc: np.ndarray, pos: np.ndarray, words: np.ndarray) -> Iterator[np.ndarray]:
+    """The seeds ``x`` and ``y`` of different documents; one that repeats at once goes on as long as both do."""
+    x, y = x[doc[x] != doc[y]], y[doc[x] != doc[y]]
+    for p in range(0, len(x), 1 << 14):
+        u, v = x[p : p + (1 << 14)], y[p : p + (1 << 14)]
+        u, v = np.where(doc[u] < doc[v], u, v), np.where(doc[u] < doc[v], v, u)
+        seed = words[u, BEFORE : BEFORE + K]
+        again = np.any([(words[u, BEFORE + d : BEFORE + d + K] == seed).all(axis=1) for d in range(1, W + 1)], axis=0)
+        other = (words[u, BEFORE + K :] != words[v, BEFORE + K :]) | (words[u, BEFORE + K :] == 0)
+        after = np.hstack([other, np.ones((len(u), 1), bool)]).argmax(axis=1)
+        yield np.stack([doc[u], doc[v], pos[u], pos[v], K + np.where(again, after, 0)])
+
+
 def blocks(rows: np.ndarray) -> np.ndarray:
     """Rows ``a, b, pa, pb, size`` with those that overlap on a diagonal merged."""
     order = np.lexsort((rows[3], rows[3] - rows[2], rows[1], rows[0]))
@@ -369,19 +620,30 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     shared_folder(docs.sparkSession)
     own = small_batches(docs).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     own = own.where("doc IS NOT NULL AND text IS NOT NULL")
-    found = chained(matches(seeds(own))).checkpoint()
+    every = matches(seeds(own))
+    found = passages_of(chained(every.where("a <> b")).checkpoint(), own).checkpoint()
+    # Occurrences of frequent seeds that have no passage with one and the same place, all with all;
+    # what documents have in common is chained once more with these.
+    more = frequent_matches(classes(every, found), own).checkpoint()
+    pairs = more.select("a", "b").distinct().checkpoint()
+    again = every.where("a <> b").select(more.columns).join(pairs, ["a", "b"], "left_semi").unionByName(more)
+    found = found.join(pairs, ["a", "b"], "left_anti").unionByName(passages_of(chained(again).checkpoint(), own))
+    return found.select(
+        F.col("b").alias("doc_id"), F.col("b0").alias("first_word"), F.col("b1").alias("end_word"),
+        F.col("a").alias("source_id"), F.col("a0").alias("source_first"), F.col("a1").alias("source_end"),
+        F.col("equal").alias("equal_words"),
+    ).distinct()
+
 
+def passages_of(found: DataFrame, own: DataFrame) -> DataFrame:
+    """``a``, ``b``, ``a0``, ``a1``, ``b0``, ``b1`` and ``equal`` words of the passages of chains."""
     spans = found.selectExpr(
         "*", "xs[0] AS a0", "ys[0] AS b0", "element_at(xs, -1) + element_at(sizes, -1) AS a1",
         "element_at(ys, -1) + element_at(sizes, -1) AS b1", "aggregate(sizes, 0L, (s, x) -> s + x) AS equal",
     ).withColumn("proven", F.expr(
         f"least(a1 - a0, b1 - b0) >= {MIN_WORDS} AND equal >= {IDENTITY} * greatest(a1 - a0, b1 - b0)"))
     done = spans.where("proven").select("a", "b", "a0", "a1", "b0", "b1", "equal")
-    return done.unionByName(_aligned(spans.where("NOT proven"), own)).select(
-        F.col("b").alias("doc_id"), F.col("b0").alias("first_word"), F.col("b1").alias("end_word"),
-        F.col("a").alias("source_id"), F.col("a0").alias("source_first"), F.col("a1").alias("source_end"),
-        F.col("equal").alias("equal_words"),
-    ).distinct()
+    return done.unionByName(_aligned(spans.where("NOT proven"), own))
 
 
 def _windows(spans: DataFrame, own: DataFrame) -> DataFrame:

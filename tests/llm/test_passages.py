@@ -166,6 +166,60 @@ def test_copies_and_repeats(spark):
     assert len(rows) < 40 * 20
 
 
+def test_passages_of_frequent_seeds_that_their_first_occurrences_lack(spark):
+    """Two edited runs, each in many documents before; a pair of them side by side only in the last ones."""
+    rng = random.Random(7)
+    runs = [words(rng, 26, 10**6) for _ in range(2)]
+    texts = [" ".join([*words(rng, 70, 10**6), *runs[n % 2], *words(rng, 70, 10**6)]) for n in range(40)]
+    for n in range(3):
+        between = [f"new{n}"]
+        texts.append(" ".join([*words(rng, 70, 10**6), *runs[0], *between, *runs[1], *words(rng, 70, 10**6)]))
+    rows = passages.shared_passages(frame(spark, texts)).collect()
+    assert {(r["source_id"], r["doc_id"]) for r in rows} == {(40, 41), (40, 42), (41, 42)}
+    assert all(r["first_word"] <= 76 and r["end_word"] >= 117 and r["equal_words"] >= 40 for r in rows)
+
+
+def test_frequent_seeds_lose_no_pair_of_classes(spark, monkeypatch):
+    """Against all pairs of occurrences: each is found, or both have a passage with one earlier document."""
+    rng = random.Random(8)
+    line = words(rng, 15, 10**6)
+    stems = [words(rng, 90, 10**6) for _ in range(4)]
+    texts = []
+    for n in range(120):
+        part = list(stems[n % 4])
+        part[30:45] = line
+        for at in rng.sample(range(90), 6):
+            part[at : at + 1] = rng.choice([[], [f"e{n}"], [f"e{n}", f"f{n}"]])
+        low = rng.choice([0, 0, 15, 25])
+        texts.append(" ".join([*words(rng, 30, 10**6), *part[low : low + 65], *words(rng, 30, 10**6)]))
+    found = passages.shared_passages(frame(spark, texts)).collect()
+    monkeypatch.setattr(passages.matches, "__defaults__", (1000,))
+    every = {(r["source_id"], r["doc_id"]) for r in passages.shared_passages(frame(spark, texts)).collect()}
+    pairs = {(r["source_id"], r["doc_id"]) for r in found}
+    sources = {}
+    for a, b in pairs:
+        sources.setdefault(b, {b}).add(a)
+    assert len(every) > 150 and all(a < b and a % 4 == b % 4 for a, b in pairs)
+    assert not [(a, b) for a, b in every - pairs if not sources.get(a, {a}) & sources.get(b, {b})]
+
+
+@pytest.mark.parametrize("tile", [4096, 5])
+def test_tiles_give_all_pairs(spark, monkeypatch, tile):
+    """Pairs with common words apart from the run around the seed, in any tile; no others."""
+    monkeypatch.setattr(passages, "TILE", tile)
+    rng = random.Random(9)
+    line, other = words(rng, 14, 10**6), words(rng, 30, 10**6)
+    texts = [" ".join([*words(rng, 40, 10**6), *line, *([f"g{n}", *other] if n % 3 == 0 else words(rng, 31, 10**6))])
+             for n in range(24)]
+    docs = frame(spark, texts).selectExpr("doc_id AS doc", "text")
+    places = spark.createDataFrame([(1, n, 43, n, -(-24 // tile)) for n in range(24)], "h long, doc long, pos long, kind long, tiles int")
+    passages.shared_folder(spark)
+    rows = passages.frequent_matches(places, docs).collect()
+    expected = {(a, b) for a in range(0, 24, 3) for b in range(a + 3, 24, 3)}
+    assert {(r["a"], r["b"]) for r in rows} == expected
+    assert all(tuple(r)[2:] == (43, 43, passages.K) for r in rows)
+
+
 def test_odd_rows(spark):
     docs = odd(spark)
     assert passages.shared_passages(docs).collect() == []
