@@ -327,6 +327,8 @@ def related(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, kind: np.ndarra
     for j in range(4):
         grams |= words[:, j : size - 3 + j].astype(np.uint64) << np.uint64(16 * j)
     sets = None
+    # Pairs that other words have led to; a side of a tile bounds them, many small groups have few.
+    judged = np.zeros(len(words) ** 2, bool) if len(words) ** 2 <= 1 << 27 else None
     for right in (False, True):
         at = np.arange(BEFORE + K + 1, size - 3) if right else np.arange(0, BEFORE - 4)
         inside = (at >= low) & (at + 4 <= high)
@@ -372,7 +374,11 @@ def related(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, kind: np.ndarra
             x, y = np.repeat(row[some], many), row[other]
             other = kind[x] != kind[y]
             x, y = np.minimum(x, y)[other], np.maximum(x, y)[other]
-            pair = np.unique(x * len(words) + y)
+            pair = x * len(words) + y
+            if judged is not None:
+                pair = pair[~judged[pair]]
+                judged[pair] = True
+            pair = np.unique(pair)
             x, y = pair // len(words), pair % len(words)
             x, y = x[doc[x] != doc[y]], y[doc[x] != doc[y]]
             if sets is None:
