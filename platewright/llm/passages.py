@@ -30,7 +30,7 @@ add nothing. Repeats within a document don't count. Other columns are not looked
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from platewright.llm.arrow import small_batches
 from platewright.llm.words import LAST, SPACES, grams, hashed, mix, separator
-from platewright.session import shared_folder
+from platewright.session import checkpointed, shared_folder
 
 K, W, LONG, RARE = 8, 7, 48, 8
 MIN_WORDS, IDENTITY = 50, 0.8
@@ -51,6 +51,8 @@ MATRIX = 256
 BEFORE, AFTER, AROUND = 50, 58, 40
 #: Occurrences that a side of a tile has on average, pairs made at once, bits of a set of words.
 TILE, PAIRS, BITS = 4096, 1 << 21, 2048
+#: Occurrences from which on all pairs of a group are gone through if that is less than the pairs its words lead to.
+THROUGH = 64
 SEPARATOR = separator(SPACES)
 
 
@@ -112,7 +114,7 @@ def _columns(batch: pa.RecordBatch, *names: str) -> np.ndarray:
 def matches(found: DataFrame, rare: int = RARE) -> DataFrame:
     """``a``, ``b``, ``pa``, ``pb``, ``size``: equal words of documents ``a`` < ``b``, with ``h`` and
     ``run`` (words of the run in ``b``) of a frequent seed, else 0. Its first occurrence is there with itself."""
-    every = _seed_matches(found, rare).checkpoint()
+    every = checkpointed(_seed_matches(found, rare))
     # -1 marks rare seeds, and frequent ones with too few words behind them.
     frequent = every.where("long <> -1").select("h", "long", F.col("b").alias("doc"), F.col("pb").alias("pos"))
     firsts = frequent.groupBy("h", "long").agg(F.min(F.struct("doc", "pos")).alias("first"))
@@ -198,9 +200,9 @@ def classes(every: DataFrame, passages: DataFrame) -> DataFrame:
     there = inside.join(seen.select("h", F.col("doc").alias("a"), F.col("pos").alias("p")), ["h", "a"])
     there = there.where(f"a0 <= p AND p + {K} <= a1").groupBy("h", "doc", "pos").agg(
         F.min(F.struct("a", F.abs(F.col("p") - F.col("at")).alias("off"), "p")).alias("of"))
-    marked = seen.join(there, ["h", "doc", "pos"], "left").select(
+    marked = checkpointed(seen.join(there, ["h", "doc", "pos"], "left").select(
         "h", "doc", F.explode(F.array_distinct(F.array("pos", F.expr(f"pos + greatest(run, {K}) - {K}")))).alias("pos"),
-        F.expr("xxhash64(coalesce(of.a, doc), coalesce(of.p, pos))").alias("kind")).checkpoint()
+        F.expr("xxhash64(coalesce(of.a, doc), coalesce(of.p, pos))").alias("kind")))
     left = marked.groupBy("h").agg(F.count("*").alias("n"), F.min("kind").alias("least"), F.max("kind").alias("most"))
     left = left.where("least <> most").select("h", F.expr(f"cast(ceil(n / {TILE}) as int)").alias("tiles"))
     return marked.join(left, "h")
@@ -292,7 +294,8 @@ def related(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, kind: np.ndarra
     ``MIN_WORDS`` equal words are matched with the first that has these. All others can only be in one
     passage if they have four words in a row in common that are not in the run of equal words of both
     around the seed: each pair that has, and can have ``AROUND`` words around the seed aligned, is matched.
-    Seeds of one ``kind`` are not.
+    Seeds of one ``kind`` are not. Pairs are found by these words, or, in a group whose seeds have so
+    many in common that each pair would be found again and again, by going through all of them once.
     """
     if not len(group):
         return
@@ -326,18 +329,24 @@ def related(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, kind: np.ndarra
     grams = np.zeros((len(words), size - 3), np.uint64)
     for j in range(4):
         grams |= words[:, j : size - 3 + j].astype(np.uint64) << np.uint64(16 * j)
+    at = np.arange(size - 3)
+    grams[(at < low) | (at + 4 > high)] = 0
+    # Four words on each side of the seed, and all between the seed and their end, at one distance: if both
+    # are equal, they are in the run of both.
+    sides = []
+    for at in (np.arange(0, BEFORE - 4), np.arange(BEFORE + K + 1, size - 3)):
+        between = sums[:, at + 4] - sums[:, [BEFORE]] if at[0] else sums[:, [BEFORE]] - sums[:, at]
+        sides.append((grams[:, at], between + at.astype(np.uint64)))
     sets = None
+    edges = np.flatnonzero(np.r_[_starts(group), True])
+    sizes = np.diff(edges)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    through = np.zeros(len(sizes), bool)
     # Pairs that other words have led to; a side of a tile bounds them, many small groups have few.
     judged = np.zeros(len(words) ** 2, bool) if len(words) ** 2 <= 1 << 27 else None
-    for right in (False, True):
-        at = np.arange(BEFORE + K + 1, size - 3) if right else np.arange(0, BEFORE - 4)
-        inside = (at >= low) & (at + 4 <= high)
-        key = mix(grams[:, at] ^ salt)
-        # Equal between the seed and the end of the four words, at one distance: in the run of both.
-        between = sums[:, at + 4] - sums[:, [BEFORE]] if right else sums[:, [BEFORE]] - sums[:, at]
-        between = between + at.astype(np.uint64)
-        row, column = np.nonzero(inside)
-        key, between = key[row, column], between[row, column]
+    for key, between in sides:
+        row, column = np.nonzero((key != 0) & ~through[group][:, None])
+        key, between = mix(key ^ salt)[row, column], between[row, column]
         # Only keys that may occur twice are sorted.
         slot = (key >> np.uint64(40)).astype(np.int64)
         twice = np.bincount(slot, minlength=1 << 24)[slot] > 1
@@ -362,6 +371,10 @@ def related(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, kind: np.ndarra
         paired[order[np.repeat(np.isin(np.arange(len(alike)), most), times)]] = False
         own = np.flatnonzero(paired)
         count = (k1 - k0 - (s1 - s0))[own]
+        often = np.bincount(group[row[own]], weights=count, minlength=len(sizes)) > sizes * (sizes - 1) // 2
+        often &= sizes >= THROUGH
+        through |= often
+        own, count = own[~often[group[row[own]]]], count[~often[group[row[own]]]]
         ends = np.cumsum(count)
         done = 0
         while done < len(own):
@@ -385,39 +398,87 @@ def related(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, kind: np.ndarra
                 sets, spare = _sets(words)
             for p in range(0, len(x), 1 << 13):
                 u, v = x[p : p + (1 << 13)], y[p : p + (1 << 13)]
-                most = np.bitwise_count(sets[u] & sets[v]).sum(axis=1, dtype=np.int64) + np.minimum(spare[u], spare[v])
-                u, v = u[most >= AROUND], v[most >= AROUND]
-                both = K + _aligned_words(words[u, :BEFORE], words[v, :BEFORE])
-                both += _aligned_words(words[u, BEFORE + K :], words[v, BEFORE + K :])
-                yield from _as_matches(u[both >= AROUND], v[both >= AROUND], doc, pos, words)
+                most = K + np.bitwise_count(sets[u] & sets[v]).sum(axis=1, dtype=np.int64) + np.minimum(spare[u], spare[v])
+                yield from _as_matches(*_alike(u[most >= AROUND], v[most >= AROUND], words), doc, pos, words)
             done = to
+    if through.any() and sets is None:
+        sets, spare = _sets(words)
+    for low, high in zip(edges[:-1][through].tolist(), edges[1:][through].tolist()):
+        while low < high:
+            to = min(high, low + max(1, (PAIRS >> 4) // (high - low)))
+            most = np.bitwise_count(sets[low:to, None] & sets[None, low:high]).sum(axis=2, dtype=np.uint16)
+            most = K + most + np.minimum(spare[low:to, None], spare[None, low:high])
+            most *= np.arange(low, to)[:, None] < np.arange(low, high)
+            most *= (kind[low:to, None] != kind[None, low:high]) & (doc[low:to, None] != doc[None, low:high])
+            x, y = np.nonzero(most >= AROUND)
+            for p in range(0, len(x), 1 << 13):
+                u, v = _alike(low + x[p : p + (1 << 13)], low + y[p : p + (1 << 13)], words)
+                also = _apart(u, v, sides)
+                yield from _as_matches(u[also], v[also], doc, pos, words)
+            low = to
 
 
 def _sets(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sets of each row's words, the repeats of a word being others, as bits, and how many words have no bit of
-    their own: rows have no more words in common than bits and the lesser of these."""
-    order = np.argsort(words, axis=1, kind="stable")
-    ranked = np.take_along_axis(words, order, axis=1)
-    new = np.ones(words.shape, bool)
-    new[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
-    place = np.arange(words.shape[1])
-    repeat = place - np.maximum.accumulate(np.where(new, place, 0), axis=1)
-    bit = (mix(ranked.astype(np.uint64) << np.uint64(8) | repeat.astype(np.uint64)) >> np.uint64(40)).astype(np.int64) % BITS
+    """Sets of each row's words before the seed and of those behind it, the repeats of a word being others, as bits,
+    and how many words have no bit of their own: rows have no more words in common than bits and the lesser of these."""
     sets = np.zeros((len(words), BITS // 64), np.uint64)
-    row, column = np.nonzero(ranked)
-    bit = bit[row, column]
-    np.bitwise_or.at(sets, (row, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
-    return sets, np.bincount(row, minlength=len(words)) - np.bitwise_count(sets).sum(axis=1, dtype=np.int64)
+    spare = np.zeros(len(words), np.int64)
+    for side, part in enumerate((words[:, :BEFORE], words[:, BEFORE + K :])):
+        ranked = np.sort(part, axis=1)
+        new = np.ones(ranked.shape, bool)
+        new[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+        place = np.arange(ranked.shape[1])
+        repeat = place - np.maximum.accumulate(np.where(new, place, 0), axis=1)
+        bit = mix(ranked.astype(np.uint64) << np.uint64(8) | repeat.astype(np.uint64)) >> np.uint64(40)
+        bit = bit.astype(np.int64) % (BITS // 2) + side * (BITS // 2)
+        row, column = np.nonzero(ranked)
+        bit = bit[row, column]
+        np.bitwise_or.at(sets, (row, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+        spare += np.bincount(row, minlength=len(words))
+    return sets, spare - np.bitwise_count(sets).sum(axis=1, dtype=np.int64)
+
+
+def _alike(u: np.ndarray, v: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs that have ``AROUND`` words around the seed aligned."""
+    both = K + _aligned_words(words[u, :BEFORE], words[v, :BEFORE])
+    both += _aligned_words(words[u, BEFORE + K :], words[v, BEFORE + K :])
+    return u[both >= AROUND], v[both >= AROUND]
 
 
 def _aligned_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The most words that can be aligned in each row of ``a`` and ``b``."""
-    row = np.zeros((len(a), b.shape[1] + 1), np.uint8)
-    for word in a.T:
-        same = (b == word[:, None]) & (word[:, None] != 0)
-        np.maximum(row[:, 1:], row[:, :-1] + same, out=row[:, 1:])
-        np.maximum.accumulate(row, axis=1, out=row)
-    return row[:, -1].astype(np.int64)
+    """The most words that can be aligned in each row of ``a`` and ``b`` (up to 64), by the bits of one number a row."""
+    wide = np.zeros((len(a), 64), a.dtype)
+    wide[:, : a.shape[1]] = a
+    rest = np.full(len(a), LAST)
+    for word in b.T:
+        same = np.packbits(wide == word[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+        same = rest & np.where(word != 0, same, 0)
+        rest = (rest + same) | (rest - same)
+    return np.bitwise_count(~rest).astype(np.int64)
+
+
+def _apart(u: np.ndarray, v: np.ndarray, sides: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Whether pairs have four words in a row in common that are not in the run around the seed."""
+    out = np.zeros(len(u), bool)
+
+    def common(four: np.ndarray, between: np.ndarray, x: tuple, y: tuple) -> np.ndarray:
+        return (four[x] == four[y]) & (four[x] != 0) & (between[x] != between[y])
+
+    for four, between in sides:
+        n = four.shape[1]
+        # Most have some at nearly the same distance from the seed.
+        for lag in (0, 1, -1, 2, -2):
+            left = np.flatnonzero(~out)
+            places = np.arange(max(0, -lag), min(n, n - lag))
+            out[left] = common(four, between, (u[left, None], places), (v[left, None], places + lag)).any(axis=1)
+    for four, between in sides:
+        left = np.flatnonzero(~out)
+        for p in range(0, len(left), 1 << 9):
+            some = left[p : p + (1 << 9)]
+            places = np.arange(four.shape[1])
+            x, y = (u[some, None, None], places[:, None]), (v[some, None, None], places)
+            out[some] = common(four, between, x, y).any(axis=(1, 2))
+    return out
 
 
 def _as_matches(x: np.ndarray, y: np.ndarray, doc: np.ndarray, pos: np.ndarray, words: np.ndarray) -> Iterator[np.ndarray]:
@@ -534,44 +595,61 @@ def chained(found: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long, xs array<long>, ys array<long>, sizes array<long>")
 
 
-def common(a: np.ndarray, b: np.ndarray) -> int:
+def common(a: Sequence[int], b: Sequence[int]) -> int:
     """The most words of ``a`` and ``b`` that can be aligned."""
     if not len(a) or not len(b):
         return 0
     if len(a) > MATRIX or len(b) > MATRIX:
-        n = min(len(a), len(b))
+        n, a, b = min(len(a), len(b)), np.asarray(a), np.asarray(b)
         return int(max((a[:n] == b[:n]).sum(), (a[len(a) - n :] == b[len(b) - n :]).sum()))
-    row = np.zeros(len(b) + 1, np.int64)
+    # A row of the matrix as bits, 0 where it goes up by one.
+    places: dict[int, int] = {}
+    for j, word in enumerate(b):
+        places[word] = places.get(word, 0) | 1 << j
+    row = full = (1 << len(b)) - 1
     for word in a:
-        row[1:] = np.maximum(row[1:], row[:-1] + (b == word))
-        row = np.maximum.accumulate(row)
-    return int(row[-1])
+        if same := row & places.get(word, 0):
+            row = ((row + same) | (row - same)) & full
+    return len(b) - row.bit_count()
 
 
-def extended(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+def extended(a: Sequence[int], b: Sequence[int]) -> tuple[int, int]:
     """How far to go on along the diagonal, and how many words are equal there."""
-    n = min(len(a), len(b))
-    if not n:
-        return 0, 0
-    same = a[:n] == b[:n]
-    worth = np.cumsum(np.where(same, 1, -3))
-    # Stop where the worth has fallen too far below its highest.
-    low = np.flatnonzero(np.maximum.accumulate(np.maximum(worth, 0)) - worth > 9)
-    worth = worth[: low[0] if len(low) else n]
-    if not len(worth) or worth.max() <= 0:
-        return 0, 0
-    to = int(worth.argmax()) + 1
-    return to, int(same[:to].sum())
-
-
-def parts(x: list[int], y: list[int], size: list[int], a: np.ndarray, b: np.ndarray) -> list[tuple]:
+    worth = equal = most = 0
+    best = 0, 0
+    for n, (v, w) in enumerate(zip(a, b), 1):
+        if v == w:
+            worth, equal = worth + 1, equal + 1
+            if worth > most:
+                most, best = worth, (n, equal)
+        else:
+            worth -= 3
+            # Stop where the worth has fallen too far below its highest.
+            if most - worth > 9:
+                break
+    return best
+
+
+def parts(x: list[int], y: list[int], size: list[int], a: Sequence[int], b: Sequence[int]) -> list[tuple]:
     """``a0, a1, b0, b1, equal words`` of each part of an aligned chain with enough equal words:
     the one with the most, and then those of the blocks left on both sides of it. Places count
     from the beginnings of ``a`` and ``b``."""
     n = len(x)
+    ends = [p + s for p, s in zip(x, size)], [p + s for p, s in zip(y, size)]
+    before = extended(a[: x[0]][::-1], b[: y[0]][::-1])
+    behind = extended(a[ends[0][-1] :], b[ends[1][-1] :])
+    whole = x[0] - before[0], ends[0][-1] + behind[0], y[0] - before[0], ends[1][-1] + behind[0]
+    wide = whole[1] - whole[0], whole[3] - whole[2]
+    if min(wide) < MIN_WORDS:
+        return []
+    gaps = [common(a[ends[0][i] : x[i + 1]], b[ends[1][i] : y[i + 1]]) for i in range(n - 1)]
+    equal = before[1] + sum(size) + sum(gaps) + behind[1]
+    if equal >= IDENTITY * max(wide):
+        return [(*whole, equal)]
+    if n == 1:
+        return []
     x, y, size = (np.array(v, np.int64) for v in (x, y, size))
     ends = np.stack([x + size, y + size])
-    gaps = [common(a[ends[0, i] : x[i + 1]], b[ends[1, i] : y[i + 1]]) for i in range(n - 1)]
     through = np.cumsum([0, *(size[:-1] + np.array(gaps, np.int64))])
     # How far a part goes on before its first and after its last block, and the equal words there.
     back, on = (np.zeros((2, n), np.int64) for _ in range(2))
@@ -601,12 +679,6 @@ def parts(x: list[int], y: list[int], size: list[int], a: np.ndarray, b: np.ndar
         return tuple(int(v) for v in (
             x[i] - back[0, i], ends[0, j] + on[0, j], y[i] - back[0, i], ends[1, j] + on[0, j], equal))
 
-    stretch(0, n - 1)
-    whole = cut(0, n - 1)
-    if min(whole[1] - whole[0], whole[3] - whole[2]) < MIN_WORDS:
-        return []
-    if whole[4] >= IDENTITY * max(whole[1] - whole[0], whole[3] - whole[2]):
-        return [whole]
     for i in range(n):
         stretch(i, i)
     out, todo = [], [(0, n - 1)]
@@ -627,13 +699,13 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     own = small_batches(docs).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     own = own.where("doc IS NOT NULL AND text IS NOT NULL")
     every = matches(seeds(own))
-    found = passages_of(chained(every.where("a <> b")).checkpoint(), own).checkpoint()
+    found = checkpointed(passages_of(checkpointed(chained(every.where("a <> b"))), own))
     # Occurrences of frequent seeds that have no passage with one and the same place, all with all;
     # what documents have in common is chained once more with these.
-    more = frequent_matches(classes(every, found), own).checkpoint()
-    pairs = more.select("a", "b").distinct().checkpoint()
+    more = checkpointed(frequent_matches(classes(every, found), own))
+    pairs = checkpointed(more.select("a", "b").distinct())
     again = every.where("a <> b").select(more.columns).join(pairs, ["a", "b"], "left_semi").unionByName(more)
-    found = found.join(pairs, ["a", "b"], "left_anti").unionByName(passages_of(chained(again).checkpoint(), own))
+    found = found.join(pairs, ["a", "b"], "left_anti").unionByName(passages_of(checkpointed(chained(again)), own))
     return found.select(
         F.col("b").alias("doc_id"), F.col("b0").alias("first_word"), F.col("b1").alias("end_word"),
         F.col("a").alias("source_id"), F.col("a0").alias("source_first"), F.col("a1").alias("source_end"),
@@ -681,7 +753,7 @@ def _aligned(spans: DataFrame, own: DataFrame) -> DataFrame:
     for s in "ab":
         spans = spans.withColumn(f"{s}_low", F.expr(f"greatest(0L, ({s}0 div {MARGIN}) * {MARGIN} - {MARGIN})"))
         spans = spans.withColumn(f"{s}_high", F.expr(f"({s}1 div {MARGIN}) * {MARGIN} + 2 * {MARGIN}"))
-    windows = _windows(spans, own).checkpoint()
+    windows = checkpointed(_windows(spans, own))
     both = spans.select("a", "b", "xs", "ys", "sizes", "a_low", "a_high", "b_low", "b_high")
     for s in "ab":
         both = both.join(windows.toDF(s, f"{s}_low", f"{s}_high", f"{s}_words"), [s, f"{s}_low", f"{s}_high"])
@@ -689,12 +761,11 @@ def _aligned(spans: DataFrame, own: DataFrame) -> DataFrame:
     def align(batches):
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                found = parts(
-                    [x - r["a_low"] for x in r["xs"]], [y - r["b_low"] for y in r["ys"]], r["sizes"],
-                    np.frombuffer(r["a_words"], np.uint32), np.frombuffer(r["b_words"], np.uint32))
-                rows += [(r["a"], r["b"], r["a_low"] + a0, r["a_low"] + a1, r["b_low"] + b0, r["b_low"] + b1, equal)
-                         for a0, a1, b0, b1, equal in found]
+            columns = (batch.column(c).to_pylist() for c in ("a", "b", "xs", "ys", "sizes", "a_low", "b_low", "a_words", "b_words"))
+            for a, b, xs, ys, sizes, a_low, b_low, a_words, b_words in zip(*columns):
+                found = parts([x - a_low for x in xs], [y - b_low for y in ys], sizes,
+                              memoryview(a_words).cast("I"), memoryview(b_words).cast("I"))
+                rows += [(a, b, a_low + a0, a_low + a1, b_low + b0, b_low + b1, equal) for a0, a1, b0, b1, equal in found]
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in zip(*rows)], names=["a", "b", "a0", "a1", "b0", "b1", "equal"])

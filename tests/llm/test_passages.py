@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -220,6 +222,92 @@ def test_tiles_give_all_pairs(spark, monkeypatch, tile):
     assert all(tuple(r)[2:] == (43, 43, passages.K) for r in rows)
 
 
+def surroundings(rng, groups):
+    """Groups of near copies around one seed, some of them cut off, as ``related`` gets them."""
+    out, seed = [], rng.integers(1, 60000, passages.K)
+    for g, n in enumerate(groups):
+        stem = rng.integers(1, 60000, passages.BEFORE + passages.K + passages.AFTER)
+        for _ in range(n):
+            parts = []
+            for part in (stem[: passages.BEFORE], stem[passages.BEFORE + passages.K :]):
+                part = list(part)
+                for at in rng.choice(len(part) - 4, rng.integers(0, 14), replace=False):
+                    part[at : at + 1] = rng.integers(1, 60000, rng.integers(0, 3)).tolist()
+                parts.append(np.r_[np.zeros(60, int), part][-passages.BEFORE :] if not parts else np.r_[part, np.zeros(60, int)])
+            words = np.r_[parts[0], seed, parts[1][: passages.AFTER - passages.K]]
+            words[: rng.choice([0, 0, 10, 40])] = 0
+            out.append((g % 2, len(out) // 2, 40 + len(out) % 2, rng.integers(0, 25), words.astype(np.uint16)))
+    out.sort(key=lambda row: row[0])
+    return [np.array(c) for c in zip(*out)]
+
+
+def pairs_of(rows):
+    return {tuple(m) for found in passages.related(*rows) for m in found.T.tolist()}
+
+
+def test_all_pairs_of_a_group_are_those_that_words_lead_to(monkeypatch):
+    rows = surroundings(np.random.default_rng(10), (70, 90, 20, 3))
+    through = []
+    monkeypatch.setattr(passages, "_apart", lambda *a, f=passages._apart: through.append(len(a[0])) or f(*a))
+    found = pairs_of(rows)
+    assert through and len(found) > 500
+    through.clear()
+    monkeypatch.setattr(passages, "THROUGH", 10**6)
+    assert pairs_of(rows) == found and not through
+
+
+def test_pairs_of_near_copies_are_made_once(monkeypatch):
+    """However many words lead to them: no more pairs are held or aligned than the group has."""
+    rows = surroundings(np.random.default_rng(11), (300,))
+    made, aligned = [], []
+    monkeypatch.setattr(np, "unique", lambda x, *a, f=np.unique, **b: made.append(np.shape(x)[-1]) or f(x, *a, **b))
+    plain = passages._aligned_words
+    monkeypatch.setattr(passages, "_aligned_words", lambda a, b: aligned.append(len(a)) or plain(a, b))
+    monkeypatch.setattr(passages, "PAIRS", 1 << 12)
+    assert pairs_of(rows)
+    assert len(made) < 50 and sum(aligned) <= 300 * 299
+
+
+def test_aligned_words_are_the_longest_common_subsequences():
+    rng = np.random.default_rng(12)
+    a, b = rng.integers(0, 6, (2, 200, 50)).astype(np.uint16)
+    found = passages._aligned_words(a, b).tolist()
+    for x, y, n in zip(a, b, found):
+        row = [0] * 51
+        for v in x.tolist():
+            new = [0]
+            for j, w in enumerate(y.tolist()):
+                new.append(max(row[j] + (v == w != 0), row[j + 1], new[j]))
+            row = new
+        assert n == row[-1]
+
+
+def test_shuffled_files_go_when_a_step_is_written(spark):
+    passages.shared_folder(spark)
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffles():
+        return set(re.findall(r"shuffle_(\d+)_\d+_0\.data", disk.getAllFiles().mkString(" ")))
+
+    def left(before, n):
+        """Whether at most ``n`` more are left, soon: Spark does not wait for the removal."""
+        end = time.monotonic() + 10
+        while len(shuffles() - before) > n and time.monotonic() < end:
+            time.sleep(0.1)
+        return len(shuffles() - before) <= n
+
+    before, setting = shuffles(), spark.conf.get(name)
+    rows = spark.range(1000).selectExpr("id", "hash(id) AS h").repartition(3, "h")
+    written = passages.checkpointed(rows)
+    assert left(before, 0) and spark.conf.get(name) == setting
+    assert written.selectExpr("sum(id)").first()[0] == rows.selectExpr("sum(id)").first()[0] == 499500
+    before = shuffles()
+    found = passages.shared_passages(frame(spark, planted()[0])).collect()
+    # Only those of the last step are left, of more than twenty.
+    assert found and left(before, 10)
+
+
 def test_odd_rows(spark):
     docs = odd(spark)
     assert passages.shared_passages(docs).collect() == []
